@@ -173,6 +173,23 @@ def duplicate_key_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).filter(F.col("row_count") > 1)
 
 
+def releases_by_artist_month(dim_album: DataFrame, dim_artist: DataFrame) -> DataFrame:
+    """Releases per artist name and month, the unknown month included.
+
+    Albums are counted per artist key before names come in, so a hot artist
+    moves one row per month.
+    """
+    per_key = dim_album.groupBy("artist_key", "release_month").agg(F.count(F.lit(1)).alias("n"))
+    named = per_key.join(dim_artist.select("artist_key", "artist_name"), "artist_key")
+    return named.groupBy("artist_name", "release_month").agg(F.sum("n").alias("releases_in_month"))
+
+
+def agg_self_join(parts: DataFrame, group: str, value: str, total: str, share: str) -> DataFrame:
+    """Partial aggregates next to the total of their group, and their share of it."""
+    totals = parts.groupBy(group).agg(F.sum(value).alias(total))
+    return parts.join(totals, group).withColumn(share, metrics.pct(F.col(value), F.col(total), 1))
+
+
 def catalog_trends(albums: DataFrame, tracks: DataFrame) -> DataFrame:
     """Per (release year, format, snapshot): volume, mean duration, explicit share.
 

@@ -81,28 +81,23 @@ def q5_monthly_distribution(dim_album: DataFrame) -> DataFrame:
 def q6_peak_month(dim_album: DataFrame, dim_artist: DataFrame) -> DataFrame:
     """Each artist's strongest month and its share of all releases.
 
-    One aggregation per (artist, month) carries both sides: the lifetime total
-    is the sum over the artist's months, the unknown month included.  Albums are
-    counted per artist key before names come in, so a hot artist moves 13 rows.
+    The lifetime total includes releases whose month is unknown; the peak does not.
     """
-    monthly = (
-        dim_album.groupBy("artist_key", "release_month").agg(F.count(F.lit(1)).alias("n"))
-        .join(dim_artist.select("artist_key", "artist_name"), "artist_key")
-        .groupBy("artist_name", "release_month")
-        .agg(F.sum("n").alias("releases_in_month"))
+    monthly = A.agg_self_join(
+        A.releases_by_artist_month(dim_album, dim_artist), "artist_name", "releases_in_month",
+        "lifetime_releases", "peak_month_concentration_pct",
     )
-    totals = monthly.groupBy("artist_name").agg(F.sum("releases_in_month").alias("lifetime_releases"))
     peak = peak_per_group(
         monthly.filter(F.col("release_month").isNotNull()),
         ["artist_name"],
         [F.col("releases_in_month").desc(), F.col("release_month").asc()],
     )
-    return peak.join(totals, "artist_name").select(
+    return peak.select(
         "artist_name",
         metrics.month_name(F.col("release_month")).alias("peak_release_month"),
         F.col("releases_in_month").alias("peak_month_drops"),
         F.col("lifetime_releases").alias("total_catalog_releases"),
-        metrics.pct(F.col("releases_in_month"), F.col("lifetime_releases"), 1).alias("peak_month_concentration_pct"),
+        "peak_month_concentration_pct",
     ).orderBy(*_desc("total_catalog_releases"))
 
 

@@ -48,12 +48,14 @@ def scan_raw_json(
 def corrupt_record_split(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(readable rows, malformed records as text); the batch goes on either way.
 
-    Spark refuses to read the corrupt column alone from JSON, so the malformed
-    side keeps one data column until after the filter.
+    Whether a record is malformed depends on the columns that are parsed, so both
+    sides must parse all of them.  The fallback in ``coalesce`` is never taken; it
+    keeps column pruning from narrowing the malformed side.
     """
+    data = [c for c in scanned.columns if c != CORRUPT]
     good = scanned.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    first = next(c for c in scanned.columns if c != CORRUPT)
-    bad = scanned.select(first, CORRUPT).filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    everything = F.to_json(F.struct(*data))
+    bad = scanned.filter(F.col(CORRUPT).isNotNull()).select(F.coalesce(F.col(CORRUPT), everything).alias(CORRUPT))
     return good, bad
 
 
