@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapcat.functions import metrics
@@ -185,9 +185,13 @@ def releases_by_artist_month(dim_album: DataFrame, dim_artist: DataFrame) -> Dat
 
 
 def agg_self_join(parts: DataFrame, group: str, value: str, total: str, share: str) -> DataFrame:
-    """Partial aggregates next to the total of their group, and their share of it."""
-    totals = parts.groupBy(group).agg(F.sum(value).alias(total))
-    return parts.join(totals, group).withColumn(share, metrics.pct(F.col(value), F.col(total), 1))
+    """Partial aggregates next to the total of their group, and their share of it.
+
+    The self-join of two aggregates as a window sum: one shuffle, no second scan.
+    A group must consist of few parts, like the months of one artist.
+    """
+    whole = F.sum(value).over(Window.partitionBy(group))
+    return parts.withColumn(total, whole).withColumn(share, metrics.pct(F.col(value), F.col(total), 1))
 
 
 def catalog_trends(albums: DataFrame, tracks: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from snapcat.model import SNAPSHOT
 from snapcat.functions import metrics
-from snapcat.operators.aggregates import GRID, released
+from snapcat.operators.aggregates import ALBUM_MEASURES, GRID, released
 
 
 def release_gaps(albums: DataFrame) -> DataFrame:
@@ -62,6 +62,26 @@ def exact_median_cadence(gaps: DataFrame) -> DataFrame:
     )
 
 
+def release_summary(days: DataFrame) -> DataFrame:
+    """Release counts and cadence per artist and snapshot from release days.
+
+    Gap, rank of the gap and totals are windows over the same partitioning, and
+    the row in the middle carries the result.  So the albums are read once and
+    their days are shuffled once; a group is bounded by the calendar.
+    """
+    group = Window.partitionBy(*GRID)
+    gap = F.datediff(F.col("release_date"), F.lag("release_date").over(group.orderBy("release_date")))
+    ranked = days.withColumn("gap_days", gap).select(
+        *GRID,
+        F.col("gap_days").cast("double").alias("median_release_cadence_days"),
+        F.row_number().over(group.orderBy(F.col("gap_days").asc_nulls_last())).alias("position"),
+        F.count("gap_days").over(group).alias("gaps"),
+        *(F.sum(measure).over(group).alias(measure) for measure in ALBUM_MEASURES),
+    )
+    middle = F.greatest(F.floor((F.col("gaps") + 1) / 2), F.lit(1))
+    return ranked.filter(F.col("position") == middle).drop("position", "gaps")
+
+
 def prev_value_lag(df: DataFrame, value: str, name: str, key: str = "artist_key") -> DataFrame:
     """Value at the previous *available* snapshot of the same key."""
     window = Window.partitionBy(key).orderBy(SNAPSHOT)

@@ -30,7 +30,7 @@ def _typed(
     return raw.select(
         *(cleaned[c].alias(c) if c in cleaned else F.col(c) for c in columns),
         F.try_to_timestamp(F.col("extracted_at")).alias("extracted_at"),
-        F.try_to_date(F.col(SNAPSHOT), "yyyy-MM-dd").alias(SNAPSHOT),
+        F.col(SNAPSHOT).try_cast("date").alias(SNAPSHOT),
         F.lit(source).alias("source"),
         F.current_timestamp().alias("ingestion_timestamp"),
     )
@@ -67,9 +67,9 @@ def to_bronze(entity: str, raw: DataFrame, source: str = DEFAULT_SOURCE) -> Data
 
 
 def write_counted(df: DataFrame, path: str, name: str) -> int:
-    """Write a snapshot table and return its rows, counted by the write itself."""
+    """Write one snapshot of a table and return its rows, counted by the write itself."""
     observed = Observation(name)
-    write_snapshot(df.observe(observed, F.count(F.lit(1)).alias("n")), path)
+    write_snapshot(df.observe(observed, F.count(F.lit(1)).alias("n")), path, gather=False)
     return observed.get["n"]
 
 

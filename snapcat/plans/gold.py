@@ -82,8 +82,8 @@ def snapshot_base(
     """Base measures per (artist, snapshot).
 
     With ``keys_unique`` (Silver guarantees it, the gate checks it) the albums
-    are reduced once, to release days, and both the counts and the cadence come
-    from that small table; tracks are counted without shuffling their ids.
+    are reduced once, to release days, which give the counts and the cadence;
+    tracks are counted without shuffling their ids.
     """
     if snapshot is not None:
         artists, albums, tracks = (
@@ -91,13 +91,11 @@ def snapshot_base(
         )
     track_totals = A.track_counts(tracks, keys_unique)
     if keys_unique:
-        days = A.release_days(albums)
-        album_totals = days.groupBy(*A.GRID).agg(*(F.sum(m).alias(m) for m in A.ALBUM_MEASURES))
-        cadence = W.median_cadence(W.gaps_of_days(days))
+        measures = [W.release_summary(A.release_days(albums)), track_totals]
     else:
-        album_totals = A.album_counts(albums)
-        cadence = W.median_cadence(W.release_gaps(albums))
-    return snapshot_grid_join(artists, [album_totals, track_totals, cadence], zero_filled=COUNTS)
+        measures = [A.album_counts(albums), track_totals, W.median_cadence(W.release_gaps(albums))]
+    base = snapshot_grid_join(artists, measures, zero_filled=COUNTS)
+    return base.select(*A.GRID, *COUNTS, "median_release_cadence_days")
 
 
 def fact_artist_snapshot(

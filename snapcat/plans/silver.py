@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapcat import model as M
@@ -46,15 +46,21 @@ def clean_albums(bronze: DataFrame) -> DataFrame:
     })
 
 
+def _number(df: DataFrame, name: str, dtype: str) -> Column:
+    """Value as ``dtype``; text goes through trim, a column that fits stays as it is."""
+    fits = df.schema[name].dataType.simpleString() == dtype
+    return F.col(name) if fits else C.whole_number(name, dtype)
+
+
 def clean_tracks(bronze: DataFrame) -> DataFrame:
-    ms = C.whole_number("duration_ms", "bigint")
+    ms = _number(bronze, "duration_ms", "bigint")
     return _with_trimmed(bronze, "track_id", "track_name", "album_id", "artist_id", "external_uri").withColumns({
         "duration_ms": ms,
         "duration_min": C.duration_minutes(ms),
         "duration_sec": C.duration_seconds(ms),
-        "explicit": C.whole_number("explicit", "boolean"),
-        "track_number": C.whole_number("track_number", "int"),
-        "disc_number": C.whole_number("disc_number", "int"),
+        "explicit": _number(bronze, "explicit", "boolean"),
+        "track_number": _number(bronze, "track_number", "int"),
+        "disc_number": _number(bronze, "disc_number", "int"),
     })
 
 
@@ -175,7 +181,7 @@ def silver_gated_run(
     tables = {}
     for entity in ENTITIES:
         bronze = scan_snapshot(spark, f"{bronze_root}/{entity}", snapshot)
-        write_snapshot(to_silver(entity, bronze), f"{staging}/{entity}")
+        write_snapshot(to_silver(entity, bronze), f"{staging}/{entity}", gather=False)
         # Declared schema: an empty candidate has no file to infer one from.
         schema = to_silver(entity, bronze).schema
         tables[entity] = spark.read.schema(schema).parquet(f"{staging}/{entity}").filter(

@@ -8,6 +8,8 @@ and gating have something to do.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +19,20 @@ SNAPSHOTS = ("1998-12-31", "1999-12-31", "2000-12-31", "2001-01-31", "2001-12-31
 BEFORE_SHRINK, SHRINK, LAST = SNAPSHOTS[2], SNAPSHOTS[3], SNAPSHOTS[4]
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def _table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str]) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
+    return spread_if_narrow(df)
+
+
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan to all cores if its files give too few splits.
+
+    A file with one row group is one task, which would then do all the work up to
+    the first shuffle.  At scale a scan has far more splits than cores and stays
+    as it is.  Only the split count is looked at; no job runs.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *df.columns) if df.rdd.getNumPartitions() < cores else df
 
 
 def _artist_no(custkey: str) -> Column:
@@ -41,8 +55,12 @@ def _stamp(moment: Column) -> Column:
     return F.concat(F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
 
 
+def _text(key: str) -> Column:
+    return F.col(key).cast("string")
+
+
 def raw_artists(spark: SparkSession, sf_dir: str, snapshots: tuple[str, ...] = SNAPSHOTS) -> DataFrame:
-    customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    customer = _table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment"])
     kept = customer.filter(~((F.col("c_custkey") >= 100) & (F.col("c_custkey") % 50 == 7)))
     seen = _observed(kept, snapshots).filter(
         ~((_artist_no("c_custkey") % 10 == 3) & (F.col(SNAPSHOT) == F.to_date(F.lit(BEFORE_SHRINK))))
@@ -51,10 +69,8 @@ def raw_artists(spark: SparkSession, sf_dir: str, snapshots: tuple[str, ...] = S
     return seen.select(
         _padded(F.concat(F.lit("c"), _artist_no("c_custkey").cast("string")), "c_custkey").alias("artist_id"),
         _padded(F.col("c_name"), "c_custkey").alias("artist_name"),
-        F.concat(F.lit("catalog:artist:"), F.col("c_custkey").cast("string")).alias("external_uri"),
-        F.when(F.col("c_custkey") % 7 != 0, F.concat(F.lit("img/"), F.col("c_custkey").cast("string"))).alias(
-            "image_url"
-        ),
+        F.concat(F.lit("catalog:artist:"), _text("c_custkey")).alias("external_uri"),
+        F.when(F.col("c_custkey") % 7 != 0, F.concat(F.lit("img/"), _text("c_custkey"))).alias("image_url"),
         F.when(F.col("c_custkey") % 13 != 0, F.array("c_mktsegment")).alias("genres"),
         _stamp(extracted).alias("extracted_at"),
         F.col(SNAPSHOT).cast("string").alias(SNAPSHOT),
@@ -62,15 +78,13 @@ def raw_artists(spark: SparkSession, sf_dir: str, snapshots: tuple[str, ...] = S
 
 
 def raw_albums(spark: SparkSession, sf_dir: str, snapshots: tuple[str, ...] = SNAPSHOTS) -> DataFrame:
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    seen = _observed(orders.filter(F.col("o_orderkey") % 97 != 0), snapshots).filter(
-        F.col("o_orderdate").cast("date") <= F.date_add(F.col(SNAPSHOT), 30)
-    )
+    orders = _table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
     form = F.col("o_orderkey") % 20
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    return seen.select(
-        _padded(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")), "o_orderkey").alias("album_id"),
-        _padded(F.concat(F.lit("Release "), F.col("o_orderkey").cast("string")), "o_orderkey").alias("album_name"),
+    # Everything but the snapshot is computed before the rows are multiplied.
+    albums = orders.filter(F.col("o_orderkey") % 97 != 0).select(
+        _padded(F.concat(F.lit("o"), _text("o_orderkey")), "o_orderkey").alias("album_id"),
+        _padded(F.concat(F.lit("Release "), _text("o_orderkey")), "o_orderkey").alias("album_name"),
         F.when(F.col("o_orderstatus") == "F", "ALBUM")
         .when(F.col("o_orderstatus") == "O", "Single")
         .otherwise("Compilation")
@@ -84,51 +98,49 @@ def raw_albums(spark: SparkSession, sf_dir: str, snapshots: tuple[str, ...] = SN
         F.when(form == 0, " YEAR").when(form == 1, "Month ").otherwise("day").alias("release_date_precision"),
         (F.col("o_orderkey") % 23).cast("int").alias("total_tracks"),
         _padded(F.concat(F.lit("c"), _artist_no("o_custkey").cast("string")), "o_orderkey").alias("artist_id"),
-        F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("artist_name"),
-        F.concat(F.lit("catalog:album:"), F.col("o_orderkey").cast("string")).alias("external_uri"),
-        F.when(F.col("o_orderkey") % 7 != 0, F.concat(F.lit("img/a"), F.col("o_orderkey").cast("string"))).alias(
-            "image_url"
-        ),
-        _stamp(F.col(SNAPSHOT).cast("timestamp")).alias("extracted_at"),
-        F.col(SNAPSHOT).cast("string").alias(SNAPSHOT),
+        F.concat(F.lit("Customer#"), F.lpad(_text("o_custkey"), 9, "0")).alias("artist_name"),
+        F.concat(F.lit("catalog:album:"), _text("o_orderkey")).alias("external_uri"),
+        F.when(F.col("o_orderkey") % 7 != 0, F.concat(F.lit("img/a"), _text("o_orderkey"))).alias("image_url"),
+        F.col("o_orderdate").cast("date").alias("ordered"),
     )
+    seen = _observed(albums, snapshots).filter(F.col("ordered") <= F.date_add(F.col(SNAPSHOT), 30))
+    return seen.drop("ordered").withColumns({
+        "extracted_at": F.concat(F.col(SNAPSHOT).cast("string"), F.lit("T00:00:00+00:00")),
+        SNAPSHOT: F.col(SNAPSHOT).cast("string"),
+    })
 
 
 def raw_tracks(spark: SparkSession, sf_dir: str, snapshots: tuple[str, ...] = SNAPSHOTS) -> DataFrame:
-    lines = _table(spark, sf_dir, "lineitem").select(
+    lines = _table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_shipdate"
-    )
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    ])
+    orders = _table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    track_no = F.concat(_text("l_orderkey"), F.lit("-"), _text("l_linenumber"))
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("a", _artist_no("o_custkey"))
-    shipped = F.col("l_shipdate").cast("date")
-    at = F.col(SNAPSHOT)
-    delisted = (
-        (at == F.to_date(F.lit(LAST))) & (F.col("a") % 9 == 4) & (F.col("l_linenumber") > 2)
-    ) | (
-        (at == F.to_date(F.lit(SHRINK)))
-        & (F.col("a") % 9 == 5)
-        & (F.col("l_linenumber") == 7)
-        & (F.col("l_returnflag") == "R")
-    )
-    seen = _observed(joined, snapshots).filter(
-        (F.col("o_orderdate").cast("date") <= F.date_add(at, 30)) & (shipped <= at) & ~delisted
-    )
-    track_no = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
-    return seen.select(
+    tracks = joined.select(
         _padded(F.concat(F.lit("o"), track_no), "l_orderkey").alias("track_id"),
-        F.concat(
-            F.lit("Part "), F.col("l_partkey").cast("string"), F.lit(" of "), F.col("l_suppkey").cast("string")
-        ).alias("track_name"),
+        F.concat(F.lit("Part "), _text("l_partkey"), F.lit(" of "), _text("l_suppkey")).alias("track_name"),
         F.round(F.col("l_extendedprice") * 4).cast("bigint").alias("duration_ms"),
         F.when(F.col("l_partkey") % 17 != 0, F.col("l_returnflag") == "R").alias("explicit"),
         F.col("l_linenumber").cast("int").alias("track_number"),
         F.when(F.col("l_partkey") % 5 != 0, F.lit(1)).alias("disc_number"),
-        _padded(F.concat(F.lit("o"), F.col("l_orderkey").cast("string")), "l_orderkey").alias("album_id"),
-        _padded(F.concat(F.lit("c"), F.col("a").cast("string")), "l_orderkey").alias("artist_id"),
+        _padded(F.concat(F.lit("o"), _text("l_orderkey")), "l_orderkey").alias("album_id"),
+        _padded(F.concat(F.lit("c"), _text("a")), "l_orderkey").alias("artist_id"),
         F.concat(F.lit("catalog:track:"), track_no).alias("external_uri"),
         _stamp(F.col("l_shipdate").cast("timestamp")).alias("extracted_at"),
-        F.col(SNAPSHOT).cast("string").alias(SNAPSHOT),
+        F.col("o_orderdate").cast("date").alias("ordered"),
+        F.col("l_shipdate").cast("date").alias("shipped"),
+        ((F.col("a") % 9 == 4) & (F.col("l_linenumber") > 2)).alias("gone_at_last"),
+        ((F.col("a") % 9 == 5) & (F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "R")).alias("gone_at_shrink"),
+    )
+    at = F.col(SNAPSHOT)
+    delisted = ((at == F.to_date(F.lit(LAST))) & F.col("gone_at_last")) | (
+        (at == F.to_date(F.lit(SHRINK))) & F.col("gone_at_shrink")
+    )
+    seen = _observed(tracks, snapshots).filter(
+        (F.col("ordered") <= F.date_add(at, 30)) & (F.col("shipped") <= at) & ~delisted
     )
+    return seen.drop("ordered", "shipped", "gone_at_last", "gone_at_shrink").withColumn(SNAPSHOT, at.cast("string"))
 
 
 def raw_entity(

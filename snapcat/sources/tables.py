@@ -33,16 +33,19 @@ def write_snapshot(
     df: DataFrame,
     path: str,
     partition_by: tuple[str, ...] = (SNAPSHOT,),
+    gather: bool = True,
     max_records_per_file: int = 5_000_000,
 ) -> str:
     """Overwrite only the partitions present in ``df``.
 
-    The rebalance hint lets AQE gather small partitions into few files and split
-    a snapshot that is too big for one task.
+    ``gather`` brings the rows of a partition together before the write, so many
+    snapshots do not multiply the number of files; AQE splits a snapshot that is
+    too big for one task.  A frame that holds a single snapshot does not need the
+    extra shuffle.
     """
+    rows = df.hint("rebalance", *partition_by) if gather else df
     (
-        df.hint("rebalance", *partition_by)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*partition_by)
@@ -59,7 +62,7 @@ def append_snapshot(df: DataFrame, path: str, partition_by: tuple[str, ...] = (S
 
 def write_dimension(df: DataFrame, path: str) -> str:
     """Replace an unpartitioned table."""
-    df.hint("rebalance").write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return path
 
 
