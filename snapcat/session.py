@@ -20,6 +20,9 @@ RECOMMENDED = {
 }
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def build_session(app_name: str = "snapcat", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the recommended settings; keyword settings win.
 
@@ -54,9 +57,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    local = tempfile.mkdtemp(prefix="snapcat-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    application = spark.sparkContext.applicationId
+    if application not in _local_dirs:
+        _local_dirs[application] = tempfile.mkdtemp(prefix="snapcat-")
+    return _local_dirs[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
