@@ -3,9 +3,11 @@
 A rule returns one row per snapshot in a common layout (:data:`RESULT_COLUMNS`),
 so results are a table like any other and nothing is collected to the driver.
 
-The gate fuses all row-level rules of an entity.  The entity is first reduced to
-one row per key, which yields rows, distinct keys, blanks and range violations in
-a single scan, then to one row per snapshot.
+Rules only name the counters they need.  :func:`evaluate` stacks the counters of
+all rules, sums them to one wide row per snapshot and reads every verdict off that
+row.  Row-level counters combine on the map side; only the uniqueness rule and the
+foreign keys shuffle anything, and that is nothing but keys.  A snapshot that one
+table has and another lacks counts as zero rows there.
 """
 
 from __future__ import annotations
@@ -26,44 +28,6 @@ RESULT_COLUMNS = (
 )
 
 
-def _rate(part: Column, whole: Column) -> Column:
-    return F.when(whole > 0, F.round(part / whole * 100.0, 2)).otherwise(F.lit(0.0))
-
-
-def _detail(counts: Mapping[str, Column]) -> Column:
-    """``name=count`` pairs in declaration order."""
-    return F.concat_ws(",", *(F.concat(F.lit(f"{name}="), count.cast("string")) for name, count in counts.items()))
-
-
-def _record(
-    rule: str, entity: str, target: str, status: Column, violations: Column, rate: Column, detail: Column
-) -> Column:
-    """One result as a struct, so several rules can share one row of counters."""
-    return F.struct(
-        F.lit(rule).alias("rule"),
-        F.lit(entity).alias("entity"),
-        F.lit(target).alias("target"),
-        F.col(SNAPSHOT).alias(SNAPSHOT),
-        status.alias("status"),
-        F.col("total_rows").cast("bigint").alias("total_rows"),
-        violations.cast("bigint").alias("violations"),
-        rate.cast("double").alias("rate_pct"),
-        detail.alias("detail"),
-    )
-
-
-def _results(measured: DataFrame, *records: Column) -> DataFrame:
-    return measured.select(F.inline(F.array(*records)))
-
-
-def _pass_or_fail(failed: Column) -> Column:
-    return F.when(failed, F.lit(FAIL)).otherwise(F.lit(PASS))
-
-
-def _sum0(name: str) -> Column:
-    return F.coalesce(F.sum(name), F.lit(0)).alias(name)
-
-
 def blank(name: str) -> Column:
     return F.col(name).isNull() | (F.trim(F.col(name).cast("string")) == "")
 
@@ -79,123 +43,216 @@ def out_of_bounds(name: str, bounds: tuple) -> Column:
     return F.col(name).isNotNull() & outside
 
 
-def snapshots_of(*tables: DataFrame) -> DataFrame:
-    """Distinct snapshots of several tables."""
-    return reduce(DataFrame.unionByName, [t.select(SNAPSHOT).distinct() for t in tables]).distinct()
+def not_allowed(name: str, values: Sequence) -> Column:
+    return F.col(name).isNotNull() & ~F.col(name).isin(*values)
 
 
 def expected_snapshots(spark: SparkSession, snapshots: Sequence[str]) -> DataFrame:
-    """Snapshots a run must deliver, so an absent one shows up as zero rows."""
+    """Snapshots a run must deliver, so one that no table has shows up too."""
     return spark.createDataFrame([(s,) for s in snapshots], "d string").select(F.to_date("d").alias(SNAPSHOT))
 
 
-def _aligned(result: DataFrame, expected: DataFrame | None) -> DataFrame:
-    if expected is None:
-        return result
-    numbers = [f.name for f in result.schema.fields if f.name != SNAPSHOT]
-    return expected.join(result, SNAPSHOT, "left").fillna(0, subset=numbers)
+def _count(condition: Column) -> Column:
+    return F.count(F.when(condition, 1))
+
+
+def _rate(part: Column, whole: Column) -> Column:
+    return F.when(whole > 0, F.round(part / whole * 100.0, 2)).otherwise(F.lit(0.0))
+
+
+def _pass_or_fail(violations: Column) -> Column:
+    return F.when(violations > 0, F.lit(FAIL)).otherwise(F.lit(PASS))
+
+
+def _detail(counts: Mapping[str, Column]) -> Column:
+    """``name=count`` pairs in declaration order."""
+    return F.concat_ws(",", *(F.concat(F.lit(f"{name}="), count.cast("string")) for name, count in counts.items()))
+
+
+class Rules:
+    """Rules of one subject; counters carry a prefix so that many fit in a row."""
+
+    def __init__(self, entity: str) -> None:
+        self.entity = entity
+        self.prefix = ""
+
+    def counters(self) -> list[DataFrame]:
+        """Partial results with one row per snapshot."""
+        raise NotImplementedError
+
+    def records(self) -> list[Column]:
+        """One struct per rule, computed from the summed counters."""
+        raise NotImplementedError
+
+    def value(self, name: str) -> Column:
+        return F.col(self.prefix + name)
+
+    def record(
+        self, rule: str, target: str, status: Column, violations: Column, detail: Column, rate: Column | None = None
+    ) -> Column:
+        return F.struct(
+            F.lit(rule).alias("rule"),
+            F.lit(self.entity).alias("entity"),
+            F.lit(target).alias("target"),
+            F.col(SNAPSHOT).alias(SNAPSHOT),
+            status.alias("status"),
+            self.value("total_rows").alias("total_rows"),
+            violations.cast("bigint").alias("violations"),
+            (F.lit(0.0) if rate is None else rate).alias("rate_pct"),
+            detail.alias("detail"),
+        )
 
 
-class EntityRules:
-    """Row-level rules of one entity, evaluated together."""
+class RowRules(Rules):
+    """Completeness, uniqueness, blanks and value ranges of one table.
+
+    Only what is asked for is counted: uniqueness needs ``keys``, blanks need
+    ``critical``, ranges need ``bounds`` or ``allowed``.  A column with both kinds
+    of range rule reports both.
+    """
 
     def __init__(
         self,
         entity: str,
-        keys: Sequence[str],
+        df: DataFrame,
+        min_expected: int | None = None,
+        keys: Sequence[str] = (),
         critical: Sequence[str] = (),
         bounds: Mapping[str, tuple] | None = None,
         allowed: Mapping[str, Sequence] | None = None,
-        min_expected: int = 1,
     ) -> None:
-        self.entity, self.keys, self.min_expected = entity, tuple(keys), min_expected
-        self.violations: dict[str, Column] = {}
-        self.blanks = tuple(critical)
-        for name in critical:
-            self.violations[f"blank:{name}"] = blank(name)
-        # A column with both kinds of rule reports both.
-        self.ranges = {f"range:{name}": out_of_bounds(name, b) for name, b in (bounds or {}).items()}
-        self.ranges |= {
-            f"allowed:{name}": F.col(name).isNotNull() & ~F.col(name).isin(*values)
-            for name, values in (allowed or {}).items()
-        }
-        self.violations |= self.ranges
-
-    def measure(self, df: DataFrame, expected: DataFrame | None = None) -> DataFrame:
-        """One row per snapshot: total_rows, distinct_keys and a counter per rule.
-
-        Silver is already partitioned by key when it comes from a dedupe, so the
-        first reduction needs no further shuffle there.
-        """
-        counters = {f"v{i}": cond for i, cond in enumerate(self.violations.values())}
-        group = [SNAPSHOT, *(k for k in self.keys if k != SNAPSHOT)]
-        per_key = df.groupBy(*group).agg(
-            F.count(F.lit(1)).alias("total_rows"),
-            *(F.count(F.when(cond, 1)).alias(c) for c, cond in counters.items()),
-        )
-        per_snapshot = per_key.groupBy(SNAPSHOT).agg(
-            _sum0("total_rows"), F.count(F.lit(1)).alias("distinct_keys"), *(_sum0(c) for c in counters)
-        )
-        return _aligned(per_snapshot, expected)
+        super().__init__(entity)
+        self.df, self.min_expected, self.keys = df, min_expected, tuple(keys)
+        self.blanks = {name: blank(name) for name in critical}
+        self.ranges = {name: out_of_bounds(name, b) for name, b in (bounds or {}).items()}
+        self.ranges |= {f"allowed:{name}": not_allowed(name, v) for name, v in (allowed or {}).items()}
+
+    def _violations(self) -> dict[str, Column]:
+        kinds = (("blank", self.blanks), ("range", self.ranges))
+        return {f"{kind}_{i}": cond for kind, conds in kinds for i, cond in enumerate(conds.values())}
+
+    def counters(self) -> list[DataFrame]:
+        parts = [
+            self.df.groupBy(SNAPSHOT).agg(
+                F.count(F.lit(1)).alias("total_rows"),
+                *(_count(cond).alias(name) for name, cond in self._violations().items()),
+            )
+        ]
+        if self.keys:
+            # The rows of a hot key collapse before the shuffle.
+            distinct = self.df.select(SNAPSHOT, *(k for k in self.keys if k != SNAPSHOT)).distinct()
+            parts.append(distinct.groupBy(SNAPSHOT).agg(F.count(F.lit(1)).alias("distinct_keys")))
+        return parts
+
+    def records(self) -> list[Column]:
+        out = []
+        rows = self.value("total_rows")
+        if self.min_expected is not None:
+            missing = F.greatest(F.lit(self.min_expected) - rows, F.lit(0))
+            detail = _detail({"min_expected": F.lit(self.min_expected)})
+            out.append(self.record("completeness", "", _pass_or_fail(missing), missing, detail))
+        if self.keys:
+            distinct = self.value("distinct_keys")
+            repeated = rows - distinct
+            detail = _detail({"distinct_keys": distinct})
+            out.append(
+                self.record(
+                    "uniqueness", ",".join(self.keys), _pass_or_fail(repeated), repeated, detail, _rate(repeated, rows)
+                )
+            )
+        for rule, kind, conds in (("critical_nulls", "blank", self.blanks), ("value_ranges", "range", self.ranges)):
+            if conds:
+                counts = {name: self.value(f"{kind}_{i}") for i, name in enumerate(conds)}
+                total = reduce(Column.__add__, counts.values())
+                out.append(self.record(rule, ",".join(counts), _pass_or_fail(total), total, _detail(counts)))
+        return out
 
-    def _counter(self, name: str) -> Column:
-        return F.col(f"v{list(self.violations).index(name)}")
 
-    def completeness(self) -> Column:
-        missing = F.greatest(F.lit(self.min_expected) - F.col("total_rows"), F.lit(0))
-        detail = _detail({"min_expected": F.lit(self.min_expected)})
-        return _record("completeness", self.entity, "", _pass_or_fail(missing > 0), missing, F.lit(0.0), detail)
+class ReferenceRule(Rules):
+    """Foreign key: PASS without orphans, WARN up to the threshold, FAIL above it."""
 
-    def uniqueness(self) -> Column:
-        duplicates = F.col("total_rows") - F.col("distinct_keys")
-        return _record(
-            "uniqueness", self.entity, ",".join(self.keys), _pass_or_fail(duplicates > 0), duplicates,
-            _rate(duplicates, F.col("total_rows")), _detail({"distinct_keys": F.col("distinct_keys")}),
+    def __init__(
+        self,
+        child_entity: str,
+        child: DataFrame,
+        parent_entity: str,
+        parent: DataFrame,
+        foreign_key: str,
+        parent_key: str | None = None,
+        max_orphan_pct: float = M.MAX_ORPHAN_PCT,
+    ) -> None:
+        super().__init__(child_entity)
+        self.target = f"{foreign_key}->{parent_entity}"
+        self.counts = orphan_counts(child, parent, foreign_key, parent_key, [SNAPSHOT])
+        self.max_orphan_pct = float(max_orphan_pct)
+
+    def counters(self) -> list[DataFrame]:
+        return [self.counts]
+
+    def records(self) -> list[Column]:
+        orphans = self.value("orphan_count")
+        rate = _rate(orphans, self.value("total_rows"))
+        status = (
+            F.when(orphans == 0, F.lit(PASS)).when(rate <= self.max_orphan_pct, F.lit(WARN)).otherwise(F.lit(FAIL))
         )
+        detail = _detail({"threshold_pct": F.lit(self.max_orphan_pct)})
+        return [self.record("referential_integrity", self.target, status, orphans, detail, rate)]
 
-    def _violation_rule(self, rule: str, labels: Mapping[str, str]) -> Column:
-        counts = {label: self._counter(name) for name, label in labels.items()}
-        total = reduce(Column.__add__, counts.values(), F.lit(0).cast("bigint"))
-        return _record(
-            rule, self.entity, ",".join(counts), _pass_or_fail(total > 0), total, F.lit(0.0), _detail(counts)
-        )
 
-    def critical_nulls(self) -> Column:
-        return self._violation_rule("critical_nulls", {f"blank:{n}": n for n in self.blanks})
+class FutureReleaseRule(Rules):
+    """FAIL on releases dated after the snapshot that reports them."""
 
-    def value_ranges(self) -> Column:
-        return self._violation_rule("value_ranges", {n: n.removeprefix("range:") for n in self.ranges})
+    def __init__(self, albums: DataFrame) -> None:
+        super().__init__("albums")
+        self.albums = albums
+
+    def counters(self) -> list[DataFrame]:
+        future = _count(F.col("release_date") > F.col(SNAPSHOT)).alias("future_rows")
+        return [self.albums.groupBy(SNAPSHOT).agg(F.count(F.lit(1)).alias("total_rows"), future)]
+
+    def records(self) -> list[Column]:
+        found = self.value("future_rows")
+        detail = _detail({"release_date": found})
+        rate = _rate(found, self.value("total_rows"))
+        return [self.record("release_not_future", "release_date", _pass_or_fail(found), found, detail, rate)]
+
+
+def evaluate(rules: Sequence[Rules], expected: DataFrame | None = None) -> DataFrame:
+    """Results of all rules for every snapshot any table has, or that is expected.
+
+    The stacked parts hold one row per snapshot each.
+    """
+    parts = [] if expected is None else [expected]
+    for i, rule in enumerate(rules):
+        rule.prefix = f"r{i}_"
+        parts += [
+            part.withColumnsRenamed({c: rule.prefix + c for c in part.columns if c != SNAPSHOT})
+            for part in rule.counters()
+        ]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    totals = stacked.groupBy(SNAPSHOT).agg(
+        *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in stacked.columns if c != SNAPSHOT)
+    )
+    return totals.select(F.inline(F.array(*(record for rule in rules for record in rule.records()))))
 
 
 def dq_completeness(
     df: DataFrame, entity: str, min_expected: int = 1, expected: DataFrame | None = None
 ) -> DataFrame:
     """FAIL below a minimum number of rows."""
-    rows = _aligned(df.groupBy(SNAPSHOT).agg(F.count(F.lit(1)).alias("total_rows")), expected)
-    return _results(rows, EntityRules(entity, (), min_expected=min_expected).completeness())
+    return evaluate([RowRules(entity, df, min_expected)], expected)
 
 
 def dq_uniqueness(df: DataFrame, entity: str, keys: Sequence[str], expected: DataFrame | None = None) -> DataFrame:
     """FAIL on repeated keys; NULL counts as one key."""
-    rules = EntityRules(entity, keys)
-    return _results(rules.measure(df, expected), rules.uniqueness())
-
-
-def _plain_measure(rules: EntityRules, df: DataFrame, expected: DataFrame | None) -> DataFrame:
-    """Counters without the key step, for rules that do not look at keys."""
-    agg = df.groupBy(SNAPSHOT).agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        *(F.count(F.when(c, 1)).alias(f"v{i}") for i, c in enumerate(rules.violations.values())),
-    )
-    return _aligned(agg, expected)
+    return evaluate([RowRules(entity, df, keys=keys)], expected)
 
 
 def dq_critical_nulls(
     df: DataFrame, entity: str, columns: Sequence[str], expected: DataFrame | None = None
 ) -> DataFrame:
     """FAIL on NULL or blank values in essential columns."""
-    rules = EntityRules(entity, (), critical=columns)
-    return _results(_plain_measure(rules, df, expected), rules.critical_nulls())
+    return evaluate([RowRules(entity, df, critical=columns)], expected)
 
 
 def dq_value_ranges(
@@ -206,8 +263,7 @@ def dq_value_ranges(
     expected: DataFrame | None = None,
 ) -> DataFrame:
     """FAIL on values outside inclusive bounds or allowed sets; NULL passes."""
-    rules = EntityRules(entity, (), bounds=bounds, allowed=allowed)
-    return _results(_plain_measure(rules, df, expected), rules.value_ranges())
+    return evaluate([RowRules(entity, df, bounds=bounds, allowed=allowed)], expected)
 
 
 def dq_referential(
@@ -221,33 +277,37 @@ def dq_referential(
     expected: DataFrame | None = None,
 ) -> DataFrame:
     """PASS without orphans, WARN up to the threshold, FAIL above it."""
-    counts = _aligned(orphan_counts(child, parent, foreign_key, parent_key, [SNAPSHOT]), expected)
-    rate = _rate(F.col("orphan_count"), F.col("total_rows"))
-    status = (
-        F.when(F.col("orphan_count") == 0, F.lit(PASS)).when(rate <= max_orphan_pct, F.lit(WARN)).otherwise(F.lit(FAIL))
-    )
-    detail = _detail({"threshold_pct": F.lit(float(max_orphan_pct))})
-    target = f"{foreign_key}->{parent_entity}"
-    return _results(
-        counts,
-        _record("referential_integrity", child_entity, target, status, F.col("orphan_count"), rate, detail),
-    )
+    rule = ReferenceRule(child_entity, child, parent_entity, parent, foreign_key, parent_key, max_orphan_pct)
+    return evaluate([rule], expected)
 
 
 def dq_release_not_future(albums: DataFrame, expected: DataFrame | None = None) -> DataFrame:
     """FAIL on releases dated after the snapshot that reports them."""
-    future = F.count(F.when(F.col("release_date") > F.col(SNAPSHOT), 1))
-    counts = _aligned(
-        albums.groupBy(SNAPSHOT).agg(F.count(F.lit(1)).alias("total_rows"), future.alias("future_rows")), expected
-    )
-    found = F.col("future_rows")
-    return _results(
-        counts,
-        _record(
-            "release_not_future", "albums", "release_date", _pass_or_fail(found > 0), found,
-            _rate(found, F.col("total_rows")), _detail({"release_date": found}),
-        ),
-    )
+    return evaluate([FutureReleaseRule(albums)], expected)
+
+
+def quality_gate(
+    artists: DataFrame,
+    albums: DataFrame,
+    tracks: DataFrame,
+    max_orphan_pct: float = M.MAX_ORPHAN_PCT,
+    track_bounds: Mapping[str, tuple] = M.TRACK_BOUNDS,
+    expected: DataFrame | None = None,
+) -> DataFrame:
+    """The 13 standard checks, for every snapshot of the three tables."""
+    tables = {"artists": artists, "albums": albums, "tracks": tracks}
+    rules: list[Rules] = [
+        RowRules(
+            entity, df, 1, [M.ENTITY_KEY[entity]], M.CRITICAL_COLUMNS[entity],
+            track_bounds if entity == "tracks" else None,
+        )
+        for entity, df in tables.items()
+    ]
+    rules += [
+        ReferenceRule(child, tables[child], parent, tables[parent], key, max_orphan_pct=max_orphan_pct)
+        for child, parent, key in M.FOREIGN_KEYS
+    ]
+    return evaluate(rules, expected)
 
 
 def dq_report(results: DataFrame) -> DataFrame:
@@ -270,36 +330,6 @@ def dq_report(results: DataFrame) -> DataFrame:
     )
 
 
-def quality_gate(
-    artists: DataFrame,
-    albums: DataFrame,
-    tracks: DataFrame,
-    max_orphan_pct: float = M.MAX_ORPHAN_PCT,
-    track_bounds: Mapping[str, tuple] = M.TRACK_BOUNDS,
-    expected: DataFrame | None = None,
-) -> DataFrame:
-    """The 13 standard checks, for every snapshot of the three tables."""
-    tables = {"artists": artists, "albums": albums, "tracks": tracks}
-    if expected is None:
-        expected = snapshots_of(artists, albums, tracks)
-    results = []
-    for entity, table in tables.items():
-        bounds = track_bounds if entity == "tracks" else {}
-        rules = EntityRules(entity, [M.ENTITY_KEY[entity]], M.CRITICAL_COLUMNS[entity], bounds)
-        # One scan feeds all rules of the entity.
-        records = [rules.completeness(), rules.uniqueness(), rules.critical_nulls()]
-        if bounds:
-            records.append(rules.value_ranges())
-        results.append(_results(rules.measure(table, expected), *records))
-    for child, parent, key in M.FOREIGN_KEYS:
-        results.append(
-            dq_referential(
-                tables[child], tables[parent], key, child, parent, max_orphan_pct=max_orphan_pct, expected=expected
-            )
-        )
-    return reduce(DataFrame.unionByName, results)
-
-
 def quarantine(df: DataFrame, rule: str, reason: str) -> DataFrame:
     """Rejected rows with their audit stamp; the snapshot column stays as it is."""
     return df.withColumns({
@@ -307,17 +337,3 @@ def quarantine(df: DataFrame, rule: str, reason: str) -> DataFrame:
         "dq_reason": F.lit(reason),
         "quarantined_at": F.current_timestamp(),
     })
-
-
-def split_orphans(
-    child: DataFrame,
-    parent: DataFrame,
-    foreign_key: str,
-    parent_key: str | None = None,
-) -> DataFrame:
-    """Child rows with a boolean ``__orphan``: one join serves both outputs."""
-    parents = parent.select(
-        F.col(parent_key or foreign_key).alias("__pk"), F.col(SNAPSHOT).alias("__ps")
-    ).distinct().withColumn("__found", F.lit(True))
-    joined = child.join(parents, (F.col(foreign_key) == F.col("__pk")) & (F.col(SNAPSHOT) == F.col("__ps")), "left")
-    return joined.withColumn("__orphan", F.col("__found").isNull()).drop("__pk", "__ps", "__found")
