@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,20 +67,27 @@ def write_raw_lines(df: DataFrame, path: str) -> str:
 
 
 def write_raw_arrays(df: DataFrame, path: str, rows_per_file: int = 100_000) -> str:
-    """Land rows as JSON-array files of bounded size.
+    """Land rows as JSON-array files of at most ``rows_per_file`` rows.
 
-    Rows are dealt to files by a hash that includes a row number, so equal rows
-    do not pile up in one array.
+    Every task cuts its own rows into arrays, so nothing is shuffled or grouped
+    and a repeated task writes the same rows again.
     """
-    files = max(1, -(-df.count() // rows_per_file))
-    dealt = df.select(
-        F.to_json(F.struct(*df.columns)).alias("doc"),
-        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(files)).alias("file"),
-    )
-    arrays = dealt.groupBy("file").agg(
-        F.concat(F.lit("["), F.array_join(F.collect_list("doc"), ","), F.lit("]")).alias("value")
-    )
-    arrays.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+
+    def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[str] = []
+        for batch in batches:
+            held.extend(batch.column(0).to_pylist())
+            while len(held) >= rows_per_file:
+                yield _array_document(held[:rows_per_file])
+                del held[:rows_per_file]
+        if held:
+            yield _array_document(held)
+
+    documents = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    written = documents.mapInArrow(arrays, "value string")
+    written.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
     return path
 
 
+def _array_document(documents: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"value": ["[" + ",".join(documents) + "]"]})
