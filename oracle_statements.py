@@ -751,6 +751,16 @@ _FINAL: dict[str, str] = {
     "snapshot_base_any_keys": f"SELECT * FROM base WHERE snapshot_date = {day(FOURTH)}",
     "fact_artist_snapshot": "SELECT * FROM fact",
     "fact_at_snapshot": f"SELECT * FROM fact WHERE snapshot_date = {day(LAST)}",
+    "fact_increment": f"SELECT * FROM fact WHERE snapshot_date = {day(LAST)}",
+    "build_gold": f"""SELECT 'dim_date' AS table_name, CAST(date_diff('day', DATE '1950-01-01', DATE '2030-12-31') + 1
+          AS BIGINT) AS row_count, CAST(date_diff('day', DATE '1950-01-01', DATE '2030-12-31') + 1 AS BIGINT) AS last_written
+        UNION ALL SELECT 'dim_artist', count(*), count(*) FROM da UNION ALL SELECT 'dim_album', count(*), count(*) FROM db
+        UNION ALL SELECT 'dim_track', count(*), count(*) FROM dt
+        UNION ALL SELECT 'fact_artist_snapshot', count(*), count(*) FILTER (snapshot_date = {day(LAST)}) FROM fact""",
+    "register_mart_views": """SELECT a.catalog_strategy, m.momentum_tier, g.growth_classification, m.snapshot_date,
+        count(*) AS artists, CAST(sum(m.total_tracks) AS BIGINT) AS tracks FROM momentum m
+        JOIN activity a ON m.artist_key = a.artist_key AND m.snapshot_date = a.snapshot_date
+        JOIN growth g ON m.artist_key = g.artist_key AND m.snapshot_date = g.snapshot_date GROUP BY ALL""",
     "mart_artist_activity": "SELECT * FROM activity",
     "mart_artist_activity_latest": f"SELECT * FROM activity WHERE snapshot_date = {LATEST}",
     "mart_catalog_growth": "SELECT * FROM growth",

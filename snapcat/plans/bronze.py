@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -66,13 +66,18 @@ def to_bronze(entity: str, raw: DataFrame, source: str = DEFAULT_SOURCE) -> Data
     return TO_BRONZE[entity](raw, source)
 
 
-def write_counted(df: DataFrame, path: str, name: str) -> int:
-    """Write one snapshot of a table and return its rows, counted by the write itself."""
+def counted(df: DataFrame, name: str, write: Callable[[DataFrame], object]) -> int:
+    """Rows that ``write`` wrote, counted by the write itself instead of a second scan."""
     observed = Observation(name)
-    write_snapshot(df.observe(observed, F.count(F.lit(1)).alias("n")), path, gather=False)
+    write(df.observe(observed, F.count(F.lit(1)).alias("n")))
     return observed.get["n"]
 
 
+def write_counted(df: DataFrame, path: str, name: str) -> int:
+    """Write one snapshot of a table and return its rows."""
+    return counted(df, name, lambda rows: write_snapshot(rows, path, gather=False))
+
+
 def bronze_snapshot(
     spark: SparkSession,
     raw_root: str,

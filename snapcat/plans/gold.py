@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapcat.functions import metrics
-from snapcat.model import SNAPSHOT
+from snapcat.model import ENTITIES, SNAPSHOT
 from snapcat.operators import aggregates as A
 from snapcat.operators import windows as W
 from snapcat.operators.dedupe import scd1_latest
 from snapcat.operators.joins import snapshot_grid_join
-from snapcat.sources.tables import generate_calendar
+from snapcat.plans.bronze import counted, write_counted
+from snapcat.sources.tables import generate_calendar, scan_snapshot, write_dimension, write_snapshot
 
 COUNTS = ("total_albums", "total_tracks", "total_singles", "recent_releases_12m")
 
@@ -98,24 +99,12 @@ def snapshot_base(
     return base.select(*A.GRID, *COUNTS, "median_release_cadence_days")
 
 
-def fact_artist_snapshot(
-    artists: DataFrame,
-    albums: DataFrame,
-    tracks: DataFrame,
-    snapshot: str | None = None,
-    keys_unique: bool = False,
-) -> DataFrame:
-    """Periodic-snapshot fact with growth and the momentum index.
-
-    Growth looks back over all snapshots; a target snapshot is filtered last, so
-    it still sees its predecessor.
-    """
-    base = snapshot_base(artists, albums, tracks, keys_unique=keys_unique)
-    grown = W.growth_pct(base)
+def _fact(grown: DataFrame) -> DataFrame:
+    """Fact columns from base measures with growth."""
     index = metrics.momentum_index(
         F.col("recent_releases_12m"), F.col("catalog_growth_pct"), F.col("median_release_cadence_days")
     )
-    fact = grown.select(
+    return grown.select(
         metrics.surrogate_key(F.col("artist_id")).alias("artist_key"),
         metrics.date_key(F.col(SNAPSHOT)).alias("date_key"),
         "artist_id",
@@ -126,4 +115,78 @@ def fact_artist_snapshot(
         index.alias("catalog_momentum_index"),
         F.current_timestamp().alias("gold_transformed_at"),
     )
+
+
+def fact_artist_snapshot(
+    artists: DataFrame,
+    albums: DataFrame,
+    tracks: DataFrame,
+    snapshot: str | None = None,
+    keys_unique: bool = False,
+) -> DataFrame:
+    """Periodic-snapshot fact with growth and the momentum index.
+
+    Growth looks back over all snapshots; a target snapshot is filtered last, so
+    it still sees its predecessor.
+    """
+    fact = _fact(W.growth_pct(snapshot_base(artists, albums, tracks, keys_unique=keys_unique)))
     return fact if snapshot is None else fact.filter(F.col(SNAPSHOT) == F.to_date(F.lit(snapshot)))
+
+
+def fact_increment(
+    artists: DataFrame,
+    albums: DataFrame,
+    tracks: DataFrame,
+    history: DataFrame,
+    snapshot: str,
+    keys_unique: bool = False,
+) -> DataFrame:
+    """The same fact rows for one snapshot, reading only that snapshot of Silver.
+
+    The predecessor's track count comes from the fact written earlier
+    (``history``), which is smaller than Silver by the size of a catalog.
+    """
+    day = F.to_date(F.lit(snapshot))
+    base = snapshot_base(artists, albums, tracks, snapshot, keys_unique)
+    before = history.filter(F.col(SNAPSHOT) < day).groupBy("artist_id").agg(
+        F.max_by("total_tracks", SNAPSHOT).alias("previous")
+    )
+    grown = base.join(before, "artist_id", "left").withColumn(
+        "catalog_growth_pct", metrics.growth_pct(F.col("total_tracks"), F.col("previous"))
+    )
+    return _fact(grown)
+
+
+def build_gold(
+    spark: SparkSession,
+    silver_root: str,
+    gold_root: str,
+    snapshot: str | None = None,
+    keys_unique: bool = False,
+    calendar: tuple[str, str] = ("1950-01-01", "2030-12-31"),
+) -> dict[str, int]:
+    """Silver -> the five Gold tables; rows written per table.
+
+    Dimensions are replaced.  The fact is written for every snapshot, or for one
+    on top of the history that is already there.
+    """
+    artists, albums, tracks = (scan_snapshot(spark, f"{silver_root}/{entity}") for entity in ENTITIES)
+    dimensions = {
+        "dim_date": dim_date(spark, *calendar),
+        "dim_artist": dim_artist(artists),
+        "dim_album": dim_album(albums),
+        "dim_track": dim_track(tracks),
+    }
+    rows = {
+        name: counted(df, name, lambda out, name=name: write_dimension(out, f"{gold_root}/{name}"))
+        for name, df in dimensions.items()
+    }
+    path = f"{gold_root}/fact_artist_snapshot"
+    if snapshot is None:
+        fact = fact_artist_snapshot(artists, albums, tracks, keys_unique=keys_unique)
+        rows["fact_artist_snapshot"] = counted(fact, "fact", lambda out: write_snapshot(out, path))
+    else:
+        history = scan_snapshot(spark, path)
+        fact = fact_increment(artists, albums, tracks, history, snapshot, keys_unique)
+        rows["fact_artist_snapshot"] = write_counted(fact, path, "fact")
+    return rows

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapcat.functions import metrics
@@ -114,3 +114,17 @@ def mart_artist_momentum_latest(fact: DataFrame, dim_artist: DataFrame) -> DataF
     """Latest snapshot only; the predecessor is looked up before the filter."""
     latest = latest_snapshot_filter(_momentum(fact, dim_artist), fact)
     return rank_global(latest, ["catalog_momentum_index"], "momentum_rank").select(*MOMENTUM_LATEST_COLUMNS)
+
+
+def register_mart_views(spark: SparkSession) -> tuple[str, ...]:
+    """The four marts as temporary views over the registered Gold views."""
+    fact, artist, album = (spark.table(n) for n in ("fact_artist_snapshot", "dim_artist", "dim_album"))
+    views = {
+        "mart_artist_activity": mart_artist_activity(fact, artist),
+        "mart_catalog_growth": mart_catalog_growth(fact, artist),
+        "mart_release_seasonality": mart_release_seasonality(album),
+        "mart_artist_momentum": mart_artist_momentum(fact, artist),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return tuple(views)

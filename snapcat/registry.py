@@ -1012,6 +1012,47 @@ def fact_at_snapshot(w):
     return gold.fact_artist_snapshot(*w.silver(), snapshot=LAST, keys_unique=True)
 
 
+@query
+def fact_increment(w):
+    return gold.fact_increment(*w.silver(), w.fact(), LAST, keys_unique=True)
+
+
+@query
+def build_gold(w):
+    """All snapshots, then one of them again on top of its history."""
+    root = scratch_path(w.spark, "gold")
+    w.silver()
+    source = w.path("artists").rsplit("/", 1)[0]
+    gold.build_gold(w.spark, source, root, keys_unique=True)
+    counts = gold.build_gold(w.spark, source, root, snapshot=LAST, keys_unique=True)
+    written = F.create_map(*(F.lit(v) for pair in counts.items() for v in pair))
+    parts = [
+        w.spark.read.parquet(f"{root}/{name}").agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count")
+        )
+        for name in T.GOLD_TABLES
+    ]
+    stacked = reduce(DataFrame.unionByName, parts)
+    return stacked.withColumn("last_written", written[F.col("table_name")].cast("bigint"))
+
+
+@query
+def register_mart_views(w):
+    """A question asked in SQL over the views."""
+    T.register_gold_views(w.spark, w.gold_root())
+    marts.register_mart_views(w.spark)
+    return w.spark.sql(
+        """
+        SELECT a.catalog_strategy, m.momentum_tier, g.growth_classification, m.snapshot_date,
+               COUNT(*) AS artists, SUM(m.total_tracks) AS tracks
+        FROM mart_artist_momentum m
+        JOIN mart_artist_activity a ON m.artist_key = a.artist_key AND m.snapshot_date = a.snapshot_date
+        JOIN mart_catalog_growth g ON m.artist_key = g.artist_key AND m.snapshot_date = g.snapshot_date
+        GROUP BY a.catalog_strategy, m.momentum_tier, g.growth_classification, m.snapshot_date
+        """
+    )
+
+
 @query
 def mart_artist_activity(w):
     return w.activity()
