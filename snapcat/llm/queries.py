@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from snapcat.llm import decontaminate
+from snapcat.llm import decontaminate, langid, pii
 
 QUERIES = {
+    "op3_language_id": langid.op3_language_id,
     "op7_decontaminate": decontaminate.op7_decontaminate,
+    "op9_pii": pii.op9_pii,
 }
 
 SQL = {
