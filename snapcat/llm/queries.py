@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from snapcat.llm import decontaminate, langid, pii
+from snapcat.llm import decontaminate, langid, packing, pii, quality, token_files
 
 QUERIES = {
+    "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op3_language_id": langid.op3_language_id,
+    "op4_token_files": token_files.op4_token_files,
     "op7_decontaminate": decontaminate.op7_decontaminate,
+    "op8_quality": quality.op8_quality,
     "op9_pii": pii.op9_pii,
 }
 
