@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from snapcat.llm import decontaminate, langid, packing, pii, quality, token_files
+from snapcat.llm import decontaminate, langid, lm, packing, pii, quality, token_files
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -11,6 +11,7 @@ QUERIES = {
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_quality": quality.op8_quality,
     "op9_pii": pii.op9_pii,
+    "op10_lm_scoring": lm.op10_lm_scoring,
 }
 
 SQL = {
