@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from snapcat.llm import decontaminate, langid, lm, packing, pii, quality, token_files
+from snapcat.llm import decontaminate, html_text, langid, lm, packing, pii, quality, token_files
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op3_language_id": langid.op3_language_id,
     "op4_token_files": token_files.op4_token_files,
+    "op5_html_text": html_text.op5_html_text,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_quality": quality.op8_quality,
     "op9_pii": pii.op9_pii,
