@@ -50,6 +50,14 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*(F.col(c) for c in columns))
 
 
+def free_name(base: str, df: DataFrame) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column; NULL counts as empty."""
     column = pc.fill_null(column.cast(pa.string()), "")
@@ -154,6 +162,32 @@ def grams(hashes: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
+#: Bits of the fixed-size filter that spares a shuffle what cannot match (a power of two that divides 2**32).
+FILTER_BITS = 1 << 23
+
+
+def filter_slots(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    keys = keys.view(np.uint64)
+    return (keys % np.uint64(FILTER_BITS)).astype(np.int64), ((keys >> np.uint64(32)) % np.uint64(FILTER_BITS)).astype(np.int64)
+
+
+def bit_filter(keys: DataFrame) -> bytes:
+    """Bits of all 64-bit keys (one column), OR-ed per word before they reach the driver: FILTER_BITS / 8 bytes."""
+    key = F.col(keys.columns[0])
+    low = lambda c: F.pmod(c, F.lit(FILTER_BITS).cast("long"))
+    # FILTER_BITS divides 2**32, so the signed remainder equals the unsigned one.
+    slots = keys.select(F.explode(F.array(low(key), low(F.shiftrightunsigned(key, 32)))).alias("slot"))
+    words = slots.groupBy((F.col("slot") / 64).cast("long").alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits")).toArrow()
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[np.asarray(words["word"])] = np.asarray(words["bits"])
+    return out.tobytes()
+
+
+def filter_member(bits: bytes) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").view(bool)
+
+
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema

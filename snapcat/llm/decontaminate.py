@@ -19,15 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from snapcat.llm.common import Words, batch, chunks, grams, load, mix, row_key, small_batches, stage
+from snapcat.llm.common import (
+    Words, batch, bit_filter, chunks, filter_member, filter_slots, free_name, grams, load, mix, row_key, small_batches, stage)
 
 SPAN = 13
 K = 7
 WINDOW = SPAN - K + 1
 REACH = SPAN - K
 CONTEXT = K + 2 * REACH
-#: Bits of the fixed-size filter (a power of two).
-FILTER_BITS = 1 << 23
 #: A document is contaminated if hits cover at least one word in SHARE.
 SHARE = 20
 
@@ -77,10 +76,6 @@ def contexts(words: np.ndarray, owner: np.ndarray, span: np.ndarray, at: np.ndar
     return np.where(inside, words[where], np.uint64(outside))
 
 
-def filter_slots(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (fp % np.uint64(FILTER_BITS)).astype(np.int64), ((fp >> np.uint64(32)) % np.uint64(FILTER_BITS)).astype(np.int64)
-
-
 def print_table(df: DataFrame, key: str, spans: tuple[int, ...], bits: bytes | None) -> DataFrame:
     """A row per text with its word count, and a row per fingerprint (that passes ``bits``)."""
     small_batches(df.sparkSession)
@@ -88,7 +83,7 @@ def print_table(df: DataFrame, key: str, spans: tuple[int, ...], bits: bytes | N
 
     def run(batches):
         tokens = Words()
-        member = None if bits is None else np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").view(bool)
+        member = None if bits is None else filter_member(bits)
         schema = pa.schema([("id", pa.int64()), ("rk", pa.int64()), ("n_words", pa.int64()), ("span", pa.int32()),
                             ("fp", pa.int64()), ("pos", pa.int64()), ("context", pa.binary())])
         for b in batches:
@@ -113,20 +108,6 @@ def print_table(df: DataFrame, key: str, spans: tuple[int, ...], bits: bytes | N
     return df.select(F.col(key).cast("long").alias("id"), row_key(key, "text").alias("rk"), "text").mapInArrow(run, PRINTS)
 
 
-def bit_filter(prints: DataFrame) -> bytes:
-    """Bits of all benchmark fingerprints, OR-ed per 64-bit word before they reach the driver (FILTER_BITS / 8 bytes)."""
-    low = lambda c: F.pmod(c, F.lit(FILTER_BITS).cast("long"))
-    # FILTER_BITS divides 2**32, so the signed remainder equals the unsigned one.
-    slots = prints.filter("fp is not null").select(
-        F.explode(F.array(low(F.col("fp")), low(F.shiftrightunsigned(F.col("fp"), 32)))).alias("slot"))
-    words = slots.groupBy((F.col("slot") / 64).cast("long").alias("word")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits"))
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    for row in words.toLocalIterator():
-        out[row.word] = row.bits
-    return out.tobytes()
-
-
 def extend(joined: DataFrame) -> DataFrame:
     """Runs of equal words around each matching fingerprint: (id, rk, item_id, lo, hi)."""
 
@@ -155,7 +136,7 @@ def hits(documents: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFra
     spark = small_batches(documents.sparkSession)
     items = stage(print_table(benchmark, "item_id", (), None), "bench-prints")
     short = [r[0] for r in items.filter(F.col("span") < SPAN).select("span").distinct().collect()]  # at most 12 lengths
-    prints = stage(print_table(documents, "doc_id", tuple(short), bit_filter(items)), "doc-prints")
+    prints = stage(print_table(documents, "doc_id", tuple(short), bit_filter(items.filter("fp is not null").select("fp"))), "doc-prints")
     ours = prints.filter("fp is not null").select("id", "rk", "span", "fp", "pos", "context")
     theirs = items.filter("fp is not null").select(
         F.col("id").alias("item_id"), "span", "fp", F.col("context").alias("item_context")).distinct()
@@ -194,10 +175,10 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents that are not contaminated, with all their columns."""
-    bad = decontaminate(documents, benchmark).filter("contaminated").select(
-        F.col("rk").alias("bad_rk"), F.col("doc_id").alias("bad_id")).distinct()
+    rk, id_ = free_name("bad_rk", documents), free_name("bad_id", documents)
+    bad = decontaminate(documents, benchmark).filter("contaminated").select(F.col("rk").alias(rk), F.col("doc_id").alias(id_)).distinct()
     return documents.join(
-        bad, (row_key("doc_id", "text") == F.col("bad_rk")) & F.col("doc_id").cast("long").eqNullSafe(F.col("bad_id")), "left_anti")
+        bad, (row_key("doc_id", "text") == F.col(rk)) & F.col("doc_id").cast("long").eqNullSafe(F.col(id_)), "left_anti")
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from snapcat.llm.html_pages import TAGS, TEXT_TAGS, Tree, labelled_pages, marked
 #: Bounded training sample of the table's pages, by the hash of their id and url.
 SAMPLE_PAGES = 400
 #: Weight of that sample beside the fixed pages, which show more kinds of layout.
-TABLE_WEIGHT = 0.25
+TABLE_WEIGHT = 0.1
 #: Features of an element and their numbers of values; edges: child's group, parent's label.
 TAG_NUMBER = {t: i + 1 for i, t in enumerate(TAGS)}
 SIZES = {"tag": len(TAGS) + 1, "hint": 4, "links": 4, "length": 15}

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapcat.llm.common import bucket_of, load, mix, small_batches
+from snapcat.llm.common import bucket_of, free_name, load, mix, small_batches
 
 #: Slots of the filter (a power of two) and hashes per trigram; size and memory don't depend on the corpus.
 SLOTS = 1 << 20
@@ -172,15 +172,15 @@ def identify(texts: list[str], model: Model) -> tuple[list[str], np.ndarray]:
     return labels, np.concatenate(scores) if scores else np.zeros(0)
 
 
-def predict(documents: DataFrame, model: Model) -> DataFrame:
-    """All columns, and lang_pred and score.
+def predict(documents: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """All columns, and the predicted language and its score under ``names`` (columns of these names are replaced).
 
     NULL texts and texts without a letter give ``und`` with score 0; so does every text if nothing was
     learned.  Ties go to the language first in order.
     """
     spark = small_batches(documents.sparkSession)
     shared = spark.sparkContext.broadcast(tuple(model))  # plain values: workers need no class of this package
-    columns = [c for c in documents.columns if c not in ("lang_pred", "score")]
+    columns = [c for c in documents.columns if c not in names]
     at = columns.index("text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(columns).schema)
 
@@ -188,15 +188,16 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
         for b in batches:
             labels, scores = identify([t or "" for t in b.column(at).to_pylist()], Model(*shared.value))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(labels, pa.string()), pa.array(scores, pa.float64())],
-                                             [*columns, "lang_pred", "score"])
+                                             [*columns, *names])
 
-    return documents.select(columns).mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return documents.select(columns).mapInArrow(run, f"{schema}, `{names[0]}` string, `{names[1]}` double")
 
 
 def known_language(documents: DataFrame) -> DataFrame:
     """Documents whose language is recognised, learned from those of them that name one; columns stay."""
-    predicted = predict(documents, train(documents))
-    kept = predicted.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    language, score = free_name("language_", documents), free_name("score_", documents)
+    predicted = predict(documents, train(documents), (language, score))
+    kept = predicted.filter((F.col(language) != UNDETERMINED) & (F.col(score) >= LEAST_SCORE))
     return kept.select(*documents.columns)
 
 

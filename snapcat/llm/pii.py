@@ -17,7 +17,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from snapcat.llm.common import load, small_batches
 
@@ -234,15 +233,13 @@ def find_pii(documents: DataFrame) -> DataFrame:
 def redacted(documents: DataFrame) -> DataFrame:
     """Documents with personal data replaced in ``text`` and ``n_chars`` set to its new length; NULL stays NULL."""
     small_batches(documents.sparkSession)
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in documents.schema.fields])
-    arrow = to_arrow_schema(schema, timezone="UTC")
-    at = documents.columns.index("text")
+    names, schema = documents.columns, T.StructType([T.StructField(f.name, f.dataType, True) for f in documents.schema])
+    at = names.index("text")
 
     def run(batches):
         for b in batches:
             texts = pa.array([None if t is None else redact(t) for t in b.column(at).to_pylist()], pa.string())
-            columns = [texts if i == at else c for i, c in enumerate(b.columns)]
-            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+            yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(b.columns)], names)
 
     out = documents.mapInArrow(run, schema)
     if "n_chars" in documents.columns:
