@@ -36,8 +36,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs the documents' tokens into sequences; a row per piece, with its ids."""
-    return packing.pack(docs, TOKENIZER, keep_ids=True)
+    """Packs the documents' tokens into sequences; a row per piece."""
+    return packing.pack(docs, TOKENIZER)
 
 
 STAGES = [
