@@ -433,17 +433,18 @@ _DURATIONS = f"""SELECT artist_name, track_name, {rnd('CAST(duration_ms AS DOUBL
   album_type, CAST(year(release_date) AS INTEGER) AS release_year, explicit FROM named_tracks
   WHERE duration_ms > 0 AND duration_ms < 1200000"""
 _GATED = f"""
-  SELECT {day(LAST)} AS snapshot_date, 'WARN' AS overall_status, 'silver_artists' AS output, count(*) AS row_count
-    FROM sa WHERE snapshot_date = {day(LAST)}
-  UNION ALL SELECT {day(LAST)}, 'WARN', 'silver_albums', count(*) FROM sb c WHERE snapshot_date = {day(LAST)}
-    AND EXISTS (SELECT 1 FROM sa p WHERE p.artist_id = c.artist_id AND p.snapshot_date = c.snapshot_date)
-  UNION ALL SELECT {day(LAST)}, 'WARN', 'silver_tracks', count(*) FROM st c WHERE snapshot_date = {day(LAST)}
-    AND EXISTS (SELECT 1 FROM sb p WHERE p.album_id = c.album_id AND p.snapshot_date = c.snapshot_date)
-  UNION ALL SELECT {day(LAST)}, 'WARN', 'quarantine_albums', count(*) FROM {_ORPHAN_ALBUMS}
-    AND snapshot_date = {day(LAST)}
-  UNION ALL SELECT {day(LAST)}, 'WARN', 'quarantine_tracks', count(*) FROM st c WHERE snapshot_date = {day(LAST)}
-    AND NOT EXISTS (SELECT 1 FROM sb p WHERE p.album_id = c.album_id AND p.snapshot_date = c.snapshot_date)
-  UNION ALL SELECT {day(THIRD)}, 'FAIL', NULL, NULL"""
+  SELECT snapshot_date, overall_status, output, count(*) AS row_count
+  FROM (SELECT snapshot_date, overall_status FROM ({REPORT}) WHERE overall_status <> 'FAIL') JOIN (
+    SELECT snapshot_date, 'silver_artists' AS output FROM sa
+    UNION ALL SELECT snapshot_date, 'silver_albums' FROM sb c
+      WHERE EXISTS (SELECT 1 FROM sa p WHERE p.artist_id = c.artist_id AND p.snapshot_date = c.snapshot_date)
+    UNION ALL SELECT snapshot_date, 'silver_tracks' FROM st c
+      WHERE EXISTS (SELECT 1 FROM sb p WHERE p.album_id = c.album_id AND p.snapshot_date = c.snapshot_date)
+    UNION ALL SELECT snapshot_date, 'quarantine_albums' FROM {_ORPHAN_ALBUMS}
+    UNION ALL SELECT snapshot_date, 'quarantine_tracks' FROM st c
+      WHERE NOT EXISTS (SELECT 1 FROM sb p WHERE p.album_id = c.album_id AND p.snapshot_date = c.snapshot_date)
+  ) USING (snapshot_date) GROUP BY ALL
+  UNION ALL SELECT snapshot_date, overall_status, NULL, NULL FROM ({REPORT}) WHERE overall_status = 'FAIL'"""
 _KEPT_ALBUM = """EXISTS (SELECT 1 FROM sb b JOIN sa a ON a.artist_id = b.artist_id AND a.snapshot_date = b.snapshot_date
   WHERE b.album_id = c.album_id AND b.snapshot_date = c.snapshot_date)"""
 _CALENDAR = """SELECT CAST(unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS DATE)
@@ -475,11 +476,19 @@ _FINAL: dict[str, str] = {
         snapshot_date FROM {_ORPHAN_ALBUMS}""",
     "write_dq_report": f"""SELECT g.*, r.overall_status, r.success_rate_pct FROM ({GATE}) g
         JOIN ({REPORT}) r ON g.snapshot_date = r.snapshot_date""",
+    "quarantine_rerun": f"""SELECT album_id, artist_id, 'referential_integrity' AS dq_rule, 'orphan_artist_id' AS dq_reason,
+        snapshot_date FROM {_ORPHAN_ALBUMS}""",
+    "footprint_rows": """SELECT entity, layer, row_count, row_count = expected AS rows_as_expected FROM (
+        SELECT 'artists' AS entity, 'raw' AS layer, count(*) AS row_count, (SELECT count(*) FROM raw_artists) AS expected FROM raw_artists
+        UNION ALL SELECT 'artists', 'silver', count(*), (SELECT count(*) FROM raw_artists) FROM sa
+        UNION ALL SELECT 'albums', 'raw', count(*), (SELECT count(*) FROM raw_albums) FROM raw_albums
+        UNION ALL SELECT 'albums', 'silver', count(*), (SELECT count(*) FROM raw_albums) FROM sb
+        UNION ALL SELECT 'tracks', 'raw', count(*), (SELECT count(*) FROM raw_tracks) FROM raw_tracks
+        UNION ALL SELECT 'tracks', 'silver', count(*), (SELECT count(*) FROM raw_tracks) FROM st)""",
     "generate_calendar": _CALENDAR,
-    "corrupt_record_split": f"""SELECT CASE WHEN k % 29 = 0 THEN 'bad' ELSE 'good' END AS kind,
-        CASE WHEN k % 29 = 0 THEN '{{"artist_id": "' || k || '", "artist_na' ELSE external_uri END AS record
-        FROM (SELECT *, CAST(split_part(external_uri, ':', 3) AS BIGINT) AS k FROM raw_artists
-          WHERE snapshot_date = {day(LAST)})""",
+    "corrupt_record_split": """SELECT CASE WHEN k % 29 = 0 THEN 'bad' ELSE 'good' END AS kind,
+        CASE WHEN k % 29 = 0 THEN '{"artist_id": "' || k || '", "artist_na' ELSE external_uri END AS record
+        FROM (SELECT *, CAST(split_part(external_uri, ':', 3) AS BIGINT) AS k FROM raw_artists)""",
     # projections, filters
     "bronze_artists": """SELECT trim(artist_id) AS artist_id, trim(artist_name) AS artist_name, external_uri, image_url,
         genre AS genres, extracted_at, snapshot_date, 'catalog-api' AS source FROM raw_artists""",
@@ -504,10 +513,10 @@ _FINAL: dict[str, str] = {
     "latest_snapshot_filter": f"SELECT * FROM fact WHERE snapshot_date = {LATEST}",
     "asof_release_filter": "SELECT album_id, snapshot_date, release_date FROM sb WHERE release_date <= snapshot_date",
     "since_filter": """SELECT trim(album_id) AS album_id, snapshot_date, release_date FROM raw_albums
-        WHERE release_date IS NULL OR release_date = '' OR release_date >= '1999-06-15'""",
-    "since_filter_by_date": """SELECT trim(r.album_id) AS album_id, r.snapshot_date, r.release_date FROM raw_albums r
-        JOIN clean_albums c ON trim(r.album_id) = c.album_id AND r.snapshot_date = c.snapshot_date
-        WHERE c.release_date IS NULL OR c.release_date >= DATE '1999-06-15'""",
+        WHERE release_date IS NULL OR release_date = '' OR release_date >= '1999-01-01'""",
+    "since_filter_by_date": """SELECT trim(album_id) AS album_id, snapshot_date, release_date FROM texted_albums
+        WHERE coalesce(TRY_CAST(CASE length(t) WHEN 4 THEN t || '-01-01' WHEN 7 THEN t || '-01' ELSE t END AS DATE)
+          >= DATE '1999-01-01', true)""",
     "explore_tracks": f"""SELECT {_EXPLORE} FROM named_tracks WHERE artist_name IN ({_NAMES})
         AND album_type IN ('album', 'single') {_EXPLORE_ORDER}""",
     "explore_all_tracks": f"SELECT {_EXPLORE} FROM named_tracks {_EXPLORE_ORDER}",
@@ -557,8 +566,7 @@ _FINAL: dict[str, str] = {
         AND artist_id NOT IN (SELECT artist_id FROM sa WHERE snapshot_date = {day(THIRD)})""",
     # aggregations
     "track_counts": "SELECT * FROM track_totals",
-    "album_counts": """SELECT * FROM album_totals SEMI JOIN (SELECT DISTINCT artist_id, snapshot_date FROM sb
-        WHERE release_date <= snapshot_date) USING (artist_id, snapshot_date)""",
+    "album_counts": "SELECT * FROM album_totals",
     "median_cadence": """SELECT artist_id, snapshot_date, CAST(quantile_disc(gap_days, 0.5) AS DOUBLE)
         AS median_release_cadence_days FROM gaps GROUP BY ALL""",
     "exact_median_cadence": """SELECT artist_id, snapshot_date, CAST(median(gap_days) AS DOUBLE) AS median_cadence_days
@@ -653,9 +661,9 @@ _FINAL: dict[str, str] = {
             AND album_id IN (SELECT album_id FROM sb WHERE snapshot_date = {day(THIRD)})
         UNION ALL SELECT 'fetch', album_id, snapshot_date FROM sb WHERE snapshot_date = {day(THIRD)}
             AND album_id NOT IN (SELECT album_id FROM st WHERE snapshot_date = {day(SECOND)})""",
-    "dedupe_first_seen": f"""SELECT track_id, track_name, duration_ms, extracted_at FROM clean_tracks
-        WHERE snapshot_date = {day(LAST)} AND duration_ms % 31 <> 0
-        QUALIFY row_number() OVER (PARTITION BY track_id ORDER BY extracted_at, track_name, duration_ms, explicit) = 1""",
+    "dedupe_first_seen": """SELECT track_id, snapshot_date, track_name, duration_ms, extracted_at FROM clean_tracks
+        WHERE duration_ms % 31 <> 0
+        QUALIFY row_number() OVER (PARTITION BY track_id, snapshot_date ORDER BY extracted_at, track_name, duration_ms, explicit) = 1""",
     # ledger and idempotence
     "pending_snapshots": f"""SELECT DISTINCT snapshot_date FROM st
         WHERE snapshot_date NOT IN ({day(THIRD)}, {day(FIRST)})""",
@@ -690,9 +698,13 @@ _FINAL: dict[str, str] = {
         "allowed:disc_number": "disc_number <> 1",
         "allowed:track_number": "track_number NOT IN (1, 2, 3, 4)",
     }),
+    "dq_completeness_empty": """SELECT 'completeness' AS rule, 'artists' AS entity, '' AS target, NULL::DATE AS snapshot_date,
+        'FAIL' AS status, CAST(0 AS BIGINT) AS total_rows, CAST(1 AS BIGINT) AS violations, 0.0::DOUBLE AS rate_pct,
+        'min_expected=1' AS detail FROM (SELECT count(*) FROM raw_artists WHERE snapshot_date IS NULL)""",
     "dq_report": REPORT,
     "quality_gate": GATE,
     "silver_gated_run": _GATED,
+    "silver_gated_rerun": _GATED,
     "route_orphans_cascade": f"""SELECT track_id, snapshot_date, CASE WHEN {_KEPT_ALBUM} THEN 'kept' ELSE 'quarantined' END
         AS route FROM st c""",
     "dq_release_not_future": rule(
@@ -748,7 +760,7 @@ _FINAL: dict[str, str] = {
     "dim_album": "SELECT * FROM db",
     "dim_track": "SELECT * FROM dt",
     "snapshot_base": "SELECT * FROM base",
-    "snapshot_base_any_keys": f"SELECT * FROM base WHERE snapshot_date = {day(FOURTH)}",
+    "snapshot_base_any_keys": "SELECT * FROM base",
     "fact_artist_snapshot": "SELECT * FROM fact",
     "fact_at_snapshot": f"SELECT * FROM fact WHERE snapshot_date = {day(LAST)}",
     "fact_increment": f"SELECT * FROM fact WHERE snapshot_date = {day(LAST)}",
@@ -757,6 +769,8 @@ _FINAL: dict[str, str] = {
         UNION ALL SELECT 'dim_artist', count(*), count(*) FROM da UNION ALL SELECT 'dim_album', count(*), count(*) FROM db
         UNION ALL SELECT 'dim_track', count(*), count(*) FROM dt
         UNION ALL SELECT 'fact_artist_snapshot', count(*), count(*) FILTER (snapshot_date = {day(LAST)}) FROM fact""",
+    "build_gold_stepwise": "SELECT artist_id, snapshot_date, total_tracks, catalog_growth_pct, catalog_momentum_index FROM fact",
+    "build_gold_backfill": "SELECT artist_id, snapshot_date, total_tracks, catalog_growth_pct, catalog_momentum_index FROM fact",
     "register_mart_views": """SELECT a.catalog_strategy, m.momentum_tier, g.growth_classification, m.snapshot_date,
         count(*) AS artists, CAST(sum(m.total_tracks) AS BIGINT) AS tracks FROM momentum m
         JOIN activity a ON m.artist_key = a.artist_key AND m.snapshot_date = a.snapshot_date
@@ -807,6 +821,11 @@ _FINAL: dict[str, str] = {
     "profile_snapshot": PROFILE_OUT,
     # streaming
     "incremental_landing_albums": f"SELECT {_BRONZE_ALBUMS} FROM raw_albums",
+    "incremental_landing_artists": """SELECT trim(artist_id) AS artist_id, trim(artist_name) AS artist_name, external_uri, image_url,
+        genre AS genres, extracted_at, snapshot_date, 'catalog-api' AS source FROM raw_artists""",
+    "incremental_landing_tracks": """SELECT track_id, track_name, duration_ms, explicit, track_number, disc_number, album_id,
+        artist_id, external_uri, extracted_at, snapshot_date, 'catalog-api' AS source FROM clean_tracks""",
+    "landing_after_batch": f"SELECT {_BRONZE_ALBUMS} FROM raw_albums",
 }
 
 STATEMENTS = {name: f"{BASE}\n{final}" for name, final in _FINAL.items()}

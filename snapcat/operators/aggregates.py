@@ -39,17 +39,23 @@ def track_counts(tracks: DataFrame, keys_unique: bool = False) -> DataFrame:
 def album_counts(albums: DataFrame, keys_unique: bool = False, days: int = RECENT_WINDOW_DAYS) -> DataFrame:
     """Released albums, singles and recent releases per artist and snapshot.
 
-    One flag per measure instead of three DISTINCT aggregates, which would
-    triple the rows.  If ids may repeat, flags are first reduced per album id;
-    that step spreads a hot artist over all tasks by album.
+    An artist without a released album keeps its row, with zeros.  One flag per
+    measure instead of three DISTINCT aggregates, which would triple the rows.  If
+    ids may repeat, flags are first reduced per album id; that step spreads a hot
+    artist over all tasks by album.
     """
-    flagged = albums.filter(released()).select(
+    counts = F.col("album_id").isNotNull() & released()
+
+    def flag(condition):
+        return (counts & condition).cast("int")
+
+    flagged = albums.select(
         *GRID,
         "album_id",
-        (F.col("album_type") == "album").cast("int").alias("total_albums"),
-        (F.col("album_type") == "single").cast("int").alias("total_singles"),
-        is_recent(days).cast("int").alias("recent_releases_12m"),
-    ).filter(F.col("album_id").isNotNull())
+        flag(F.col("album_type") == "album").alias("total_albums"),
+        flag(F.col("album_type") == "single").alias("total_singles"),
+        flag(is_recent(days)).alias("recent_releases_12m"),
+    )
     if not keys_unique:
         flagged = flagged.groupBy(*GRID, "album_id").agg(*(F.max(m).alias(m) for m in ALBUM_MEASURES))
     return flagged.groupBy(*GRID).agg(
@@ -111,7 +117,7 @@ def format_counts_by_month(dim_album: DataFrame) -> DataFrame:
     )
 
 
-def format_evolution_by_year(dim_album: DataFrame, first: int = 1970, last: int = 2026) -> DataFrame:
+def format_evolution_by_year(dim_album: DataFrame, first: int, last: int) -> DataFrame:
     """Albums, singles and all releases per release year within bounds."""
     year = F.substring(F.col("release_date").cast("string"), 1, 4).try_cast("int")
     return (

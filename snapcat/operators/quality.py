@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snapcat import model as M
@@ -52,6 +52,11 @@ def expected_snapshots(spark: SparkSession, snapshots: Sequence[str]) -> DataFra
     return spark.createDataFrame([(s,) for s in snapshots], "d string").select(F.to_date("d").alias(SNAPSHOT))
 
 
+def with_snapshot(df: DataFrame) -> DataFrame:
+    """A table without a snapshot column is one snapshot without a date."""
+    return df if SNAPSHOT in df.columns else df.withColumn(SNAPSHOT, F.lit(None).cast("date"))
+
+
 def _count(condition: Column) -> Column:
     return F.count(F.when(condition, 1))
 
@@ -122,7 +127,7 @@ class RowRules(Rules):
         allowed: Mapping[str, Sequence] | None = None,
     ) -> None:
         super().__init__(entity)
-        self.df, self.min_expected, self.keys = df, min_expected, tuple(keys)
+        self.df, self.min_expected, self.keys = with_snapshot(df), min_expected, tuple(keys)
         self.blanks = {name: blank(name) for name in critical}
         self.ranges = {name: out_of_bounds(name, b) for name, b in (bounds or {}).items()}
         self.ranges |= {f"allowed:{name}": not_allowed(name, v) for name, v in (allowed or {}).items()}
@@ -183,7 +188,8 @@ class ReferenceRule(Rules):
     ) -> None:
         super().__init__(child_entity)
         self.target = f"{foreign_key}->{parent_entity}"
-        self.counts = orphan_counts(child, parent, foreign_key, parent_key, [SNAPSHOT])
+        self.counts = orphan_counts(
+            with_snapshot(child), with_snapshot(parent), foreign_key, parent_key, [SNAPSHOT])
         self.max_orphan_pct = float(max_orphan_pct)
 
     def counters(self) -> list[DataFrame]:
@@ -204,7 +210,7 @@ class FutureReleaseRule(Rules):
 
     def __init__(self, albums: DataFrame) -> None:
         super().__init__("albums")
-        self.albums = albums
+        self.albums = with_snapshot(albums)
 
     def counters(self) -> list[DataFrame]:
         future = _count(F.col("release_date") > F.col(SNAPSHOT)).alias("future_rows")
@@ -220,19 +226,23 @@ class FutureReleaseRule(Rules):
 def evaluate(rules: Sequence[Rules], expected: DataFrame | None = None) -> DataFrame:
     """Results of all rules for every snapshot any table has, or that is expected.
 
-    The stacked parts hold one row per snapshot each.
+    If there is none at all, the results are those of an empty table, with a NULL
+    snapshot.  The stacked parts hold one row per snapshot each.
     """
-    parts = [] if expected is None else [expected]
+    nothing = rules[0].counters()[0].sparkSession.range(1).select(F.lit(None).cast("date").alias(SNAPSHOT), F.lit(0).alias("__seen"))
+    parts = [nothing] if expected is None else [nothing, expected.withColumn("__seen", F.lit(1))]
     for i, rule in enumerate(rules):
         rule.prefix = f"r{i}_"
         parts += [
-            part.withColumnsRenamed({c: rule.prefix + c for c in part.columns if c != SNAPSHOT})
+            part.withColumnsRenamed({c: rule.prefix + c for c in part.columns if c != SNAPSHOT}).withColumn("__seen", F.lit(1))
             for part in rule.counters()
         ]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     totals = stacked.groupBy(SNAPSHOT).agg(
         *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in stacked.columns if c != SNAPSHOT)
     )
+    # One row per snapshot meets here.
+    totals = totals.withColumn("__any", F.sum("__seen").over(Window.partitionBy())).filter((F.col("__seen") > 0) | (F.col("__any") == 0))
     return totals.select(F.inline(F.array(*(record for rule in rules for record in rule.records()))))
 
 
@@ -330,9 +340,13 @@ def dq_report(results: DataFrame) -> DataFrame:
     )
 
 
-def quarantine(df: DataFrame, rule: str, reason: str) -> DataFrame:
-    """Rejected rows with their audit stamp; the snapshot column stays as it is."""
-    return df.withColumns({
+def quarantine(df: DataFrame, rule: str, reason: str, snapshot: str | None = None) -> DataFrame:
+    """Rejected rows with their audit stamp.
+
+    ``snapshot`` is the day of the run; without it the rows' own snapshot stays (NULL if they have none).
+    """
+    stamped = with_snapshot(df) if snapshot is None else df.withColumn(SNAPSHOT, F.to_date(F.lit(snapshot)))
+    return stamped.withColumns({
         "dq_rule": F.lit(rule),
         "dq_reason": F.lit(reason),
         "quarantined_at": F.current_timestamp(),

@@ -46,21 +46,25 @@ def dense_rank_by(
     )
     running = sizes.withColumn("__offset", F.sum("__size").over(outer) - F.col("__size")).drop("__size")
     if rest:
-        ranks = _null_safe_join(keys, running, [*parts, lead])
+        ranks = _null_safe_join(keys, running, [*parts, lead], plain=len(parts))
     else:
         ranks = running.withColumn("__inner", F.lit(1))
     ranks = ranks.withColumn(name, (F.col("__offset") + F.col("__inner")).cast("bigint")).drop("__offset", "__inner")
-    return _null_safe_join(df, ranks, [*parts, *order_by])
+    return _null_safe_join(df, ranks, [*parts, *order_by], plain=len(parts))
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], plain: int = 0) -> DataFrame:
+    """Join on ``keys``; the first ``plain`` of them, partition columns, are never NULL.
+
+    Plain equality lets a filter on a partition column reach the scans of both sides.
+    """
     renamed = right.select(
         *(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)),
         *(F.col(c) for c in right.columns if c not in keys),
     )
     condition = F.lit(True)
     for i, k in enumerate(keys):
-        match = F.col(k).eqNullSafe(F.col(f"__k{i}"))
+        match = F.col(k) == F.col(f"__k{i}") if i < plain else F.col(k).eqNullSafe(F.col(f"__k{i}"))
         condition = match if i == 0 else condition & match
     return left.join(renamed, condition).drop(*(f"__k{i}" for i in range(len(keys))))
 

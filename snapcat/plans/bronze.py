@@ -12,6 +12,8 @@ from snapcat.sources.raw import scan_raw_json
 from snapcat.sources.tables import write_snapshot
 
 DEFAULT_SOURCE = "catalog-api"
+#: Bronze is laid out by snapshot and landing batch; a batch load has a number that no stream uses.
+BATCH, BATCH_LOAD = "landing_batch", -1
 
 ARTIST_COLUMNS = ("artist_id", "artist_name", "external_uri", "image_url", "genres")
 ALBUM_COLUMNS = (
@@ -73,9 +75,9 @@ def counted(df: DataFrame, name: str, write: Callable[[DataFrame], object]) -> i
     return observed.get["n"]
 
 
-def write_counted(df: DataFrame, path: str, name: str) -> int:
+def write_counted(df: DataFrame, path: str, name: str, partition_by: tuple[str, ...] = (SNAPSHOT,)) -> int:
     """Write one snapshot of a table and return its rows."""
-    return counted(df, name, lambda rows: write_snapshot(rows, path, gather=False))
+    return counted(df, name, lambda rows: write_snapshot(rows, path, partition_by, gather=False))
 
 
 def bronze_snapshot(
@@ -87,9 +89,13 @@ def bronze_snapshot(
     field_aliases: Mapping[str, str] | None = None,
     source: str = DEFAULT_SOURCE,
 ) -> dict[str, int]:
-    """Raw -> Bronze for the three entities of a snapshot; rows written per entity."""
+    """Raw -> Bronze for the three entities of a snapshot; rows written per entity.
+
+    The layout is that of incremental landing, so both may feed one table.
+    """
     counts = {}
     for entity in ENTITIES:
         raw = scan_raw_json(spark, raw_root, entity, snapshot, multi_line, field_aliases)
-        counts[entity] = write_counted(to_bronze(entity, raw, source), f"{bronze_root}/{entity}", f"bronze_{entity}")
+        rows = to_bronze(entity, raw, source).withColumn(BATCH, F.lit(BATCH_LOAD))
+        counts[entity] = write_counted(rows, f"{bronze_root}/{entity}", f"bronze_{entity}", (SNAPSHOT, BATCH))
     return counts

@@ -12,7 +12,8 @@ from snapcat.operators import windows as W
 from snapcat.operators.dedupe import scd1_latest
 from snapcat.operators.joins import snapshot_grid_join
 from snapcat.plans.bronze import counted, write_counted
-from snapcat.sources.tables import generate_calendar, scan_snapshot, write_dimension, write_snapshot
+from snapcat.session import scratch_path
+from snapcat.sources.tables import generate_calendar, scan_snapshot, table_or_none, write_dimension, write_snapshot
 
 COUNTS = ("total_albums", "total_tracks", "total_singles", "recent_releases_12m")
 
@@ -168,7 +169,9 @@ def build_gold(
     """Silver -> the five Gold tables; rows written per table.
 
     Dimensions are replaced.  The fact is written for every snapshot, or for one
-    on top of the history that is already there.
+    on top of the history that is already there; without history the predecessor comes
+    from Silver.  A snapshot in the middle changes the growth of the one after it,
+    which is written anew as well (and counted).
     """
     artists, albums, tracks = (scan_snapshot(spark, f"{silver_root}/{entity}") for entity in ENTITIES)
     dimensions = {
@@ -186,7 +189,17 @@ def build_gold(
         fact = fact_artist_snapshot(artists, albums, tracks, keys_unique=keys_unique)
         rows["fact_artist_snapshot"] = counted(fact, "fact", lambda out: write_snapshot(out, path))
     else:
-        history = scan_snapshot(spark, path)
-        fact = fact_increment(artists, albums, tracks, history, snapshot, keys_unique)
-        rows["fact_artist_snapshot"] = write_counted(fact, path, "fact")
+        history = table_or_none(spark, path)
+        if history is None:
+            fact = fact_artist_snapshot(artists, albums, tracks, snapshot, keys_unique)
+            rows["fact_artist_snapshot"] = write_counted(fact, path, "fact")
+            return rows
+        rows["fact_artist_snapshot"] = 0
+        later = history.filter(F.col(SNAPSHOT) > F.to_date(F.lit(snapshot))).agg(F.min(SNAPSHOT)).first()[0]
+        for day in filter(None, (snapshot, later and str(later))):
+            fact = fact_increment(artists, albums, tracks, scan_snapshot(spark, path), day, keys_unique)
+            # Its own history is read while it is written: rows go to a staged table first.
+            staged = scratch_path(spark, f"fact-{day}")
+            fact.write.parquet(staged)
+            rows["fact_artist_snapshot"] += write_counted(spark.read.parquet(staged), path, f"fact_{day}")
     return rows

@@ -57,6 +57,11 @@ def _activity(joined: DataFrame) -> DataFrame:
     })
 
 
+def strategy_mix(fact: DataFrame) -> DataFrame:
+    """Fact with shares, strategy and tier, without names or ranks."""
+    return _activity(fact)
+
+
 def mart_artist_activity(fact: DataFrame, dim_artist: DataFrame) -> DataFrame:
     ranked = rank_per_snapshot(
         _activity(with_artist(fact, dim_artist)), ["recent_releases_12m", "total_releases"], "activity_rank"

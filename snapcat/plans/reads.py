@@ -56,9 +56,10 @@ def release_seasonality_all(seasonality: DataFrame) -> DataFrame:
     return seasonality.orderBy("release_month")
 
 
-def strategy_distribution(activity: DataFrame, snapshot: str) -> DataFrame:
+def strategy_distribution(mix: DataFrame, snapshot: str) -> DataFrame:
+    """Artists per strategy; ``mix`` is a fact with :func:`release_mix` columns, no rank is needed."""
     return (
-        at_snapshot(activity, snapshot)
+        at_snapshot(mix, snapshot)
         .groupBy("catalog_strategy")
         .agg(F.count(F.lit(1)).alias("artist_count"))
         .orderBy(F.desc("artist_count"))
@@ -112,9 +113,9 @@ def explore_tracks(
     link_base: str,
     artist_names: Sequence[str] | None = None,
     album_types: Sequence[str] | None = None,
-    limit: int = 500,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Filtered track list for exploration.
+    """Filtered track list for exploration, newest first; all of it, or the first ``limit`` rows.
 
     Filters sit on the small tables, below the join with the tracks.
     """
@@ -130,12 +131,16 @@ def explore_tracks(
     )
     # The URL holds the track id: ties resolve the same way on every run.
     order = [F.col("release_date").desc_nulls_last(), F.col("track_number").asc_nulls_last(), F.col("track_url")]
-    return ordered_topn(rows, order, limit)
+    return rows.orderBy(*order) if limit is None else ordered_topn(rows, order, limit)
 
 
-def duration_rows(dim_track: DataFrame, dim_album: DataFrame, dim_artist: DataFrame) -> DataFrame:
-    """Track length in minutes with artist, type and year, for plausible lengths."""
-    valid = dim_track.filter((F.col("duration_ms") > 0) & (F.col("duration_ms") < 1_200_000))
+def duration_rows(
+    dim_track: DataFrame, dim_album: DataFrame, dim_artist: DataFrame, below_ms: int | None = None
+) -> DataFrame:
+    """Track length in minutes with artist, type and year, for positive lengths below ``below_ms``."""
+    valid = dim_track.filter(F.col("duration_ms") > 0)
+    if below_ms is not None:
+        valid = valid.filter(F.col("duration_ms") < below_ms)
     return track_album_artist_join(valid, dim_album, dim_artist).select(
         "artist_name", "track_name", duration_minutes(F.col("duration_ms")).alias("duration_min"),
         "album_type", F.year("release_date").alias("release_year"), "explicit",

@@ -15,8 +15,7 @@ from snapcat.operators import quality
 from snapcat.operators.dedupe import dedupe_latest
 from snapcat.operators.joins import keep_with_parent_semi, orphans_anti
 from snapcat.plans.bronze import write_counted
-from snapcat.session import scratch_path
-from snapcat.sources.tables import scan_snapshot, write_quarantine, write_snapshot
+from snapcat.sources.tables import clear_quarantine, scan_snapshot, write_quarantine, write_snapshot
 
 LINEAGE = ("extracted_at", SNAPSHOT, "source")
 
@@ -172,12 +171,12 @@ def silver_gated_run(
 ) -> dict:
     """Candidate -> gate -> quarantine -> Silver for one snapshot.
 
-    Candidates are written once to a staging table: the gate, the quarantine and
-    the final write read it with their own columns, and a lost executor costs a
-    re-read, not another dedupe.  A FAIL raises :class:`GateFailed` after the
+    Candidates are written to a staging table that belongs to Silver and is overwritten
+    by the next run of the snapshot: the gate, the quarantine and the final write read
+    it with their own columns, and a lost executor costs a re-read, not another dedupe.  A FAIL raises :class:`GateFailed` after the
     report and before anything reaches Silver.
     """
-    staging = staging_root or scratch_path(spark, f"candidates-{snapshot}")
+    staging = staging_root or f"{silver_root.rstrip('/')}_candidates"
     tables = {}
     for entity in ENTITIES:
         bronze = scan_snapshot(spark, f"{bronze_root}/{entity}", snapshot)
@@ -206,10 +205,12 @@ def silver_gated_run(
     routed = route_orphans(tables["artists"], tables["albums"], tables["tracks"], cascade)
     albums_hit = ("albums", "artist_id->artists") in warned
     tracks_hit = ("tracks", "album_id->albums") in warned or (cascade and albums_hit)
-    if albums_hit:
-        write_quarantine(routed.rejected_albums, f"{quarantine_root}/albums")
-    if tracks_hit:
-        write_quarantine(routed.rejected_tracks, f"{quarantine_root}/tracks")
+    # The gate has counted the orphans: no need to look for them again.
+    for entity, hit, rejected in (("albums", albums_hit, routed.rejected_albums), ("tracks", tracks_hit, routed.rejected_tracks)):
+        if hit:
+            write_quarantine(rejected, f"{quarantine_root}/{entity}")
+        else:
+            clear_quarantine(spark, f"{quarantine_root}/{entity}", snapshot, "referential_integrity")
     accepted = {
         "artists": tables["artists"],
         "albums": routed.albums if albums_hit else tables["albums"],

@@ -135,6 +135,15 @@ def quarantine(w):
     return w.spark.read.parquet(path).select("album_id", "artist_id", "dq_rule", "dq_reason", SNAPSHOT)
 
 
+@query
+def quarantine_rerun(w):
+    """The second run of a gate replaces what the first one rejected."""
+    path = scratch_path(w.spark, "quarantine")
+    for _ in range(2):
+        T.write_quarantine(quality.quarantine(_orphan_albums(w), "referential_integrity", "orphan_artist_id"), path)
+    return w.spark.read.parquet(path).select("album_id", "artist_id", "dq_rule", "dq_reason", SNAPSHOT)
+
+
 @query
 def write_dq_report(w):
     path = scratch_path(w.spark, "dq-report")
@@ -153,31 +162,45 @@ def generate_calendar(w):
 
 @query
 def storage_footprint(w):
+    return T.storage_footprint(_layers(w), "raw")
+
+
+@query
+def footprint_rows(w):
+    """Rows per layer against what the source holds: cleaning drops repeated keys."""
+    expected = {entity: w.raw(entity).count() for entity in ENTITIES}
+    found = T.storage_footprint(_layers(w), "raw", expected)
+    return found.filter(F.col("entity") != "TOTAL").select("entity", "layer", "row_count", "rows_as_expected")
+
+
+def _layers(w: Warehouse) -> dict[tuple[str, str], DataFrame]:
     root = scratch_path(w.spark, "footprint")
     layers = {}
     for entity in ENTITIES:
         landed = R.write_raw_lines(w.raw(entity), f"{root}/raw/{entity}")
         layers[entity, "raw"] = w.spark.read.text(landed)
         layers[entity, "silver"] = w.table(entity)
-    return T.storage_footprint(layers, "raw")
+    return layers
 
 
 @query
 def corrupt_record_split(w):
-    """Every 29th customer's record is cut off in the middle."""
+    """Every 29th customer's record is cut off in the middle, in each of the snapshots."""
     root = scratch_path(w.spark, "corrupt")
     custkey = F.substring_index(F.col("external_uri"), ":", -1).cast("bigint")
-    raw = w.raw("artists", (LAST,))
-    document = F.to_json(F.struct(*raw.columns))
-    broken = F.concat(F.lit('{"artist_id": "'), custkey.cast("string"), F.lit('", "artist_na'))
-    lines = raw.select(F.when(custkey % 29 == 0, broken).otherwise(document).alias("value"))
-    lines.write.text(R.landing_path(root, "artists", LAST))
-    good, bad = R.corrupt_record_split(
-        R.scan_raw_json(w.spark, root, "artists", LAST, multi_line=False, keep_corrupt=True)
-    )
-    return good.select(F.lit("good").alias("kind"), F.col("external_uri").alias("record")).unionByName(
-        bad.select(F.lit("bad").alias("kind"), F.col(R.CORRUPT).alias("record"))
-    )
+    parts = []
+    for snapshot in SNAPSHOTS:
+        raw = w.raw("artists", (snapshot,))
+        document = F.to_json(F.struct(*raw.columns))
+        broken = F.concat(F.lit('{"artist_id": "'), custkey.cast("string"), F.lit('", "artist_na'))
+        lines = raw.select(F.when(custkey % 29 == 0, broken).otherwise(document).alias("value"))
+        lines.write.text(R.landing_path(root, "artists", snapshot))
+        good, bad = R.corrupt_record_split(
+            R.scan_raw_json(w.spark, root, "artists", snapshot, multi_line=False, keep_corrupt=True)
+        )
+        parts.append(good.select(F.lit("good").alias("kind"), F.col("external_uri").alias("record")))
+        parts.append(bad.select(F.lit("bad").alias("kind"), F.col(R.CORRUPT).alias("record")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --- Projections, filters, predicates ----------------------------------------
@@ -311,26 +334,27 @@ def asof_release_filter(w):
 
 @query
 def since_filter(w):
-    kept = w.bronze("albums").filter(C.since_text_filter(F.col("release_date"), "1999-06-15"))
+    kept = w.bronze("albums").filter(C.since_text_filter(F.col("release_date"), "1999-01-01"))
     return kept.select("album_id", SNAPSHOT, "release_date")
 
 
 @query
 def since_filter_by_date(w):
-    kept = w.bronze("albums").filter(C.since_date_filter(F.col("release_date"), "1999-06-15"))
+    kept = w.bronze("albums").filter(C.since_date_filter(F.col("release_date"), "1999-01-01"))
     return kept.select("album_id", SNAPSHOT, "release_date")
 
 
 @query
 def explore_tracks(w):
     return reads.explore_tracks(
-        w.dim("track"), w.dim("album"), w.dim("artist"), LINK + "track/", SOME_ARTISTS, ("album", "single")
+        w.dim("track"), w.dim("album"), w.dim("artist"), LINK + "track/", SOME_ARTISTS, ("album", "single"), limit=500
     )
 
 
 @query
 def explore_all_tracks(w):
-    return reads.explore_tracks(w.dim("track"), w.dim("album"), w.dim("artist"), LINK + "track/")
+    """The report's first 500 rows; the function itself has no limit."""
+    return reads.explore_tracks(w.dim("track"), w.dim("album"), w.dim("artist"), LINK + "track/", limit=500)
 
 
 @query
@@ -454,7 +478,7 @@ def format_counts_by_month(w):
 
 @query
 def format_evolution_by_year(w):
-    return A.format_evolution_by_year(w.dim("album"))
+    return A.format_evolution_by_year(w.dim("album"), 1970, 2026)
 
 
 @query
@@ -474,7 +498,7 @@ def executive_kpis(w):
 
 @query
 def strategy_distribution(w):
-    return reads.strategy_distribution(w.activity(), LAST)
+    return reads.strategy_distribution(marts.strategy_mix(w.fact()), LAST)
 
 
 @query
@@ -507,7 +531,7 @@ def catalog_trends(w):
 
 @query
 def duration_histogram(w):
-    return A.duration_histogram(reads.duration_rows(w.dim("track"), w.dim("album"), w.dim("artist")))
+    return A.duration_histogram(reads.duration_rows(w.dim("track"), w.dim("album"), w.dim("artist"), 1_200_000))
 
 
 # --- Windows -----------------------------------------------------------------
@@ -637,11 +661,12 @@ def track_cache_reuse(w):
 
 @query
 def dedupe_first_seen(w):
-    pages = w.bronze("tracks").filter(F.col(SNAPSHOT) == _day(LAST)).withColumn(
-        "track_id", F.when(F.col("duration_ms") % 31 != 0, F.col("track_id"))
+    """Pages of every snapshot; ids are seen anew in each."""
+    pages = w.bronze("tracks").withColumn(
+        "page_key", F.when(F.col("duration_ms") % 31 != 0, F.struct("track_id", SNAPSHOT))
     )
-    first = dedupe.dedupe_first_seen(pages, "track_id", "extracted_at")
-    return first.select("track_id", "track_name", "duration_ms", "extracted_at")
+    first = dedupe.dedupe_first_seen(pages, "page_key", "extracted_at")
+    return first.select("track_id", SNAPSHOT, "track_name", "duration_ms", "extracted_at")
 
 
 # --- Ledger and idempotence --------------------------------------------------
@@ -717,6 +742,13 @@ def dq_completeness(w):
     return quality.dq_completeness(w.table("artists"), "artists", min_expected=55)
 
 
+@query
+def dq_completeness_empty(w):
+    """No rows at all: a FAIL, not an empty report."""
+    nothing = w.table("artists").filter(F.col(SNAPSHOT).isNull())
+    return quality.dq_completeness(nothing, "artists", min_expected=1)
+
+
 @query
 def dq_uniqueness(w):
     return quality.dq_uniqueness(w.bronze("tracks"), "tracks", ["track_id"])
@@ -752,13 +784,11 @@ def quality_gate(w):
     return w.gate()
 
 
-@query
-def silver_gated_run(w):
-    """A snapshot the gate warns about and one it rejects."""
+def _gated(w: Warehouse, runs: int) -> DataFrame:
     root = scratch_path(w.spark, "gated")
     for entity in ENTITIES:
         T.write_snapshot(w.bronze(entity), f"{root}/bronze/{entity}")
-    for snapshot in (THIRD, LAST):
+    for snapshot in SNAPSHOTS * runs:
         try:
             silver.silver_gated_run(
                 w.spark, f"{root}/bronze", f"{root}/silver", f"{root}/quarantine", f"{root}/report", snapshot
@@ -781,6 +811,18 @@ def silver_gated_run(w):
     return summary.join(rows, SNAPSHOT, "left")
 
 
+@query
+def silver_gated_run(w):
+    """All snapshots: the gate warns about four and rejects one."""
+    return _gated(w, 1)
+
+
+@query
+def silver_gated_rerun(w):
+    """Running them all again changes nothing."""
+    return _gated(w, 2)
+
+
 @query
 def route_orphans_cascade(w):
     routed = silver.route_orphans(*w.silver(), cascade=True)
@@ -998,8 +1040,8 @@ def snapshot_base(w):
 
 @query
 def snapshot_base_any_keys(w):
-    """The same measures without relying on unique keys, for one snapshot."""
-    return gold.snapshot_base(*w.silver(), snapshot=FOURTH)
+    """The same measures without relying on unique keys."""
+    return gold.snapshot_base(*w.silver())
 
 
 @query
@@ -1036,6 +1078,32 @@ def build_gold(w):
     return stacked.withColumn("last_written", written[F.col("table_name")].cast("bigint"))
 
 
+def _built(w: Warehouse, order: tuple[str, ...]) -> DataFrame:
+    """The fact after building snapshots one by one, as they become available in Silver."""
+    root = scratch_path(w.spark, "gold")
+    seen: list[str] = []
+    for snapshot in order:
+        seen.append(snapshot)
+        for entity in ENTITIES:
+            T.write_snapshot(_at(w.table(entity), snapshot), f"{root}/silver/{entity}", gather=False)
+        gold.build_gold(w.spark, f"{root}/silver", f"{root}/gold", snapshot=snapshot, keys_unique=True)
+    return w.spark.read.parquet(f"{root}/gold/fact_artist_snapshot").select(
+        "artist_id", SNAPSHOT, "total_tracks", "catalog_growth_pct", "catalog_momentum_index"
+    )
+
+
+@query
+def build_gold_stepwise(w):
+    """From nothing, one snapshot after the other."""
+    return _built(w, SNAPSHOTS)
+
+
+@query
+def build_gold_backfill(w):
+    """The third snapshot arrives last, in the middle of the history."""
+    return _built(w, (*SNAPSHOTS[:2], *SNAPSHOTS[3:], SNAPSHOTS[2]))
+
+
 @query
 def register_mart_views(w):
     """A question asked in SQL over the views."""
@@ -1155,7 +1223,7 @@ def artist_discography(w):
 
 @query
 def duration_rows(w):
-    return reads.duration_rows(w.dim("track"), w.dim("album"), w.dim("artist"))
+    return reads.duration_rows(w.dim("track"), w.dim("album"), w.dim("artist"), 1_200_000)
 
 
 @query
@@ -1166,16 +1234,43 @@ def profile_snapshot(w):
 # --- Streaming ---------------------------------------------------------------
 
 
+def _landed(w: Warehouse, entity: str) -> DataFrame:
+    """JSON arrays: all snapshots but two land, then the newest together with a late one."""
+    root = scratch_path(w.spark, "landing")
+    for part in (SNAPSHOTS[:1] + SNAPSHOTS[2:-1], SNAPSHOTS[1:2] + SNAPSHOTS[-1:]):
+        for snapshot in part:
+            R.write_raw_arrays(w.raw(entity, (snapshot,)), f"{root}/raw/{entity}_{snapshot}.json", rows_per_file=20_000)
+        incremental_landing(
+            w.spark, f"{root}/raw/*.json", entity, f"{root}/bronze", f"{root}/checkpoint"
+        ).awaitTermination()
+    return w.spark.read.parquet(f"{root}/bronze").drop(BATCH)
+
+
+@query
+def incremental_landing_artists(w):
+    return _landed(w, "artists")
+
+
 @query
 def incremental_landing_albums(w):
-    """Four snapshots land, then the fifth; two runs of the same stream."""
+    return _landed(w, "albums")
+
+
+@query
+def incremental_landing_tracks(w):
+    return _landed(w, "tracks")
+
+
+@query
+def landing_after_batch(w):
+    """One Bronze table, fed by a batch load of the last snapshot and by the stream."""
     root = scratch_path(w.spark, "landing")
-    for batch in (SNAPSHOTS[:-1], SNAPSHOTS[-1:]):
-        raw = w.raw("albums", batch).withColumn("landed", F.col(SNAPSHOT))
-        raw.write.mode("append").partitionBy("landed").json(f"{root}/raw")
-        run = incremental_landing(
-            w.spark, f"{root}/raw/landed=*", "albums", f"{root}/bronze", f"{root}/checkpoint", multi_line=False
-        )
-        run.awaitTermination()
-    landed = w.spark.read.parquet(f"{root}/bronze")
-    return landed.drop(BATCH)
+    for entity in ENTITIES:
+        _land_arrays(w, f"{root}/batch", entity, LAST)
+    bronze.bronze_snapshot(w.spark, f"{root}/batch", f"{root}/bronze", LAST)
+    for snapshot in SNAPSHOTS[:-1]:
+        R.write_raw_arrays(w.raw("albums", (snapshot,)), f"{root}/raw/albums_{snapshot}.json", rows_per_file=20_000)
+    incremental_landing(
+        w.spark, f"{root}/raw/*.json", "albums", f"{root}/bronze/albums", f"{root}/checkpoint"
+    ).awaitTermination()
+    return w.spark.read.parquet(f"{root}/bronze/albums").drop(BATCH)

@@ -20,19 +20,7 @@ BEFORE_SHRINK, SHRINK, LAST = SNAPSHOTS[2], SNAPSHOTS[3], SNAPSHOTS[4]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str]) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
-    return spread_if_narrow(df)
-
-
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan to all cores if its files give too few splits.
-
-    A file with one row group is one task, which would then do all the work up to
-    the first shuffle.  At scale a scan has far more splits than cores and stays
-    as it is.  Only the split count is looked at; no job runs.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *df.columns) if df.rdd.getNumPartitions() < cores else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
 
 
 def _artist_no(custkey: str) -> Column:

@@ -73,21 +73,21 @@ def write_raw_arrays(df: DataFrame, path: str, rows_per_file: int = 100_000) ->
     and a repeated task writes the same rows again.
     """
 
+    # Self-contained: workers need no copy of this package.
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def document(rows: list[str]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"value": ["[" + ",".join(rows) + "]"]})
+
         held: list[str] = []
         for batch in batches:
             held.extend(batch.column(0).to_pylist())
             while len(held) >= rows_per_file:
-                yield _array_document(held[:rows_per_file])
+                yield document(held[:rows_per_file])
                 del held[:rows_per_file]
         if held:
-            yield _array_document(held)
+            yield document(held)
 
     documents = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
     written = documents.mapInArrow(arrays, "value string")
     written.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
     return path
-
-
-def _array_document(documents: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({"value": ["[" + ",".join(documents) + "]"]})

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,23 +55,33 @@ def write_snapshot(
     return path
 
 
-def append_snapshot(df: DataFrame, path: str, partition_by: tuple[str, ...] = (SNAPSHOT,)) -> str:
-    """Add rows to a partitioned table, as for quarantined records."""
-    df.hint("rebalance", *partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
-    return path
-
-
 def write_dimension(df: DataFrame, path: str) -> str:
     """Replace an unpartitioned table."""
     df.write.mode("overwrite").parquet(path)
     return path
 
 
-def write_quarantine(rejected: DataFrame, path: str) -> str | None:
-    """Append stamped rejects; None, and no file, if there are none."""
-    if rejected.isEmpty():
+def table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """A Parquet table, or None if nothing was ever written there."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return None
-    return append_snapshot(rejected, path)
+
+
+def write_quarantine(rejected: DataFrame, path: str) -> str:
+    """Write stamped rejects; a rerun replaces what it wrote for the same snapshot and rule."""
+    return write_snapshot(rejected, path, (SNAPSHOT, "dq_rule"))
+
+
+def clear_quarantine(spark: SparkSession, path: str, snapshot: str, rule: str) -> None:
+    """Empty the partition of a rerun that rejects nothing any more."""
+    kept = table_or_none(spark, path)
+    if kept is not None and not kept.filter((F.col(SNAPSHOT) == F.to_date(F.lit(snapshot))) & (F.col("dq_rule") == rule)).isEmpty():
+        nothing = kept.drop(SNAPSHOT, "dq_rule").limit(0)
+        nothing.write.mode("overwrite").parquet(f"{path}/{SNAPSHOT}={snapshot}/dq_rule={rule}")
 
 
 def write_dq_report(results: DataFrame, summary: DataFrame, path: str) -> tuple[str, str]:

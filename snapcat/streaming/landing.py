@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from snapcat.model import SNAPSHOT, raw_schema
-from snapcat.plans.bronze import DEFAULT_SOURCE, to_bronze
+from snapcat.plans.bronze import BATCH, DEFAULT_SOURCE, to_bronze
 from snapcat.sources.tables import write_snapshot
 
-BATCH = "landing_batch"
-
 
 def incremental_landing(
     spark: SparkSession,
@@ -29,7 +27,8 @@ def incremental_landing(
     overwrites exactly what its first attempt wrote.  So replays are idempotent,
     files of one snapshot may arrive in different batches, and a late or
     backfilled snapshot is just another partition.  The checkpoint belongs to the
-    table: keep both or drop both.
+    table: keep both or drop both.  Files are JSON arrays (``multi_line``) or JSON lines.
+    A batch load of the same table (``bronze_snapshot``) has a batch number of its own.
     """
     reader = spark.readStream.schema(raw_schema(entity)).option("multiLine", multi_line)
     if max_files_per_batch:

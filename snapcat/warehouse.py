@@ -18,7 +18,7 @@ from snapcat.session import scratch_path
 from snapcat.sources import driver_tables
 from snapcat.sources.tables import GOLD_TABLES, calendar_of, write_dimension, write_snapshot
 
-_open: dict[tuple[str, str], "Warehouse"] = {}
+_open: dict[tuple, "Warehouse"] = {}
 
 
 class Warehouse:
@@ -87,9 +87,17 @@ class Warehouse:
         return f"{self.root}/gold"
 
 
+def _listing(spark: SparkSession, folder: str) -> tuple[tuple[str, int, int], ...]:
+    """Names, modification times and sizes in the source folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((f.getPath().getName(), f.getModificationTime(), f.getLen()) for f in found))
+
+
 def open_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """Warehouse of this application and source, shared by all queries."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    """Warehouse of this application and source files, shared by all queries; new files give a new one."""
+    folder = sf_dir.rstrip("/")
+    key = (spark.sparkContext.applicationId, _listing(spark, folder))
     if key not in _open:
         _open[key] = Warehouse(spark, sf_dir)
     return _open[key]

@@ -76,3 +76,16 @@ def test_top_n_keeps_n_rows_per_task(spark):
 def test_entry_is_lazy(spark):
     df = driver.entry(spark)
     assert "catalog_momentum_index" in df.columns
+
+
+@pytest.mark.parametrize("name", ["artist_activity_at", "strategy_distribution"])
+def test_every_fact_scan_of_one_snapshot_is_pruned(spark, name):
+    plan = plan_of(run(spark, name))
+    scans = [line for line in plan.split("\n") if "FileScan" in line and "total_singles" in line]
+    assert scans and all(re.search(r"PartitionFilters: \[[^\]]*snapshot_date#\d+ = ", line) for line in scans)
+
+
+def test_no_shuffle_on_all_columns(spark):
+    from snapcat.sources.driver_tables import raw_entity
+
+    assert "l_extendedprice" not in "".join(re.findall(r"Exchange [^\n]*", plan_of(raw_entity(spark, SF_DIR, "tracks"))))

@@ -107,3 +107,25 @@ def test_quarantine_stamp(spark):
     row = one(Q.quarantine(df, "referential_integrity", "orphan_album_id"))
     assert (row["dq_rule"], row["dq_reason"], row["snapshot_date"]) == ("referential_integrity", "orphan_album_id", D1)
     assert row["quarantined_at"] is not None
+
+
+def test_empty_tables_are_reported(spark):
+    empty = spark.createDataFrame([], "artist_id string, snapshot_date date")
+    row = Q.dq_completeness(empty, "artists", 1).first()
+    assert (row.status, row.total_rows, row.snapshot_date) == ("FAIL", 0, None)
+    assert Q.dq_uniqueness(empty, "artists", ["artist_id"]).first().status == "PASS"
+    undated = spark.createDataFrame([("a",), ("a",)], "artist_id string")
+    row = Q.dq_uniqueness(undated, "artists", ["artist_id"]).first()
+    assert (row.status, row.total_rows, row.violations, row.snapshot_date) == ("FAIL", 2, 1, None)
+    none = spark.createDataFrame([], "artist_id string")
+    assert Q.dq_completeness(none, "artists", 1).first().status == "FAIL"
+
+
+def test_album_counts_keeps_artists_without_a_release(spark):
+    from snapcat.operators.aggregates import album_counts
+
+    rows = spark.sql("""SELECT 'a' AS artist_id, date'2024-01-31' AS snapshot_date, 'x' AS album_id, 'album' AS album_type,
+        date'2025-01-01' AS release_date UNION ALL SELECT 'b', date'2024-01-31', 'y', 'single', NULL""")
+    for unique in (True, False):
+        found = sorted(tuple(r) for r in album_counts(rows, unique).select("artist_id", "total_albums", "total_singles").collect())
+        assert found == [("a", 0, 0), ("b", 0, 0)]

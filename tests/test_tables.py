@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from snapcat.model import ENTITIES
-from snapcat.operators import checks, ledger, merge
+from snapcat.operators import checks, ledger, merge, quality
 from snapcat.operators.dedupe import dedupe_first_seen
 from snapcat.plans import bronze, silver
 from snapcat.sources import driver_tables
@@ -41,14 +41,19 @@ def test_files_stay_bounded(spark, tmp_path):
     assert len(list(path.glob("snapshot_date=*/*.parquet"))) == 4
 
 
-def test_nothing_to_quarantine(spark, tmp_path):
-    path = tmp_path / "q"
-    empty = spark.createDataFrame([], "id string, snapshot_date date")
-    assert T.write_quarantine(empty, str(path)) is None and not path.exists()
-    full = spark.createDataFrame([("a", D1)], "id string, snapshot_date date")
+def test_quarantine_rerun_replaces_its_rows(spark, tmp_path):
+    path = str(tmp_path / "q")
+    rows = spark.createDataFrame([("a",), ("b",)], "track_id string")  # no snapshot column
+    other = quality.quarantine(rows.limit(1), "another", "r", "2024-01-31")
+    T.write_quarantine(other, path)
     for _ in range(2):
-        assert T.write_quarantine(full, str(path)) == str(path)
-    assert spark.read.parquet(str(path)).count() == 2
+        T.write_quarantine(quality.quarantine(rows, "rule", "r", "2024-01-31"), path)
+    found = records(spark.read.parquet(path), "dq_rule", "track_id")
+    assert [(r["dq_rule"], r["track_id"], str(r["snapshot_date"])) for r in found] == [
+        ("another", "a", "2024-01-31"), ("rule", "a", "2024-01-31"), ("rule", "b", "2024-01-31")]
+    T.clear_quarantine(spark, path, "2024-01-31", "rule")
+    assert [r["dq_rule"] for r in records(spark.read.parquet(path))] == ["another"]
+    T.clear_quarantine(spark, f"{path}-never-written", "2024-01-31", "rule")
 
 
 def write_json(path, documents):
