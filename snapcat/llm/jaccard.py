@@ -7,7 +7,8 @@ sampled shingle; similar sets choose the same path with high probability, others
 BUCKET classes, and all nodes at DEPTH, are compared in full; larger ones are split again.  Independent runs
 repeat this until a pair at the threshold is met with the target probability.
 
-Large nodes at DEPTH are compared block by block in many tasks.  A pair that meets in several nodes counts
+Large nodes at DEPTH are compared block by block in many tasks.  In a node the min-hash vectors are compared first, and only
+sets with a likely partner are fetched and compared exactly.  A pair that meets in several nodes counts
 in the one with the smallest key alone.  Only a sum of links per class and a star per component leave a task, never pairs.
 """
 
@@ -31,7 +32,10 @@ RECALL = 0.99999
 #: Coordinates of the min-hash vector, coordinates sampled at a node below the root (one at the root).
 COORDINATES, BRANCH = 48, 2
 #: Classes of a node that is compared without further splitting, splits at most, classes of a block at the last level.
-BUCKET, DEPTH, BLOCK = 64, 3, 256
+BUCKET, DEPTH, BLOCK = 512, 3, 512
+#: Share of equal coordinates below which a pair's sets are not fetched: a pair at the threshold falls below it
+#: with a probability far under what ``RECALL`` leaves.
+AGREEMENT = 0.5
 COLUMNS = 4096
 
 
@@ -176,21 +180,35 @@ def met_before(key: int, keys: list[np.ndarray]) -> np.ndarray:
     return held @ held.T > 0
 
 
-def compare_unit(key: int, cids: np.ndarray, side: np.ndarray, size: np.ndarray, copies: np.ndarray, items: list[bytes],
-                 keys: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
-    """(class, links, smallest class of its component) of one node, or of two of its blocks (``side`` 0 and 1; 2: one block)."""
+def allowed_pairs(key: int, side: np.ndarray, size: np.ndarray, keys: list[np.ndarray], threshold: float) -> np.ndarray:
+    """Pairs to compare here: of two blocks one each (``side`` 0 and 1; 2: one block), of fitting size, not met before."""
     allowed = ~met_before(key, keys)
     np.fill_diagonal(allowed, False)
     if side[0] != 2:
         allowed &= side[:, None] != side[None, :]
-    allowed &= np.minimum(size[:, None], size[None, :]) >= threshold * np.maximum(size[:, None], size[None, :]) - 1e-9
+    return allowed & (np.minimum(size[:, None], size[None, :]) >= threshold * np.maximum(size[:, None], size[None, :]) - 1e-9)
+
+
+def likely(allowed: np.ndarray, sigs: np.ndarray) -> np.ndarray:
+    """Members with a partner whose min-hash vector agrees in at least AGREEMENT of the coordinates."""
+    equal = np.zeros(allowed.shape, np.uint8)
+    for column in sigs.T:
+        equal += column[:, None] == column[None, :]
+    return (allowed & (equal >= AGREEMENT * COORDINATES)).any(axis=1)
+
+
+def compare_unit(key: int, cids: np.ndarray, side: np.ndarray, size: np.ndarray, copies: np.ndarray, items: list[bytes],
+                 keys: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """(class, links, smallest class of its component) of one node, or of two of its blocks."""
+    allowed = allowed_pairs(key, side, size, keys, threshold)
     use = np.flatnonzero(allowed.any(axis=1))
     if not len(use):
         return None
     allowed = allowed[use][:, use]
     sets = [np.frombuffer(items[i], np.uint32) for i in use]
     both = size[use][:, None] + size[use][None, :]
-    linked = allowed & (overlaps(sets, None) * (1 + threshold) >= threshold * both - 1e-6)
+    shared = overlaps(sets, None).astype(np.float64)  # exact counts; the bound needs double precision
+    linked = allowed & (shared * (1 + threshold) >= threshold * both - 1e-9)
     has = linked.any(axis=1)
     if not has.any():
         return None
@@ -211,27 +229,55 @@ def units(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         yield held
 
 
-def links(leaves: DataFrame, classes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """(cid, links, root) found in the nodes."""
+UNIT = ["key", "x", "y"]
+
+
+def sides(x: int, y: int, blocks: tuple[int, ...]) -> np.ndarray:
+    return np.full(len(blocks), 2) if x == y else (np.array(blocks) == y).astype(int)
+
+
+def candidates(leaves: DataFrame, classes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(members of comparison units that have a likely partner there, the nodes of each class)."""
 
     def run(batches):
         for rows in units(batches):
-            rows = list({r[3]: r for r in rows}.values())  # a repeated document row gives its set again
-            _, x, y, cids, blocks, size, copies, items, keys = zip(*rows)
-            block = np.array(blocks)
-            side = np.full(len(rows), 2) if x[0] == y[0] else (block == y[0]).astype(int)
-            found = compare_unit(rows[0][0], np.array(cids), side, np.array(size), np.array(copies), items, [np.array(k) for k in keys], threshold)
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(v.astype(np.int64)) for v in found], ["cid", "links", "root"])
+            if len(rows) < 2:
+                continue
+            key, x, y = rows[0][:3]
+            _, _, _, cids, blocks, size, sigs, keys = zip(*rows)
+            allowed = allowed_pairs(key, sides(x, y, blocks), np.array(size), [np.array(k) for k in keys], threshold)
+            if allowed.any():
+                keep = np.flatnonzero(likely(allowed, np.array(sigs, np.int32)))
+                n = len(keep)
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array([v] * n, pa.int64()) for v in (key, x, y)), pa.array([cids[i] for i in keep], pa.int64()),
+                     pa.array([blocks[i] for i in keep], pa.int64())], [*UNIT, "cid", "block"])
 
-    known = leaves.groupBy("cid").agg(F.sort_array(F.collect_set("key")).alias("keys"))  # at most runs * BRANCH ** DEPTH keys
-    payload = stage(sets.join(classes.select("cid", "size", "copies"), "cid").join(known, "cid"), "paths-sets")
+    known = stage(leaves.groupBy("cid").agg(F.sort_array(F.collect_set("key")).alias("keys")), "paths-keys")  # at most runs * BRANCH ** DEPTH
     count = F.ceil(F.col("members") / BLOCK)
     placed = leaves.withColumn("block", F.pmod(F.xxhash64("cid"), count)).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), count - 1)))
-    unit = ["key", "x", "y"]
-    laid = placed.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "cid", "block").join(payload, "cid")
-    laid = laid.select("key", "x", "y", "cid", "block", "size", "copies", "items", "keys").repartition(*unit).sortWithinPartitions(*unit)
+    placed = placed.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "cid", "block")
+    laid = placed.join(classes.select("cid", "size", "sig"), "cid").join(known, "cid").select(
+        *UNIT, "cid", "block", "size", "sig", "keys").repartition(*UNIT).sortWithinPartitions(*UNIT)
+    return stage(laid.mapInArrow(run, "key long, x long, y long, cid long, block long"), "paths-candidates"), known
+
+
+def links(members: DataFrame, known: DataFrame, classes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(cid, links, root) found in the units."""
+
+    def run(batches):
+        for rows in units(batches):
+            rows = list({r[3]: r for r in rows}.values())  # a repeated document row gives its set again
+            key, x, y = rows[0][:3]
+            _, _, _, cids, blocks, size, copies, items, keys = zip(*rows)
+            found = compare_unit(
+                key, np.array(cids), sides(x, y, blocks), np.array(size), np.array(copies), items, [np.array(k) for k in keys], threshold)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(v.astype(np.int64)) for v in found], ["cid", "links", "root"])
+
+    laid = members.join(sets.join(classes.select("cid", "size", "copies"), "cid").join(known, "cid"), "cid")
+    laid = laid.select(*UNIT, "cid", "block", "size", "copies", "items", "keys").repartition(*UNIT).sortWithinPartitions(*UNIT)
     return laid.mapInArrow(run, "cid long, links long, root long")
 
 
@@ -248,8 +294,9 @@ def jaccard_classes(documents: DataFrame, threshold: float = THRESHOLD, recall:
             F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("sig").alias("sig"),
             F.min("rk").alias("rk")).withColumn("cid", F.xxhash64("d1", "d2")), "jaccard-classes")
     leaves = paths(classes, runs_needed(threshold, recall))
-    wanted = leaves.select("cid").distinct().join(classes.select("cid", "rk"), "cid")
-    found = stage(links(leaves, classes, set_table(documents, stage(wanted, "jaccard-wanted")), threshold), "jaccard-links")
+    members, known = candidates(leaves, classes, threshold)
+    wanted = stage(members.select("cid").distinct().join(classes.select("cid", "rk"), "cid"), "jaccard-wanted")
+    found = stage(links(members, known, classes, set_table(documents, wanted), threshold), "jaccard-links")
     number = found.groupBy("cid").agg(F.sum("links").alias("links"))
     roots = components(found.select("cid", "root").distinct(), "jaccard-components").select(F.col("node").alias("cid"), "root")
     named = stage(
