@@ -28,7 +28,7 @@ from snapcat.llm.components import components, local_roots
 
 SHINGLE = 5
 THRESHOLD = 0.8
-RECALL = 0.99999
+RECALL = 0.999999
 #: Coordinates of the min-hash vector, coordinates sampled at a node below the root (one at the root).
 COORDINATES, BRANCH = 48, 2
 #: Classes of a node that is compared without further splitting, splits at most, classes of a block at the last level.
