@@ -10,7 +10,7 @@ from snapcat.llm.common import stage
 
 
 def components(links: DataFrame, name: str) -> DataFrame:
-    """(node, root): the smallest id reachable, for every node that has a link.
+    """(node, root): the smallest id reachable, for every linked node but the roots themselves.
 
     ``links`` has two long columns.  Stars are grown in turn towards the smallest neighbour: larger neighbours are
     hung on it, then smaller ones; the number of rounds is logarithmic.  Minima are summed before the shuffle

@@ -58,7 +58,7 @@ def train_dictionary(documents: DataFrame, tokenizer: str, spaced: bool, width:
     found = [bytes(r.ids) for r in sample.collect() if r.ids]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, found).as_bytes()
-    except zstandard.ZstdError:  # too few documents to learn from
+    except (zstandard.ZstdError, ValueError):  # too few documents to learn from
         return b"".join(found)[:DICTIONARY_BYTES]
 
 
@@ -124,13 +124,15 @@ def open_index(stream, digest: bytes) -> tuple[np.ndarray, int]:
 
 
 def read_document(folder: str, file: str, dictionary: bytes, doc_id: int) -> np.ndarray:
-    """Ids of one document: its index entry and one read of its frame."""
+    """Ids of one document (KeyError if the file has none of that id): its index entry and one read of its frame."""
     target, path = fs.FileSystem.from_uri(folder)
     with target.open_input_file(f"{path}/{file}") as stream:
         index, width = open_index(stream, hashlib.sha256(dictionary).digest())
-        at = int(np.searchsorted(index["doc_id"] + 0, doc_id))
-        while index["doc_id"][at] != doc_id or index["no_id"][at]:
+        at = int(np.searchsorted(index["doc_id"], doc_id))  # NULL ids come first, as the smallest number
+        while at < len(index) and index["doc_id"][at] == doc_id and index["no_id"][at]:
             at += 1
+        if at == len(index) or index["doc_id"][at] != doc_id:
+            raise KeyError(doc_id)
         stream.seek(int(index["offset"][at]))
         end = int(index["offset"][at + 1]) if at + 1 < len(index) else stream.size()
         plain = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None).decompressobj()
