@@ -4,10 +4,10 @@ Every document is the set of its runs of five words.  Documents with one set are
 classes are joined.  A class follows random paths: at each node some coordinates of a min-hash vector are
 sampled, and for each of them the class goes to the child named by its value there, that is by a shared
 sampled shingle; similar sets choose the same path with high probability, others part.  Nodes of at most
-BUCKET classes, and all nodes at DEPTH, are compared in full; larger ones are split again.  Independent runs
+BUCKET classes, and larger ones whose sets are alike, are compared in full; the others are split again.  Independent runs
 repeat this until a pair at the threshold is met with the target probability.
 
-Large nodes at DEPTH are compared block by block in many tasks.  In a node the min-hash vectors are compared first, and only
+Large nodes are compared block by block in many tasks.  In a node the min-hash vectors are compared first, and only
 sets with a likely partner are fetched and compared exactly.  A pair that meets in several nodes counts
 in the one with the smallest key alone.  Only a sum of links per class and a star per component leave a task, never pairs.
 """
@@ -31,8 +31,10 @@ THRESHOLD = 0.8
 RECALL = 0.999999
 #: Coordinates of the min-hash vector, coordinates sampled at a node below the root (one at the root).
 COORDINATES, BRANCH = 48, 2
-#: Classes of a node that is compared without further splitting, splits at most, classes of a block at the last level.
-BUCKET, DEPTH, BLOCK = 512, 3, 512
+#: Classes of a node that is compared without further splitting, splits at most, classes of a block of a larger node.
+BUCKET, DEPTH, BLOCK = 512, 8, 512
+#: A child that keeps more than this part of its node is compared in full: its sets are alike, and splitting would go on in vain.
+ALIKE = 0.5
 #: Share of equal coordinates below which a pair's sets are not fetched: a pair at the threshold falls below it
 #: with a probability far under what ``RECALL`` leaves.
 AGREEMENT = 0.5
@@ -128,21 +130,21 @@ def paths(classes: DataFrame, runs: int) -> DataFrame:
     """(key, cid, members): classes in the nodes where they are compared."""
     at = lambda c: F.element_at("sig", c + 1)
     rows = classes.select("cid", "sig", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run")).select(
-        "cid", F.xxhash64("run", at(F.col("run"))).alias("key"))
+        "cid", F.xxhash64("run", at(F.col("run"))).alias("key"), F.lit(None).cast("long").alias("above"))
     leaves = []
     for depth in range(DEPTH + 1):
         rows = stage(rows, "paths-rows")
         # One row per node with company; joined as a table, so that a large node's rows can be split.
-        nodes = stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "paths-nodes")
-        met = stage(rows.join(nodes, "key"), "paths-met")
-        last = depth == DEPTH
-        leaves.append(met if last else met.filter(F.col("members") <= BUCKET))
-        large = met.filter(F.col("members") > BUCKET)
-        if last or large.isEmpty():
+        nodes = stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.max("above").alias("above")).filter("members > 1"), "paths-nodes")
+        met = stage(rows.drop("above").join(nodes, "key"), "paths-met")
+        done = (F.col("members") <= BUCKET) | F.coalesce(F.col("members") > ALIKE * F.col("above"), F.lit(False))
+        leaves.append(met if depth == DEPTH else met.filter(done))
+        large = met.filter(~done)
+        if depth == DEPTH or large.isEmpty():
             break
-        spread = large.join(classes.select("cid", "sig"), "cid").select("cid", "key", "sig", F.explode(F.sequence(F.lit(0), F.lit(BRANCH - 1))).alias("j"))
+        spread = large.join(classes.select("cid", "sig"), "cid").select("cid", "key", "members", "sig", F.explode(F.sequence(F.lit(0), F.lit(BRANCH - 1))).alias("j"))
         coordinate = (F.lit(runs) + F.pmod(F.xxhash64("key", "j"), F.lit(COORDINATES - runs))).cast("int")
-        rows = spread.withColumn("c", coordinate).select("cid", F.xxhash64("key", "c", at(F.col("c"))).alias("key")).distinct()
+        rows = spread.withColumn("c", coordinate).select("cid", F.xxhash64("key", "c", at(F.col("c"))).alias("key"), F.col("members").alias("above")).distinct()
     out = leaves[0]
     for more in leaves[1:]:
         out = out.union(more)

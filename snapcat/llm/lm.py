@@ -239,7 +239,7 @@ def lm_scores(documents: DataFrame, training: DataFrame, extra: list[str]) -> Da
                 words, owner = word_counts(data, offsets, hasher, lower, member)
                 words, owner = np.append(words, np.zeros(texts, np.uint64)), np.append(owner, np.arange(texts))
                 at, common = Trie.find(keys, words)
-                base = np.bincount(owner[common], weights=value[at[common]], minlength=texts)
+                base = np.bincount(owner[common], weights=value[at[common]], minlength=texts).astype(np.float64)  # integers if empty
                 known = np.bincount(owner[common], minlength=texts)
                 tokens = np.bincount(owner, minlength=texts)
                 none = pa.nulls(texts, pa.int64())

@@ -5,7 +5,7 @@ disguises, a transducer rewrites homoglyphs, full-width and styled characters, i
 characters, spelled digits and at/dot disguises into plain characters and remembers for
 every written character the source range it came from; the same detectors run over the
 rewritten text, and their spans are mapped back.  Such spans are added where they overlap
-no span of the same kind found directly.  Offsets are code points, ends are exclusive.
+no span of the same kind found directly, or contain it with more of the same word.  Offsets are code points, ends are exclusive.
 """
 
 from __future__ import annotations
@@ -58,6 +58,7 @@ DOT_WORD = re.compile(rf"\b(?:{DOT})\b", re.IGNORECASE)
 DOT_WORDS = tuple(DOT.split("|"))
 ODD = re.compile(rf"[{INVISIBLE}{''.join(HOMOGLYPHS)}！-～\U0001d400-\U0001d7ff٠-٩①-⑨]")
 WORD = re.compile(r"\S+")
+SPACED = re.compile(r"\s")
 AROUND = ".,;:()-+"
 #: Spelled digits are rewritten where at least so many follow each other (figures may stand between them).
 SPELLED_RUN = 3
@@ -184,7 +185,9 @@ def find_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
     found = list(base)
     for s, kind, e in detect(rewritten):
         lo, hi = starts[s], ends[e - 1]
-        if text[lo:hi] != rewritten[s:e] and not any(k == kind and a < hi and lo < b for a, k, b in base):
+        if text[lo:hi] != rewritten[s:e] and all(
+            k != kind or b <= lo or hi <= a or lo <= a and b <= hi and not SPACED.search(text[lo:a] + text[b:hi]) for a, k, b in base
+        ):
             found.append((lo, kind, hi))
     return base, sorted(found)
 
