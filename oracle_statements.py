@@ -42,6 +42,7 @@ def month_name(month: str) -> str:
     return f"CASE WHEN {month} BETWEEN 1 AND 12 THEN strftime(make_date(2024, {month}, 1), '%B') END"
 
 
+# Formulas, labels and cut-offs that must equal those of the data model.
 S_RECENT = "LEAST(100.0::DOUBLE, recent_releases_12m * 10.0::DOUBLE)"
 S_GROWTH = """(CASE WHEN catalog_growth_pct IS NULL THEN 50.0::DOUBLE
   ELSE GREATEST(0.0::DOUBLE, LEAST(100.0::DOUBLE, 50.0::DOUBLE + catalog_growth_pct * 5.0::DOUBLE)) END)"""

@@ -30,19 +30,19 @@ def clean_count(value: Column) -> Column:
     return nullify_sentinels(value, COUNT_SENTINELS).try_cast("int")
 
 
-def normalize_partial_date(text: Column) -> Column:
-    """DATE from ``YYYY``, ``YYYY-MM`` or ``YYYY-MM-DD``; NULL if unreadable."""
-    padded = (
-        F.when(F.length(text) == 4, F.concat(text, F.lit("-01-01")))
-        .when(F.length(text) == 7, F.concat(text, F.lit("-01")))
-        .otherwise(text)
-    )
-    return F.try_to_date(padded, "yyyy-MM-dd")
+def _digits(text: Column, pattern: str) -> Column:
+    """First group of ``pattern`` as a number, NULL without a match."""
+    return F.regexp_extract(text, pattern, 1).try_cast("int")
 
 
 def release_year(text: Column) -> Column:
     """Year read from the text itself, so it survives an unreadable day."""
-    return F.when(F.length(text) >= 4, F.substring(text, 1, 4).try_cast("int"))
+    return _digits(text, r"^([0-9]{4})")
+
+
+def known_month(text: Column) -> Column:
+    """Month that the text states, NULL for a year alone."""
+    return _digits(text, r"^[0-9]{4}-([0-9]{2})")
 
 
 def release_month(text: Column, only_known: bool = False) -> Column:
@@ -50,13 +50,26 @@ def release_month(text: Column, only_known: bool = False) -> Column:
 
     ``only_known=True`` keeps year-only releases out of month statistics.
     """
-    known = F.when(F.length(text) >= 7, F.substring(text, 6, 2).try_cast("int"))
-    return known if only_known else known.when(F.length(text) >= 4, F.lit(1))
+    known = known_month(text)
+    return known if only_known else F.coalesce(known, F.when(release_year(text).isNotNull(), 1))
+
+
+def normalize_partial_date(text: Column) -> Column:
+    """DATE from ``YYYY``, ``YYYY-MM`` or ``YYYY-MM-DD``; NULL if unreadable.
+
+    Built from the parts: the first day of the month, and the day counted from it
+    if the month has that many.
+    """
+    month = release_month(text)
+    day = F.coalesce(_digits(text, r"^[0-9]{4}-[0-9]{2}-([0-9]{2})$"), F.lit(1))
+    whole = text.rlike(r"^[0-9]{4}(-[0-9]{2}){0,2}$") & month.between(1, 12)
+    first = F.when(whole, F.make_date(release_year(text), month, F.lit(1)))
+    return F.when(day.between(1, F.dayofmonth(F.last_day(first))), F.date_add(first, day - 1))
 
 
 def decade_label(year: Column) -> Column:
     """``1987`` -> ``1980s``."""
-    return F.concat((F.floor(year / 10) * 10).cast("string"), F.lit("s"))
+    return F.concat((year - F.pmod(year, F.lit(10))).cast("string"), F.lit("s"))
 
 
 def whole_number(name: str, dtype: str) -> Column:

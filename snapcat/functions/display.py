@@ -72,13 +72,11 @@ def _marked(label: Column, marks: list[tuple[tuple[str, ...], str]], otherwise:
 
 
 def activity_badge(tier: Column) -> Column:
-    marks = [(("hyper",), "🔥"), (("active",), "⚡"), (("moderate",), "📈")]
-    return _marked(tier, marks, "⏳", "⚪ Unknown")
+    return _marked(tier, *M.ACTIVITY_BADGES)
 
 
 def strategy_badge(strategy: Column) -> Column:
-    marks = [(("single",), "🎵"), (("hybrid", "balanced"), "⚖️")]
-    return _marked(strategy, marks, "💿", "⚪ Unclassified")
+    return _marked(strategy, *M.STRATEGY_BADGES)
 
 
 def link(base: str, identifier: Column) -> Column:

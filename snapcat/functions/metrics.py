@@ -154,4 +154,4 @@ def month_name(month: Column) -> Column:
 
 def iso_weekday(day: Column) -> Column:
     """Monday = 1 ... Sunday = 7."""
-    return ((F.dayofweek(day) + 5) % 7 + 1).cast("int")
+    return F.weekday(day) + 1

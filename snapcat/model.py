@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 SNAPSHOT = "snapshot_date"
 ENTITIES = ("artists", "albums", "tracks")
 
+# Keys, rules, bounds and schemas that the data model prescribes.
 ENTITY_KEY = {"artists": "artist_id", "albums": "album_id", "tracks": "track_id"}
 
 CRITICAL_COLUMNS = {
@@ -140,3 +141,7 @@ DATE_SENTINELS = ("", "N/A", "null")
 COUNT_SENTINELS = ("", "null")
 MISSING_TEXT = "—"
 # --- End of fixed values ----------------------------------------------------
+
+# Marks of labels that contain a word, the mark of others, the text without a label.
+ACTIVITY_BADGES = ([(("hyper",), "🔥"), (("active",), "⚡"), (("moderate",), "📈")], "⏳", "⚪ Unknown")
+STRATEGY_BADGES = ([(("single",), "🎵"), (("hybrid", "balanced"), "⚖️")], "💿", "⚪ Unclassified")

@@ -12,6 +12,7 @@ from snapcat.functions import display
 from snapcat.functions.cleaning import duration_minutes
 from snapcat.model import SNAPSHOT
 from snapcat.operators.joins import track_album_artist_join
+from snapcat.plans.marts import mart_artist_activity
 
 
 def at_snapshot(df: DataFrame, snapshot: str) -> DataFrame:
@@ -40,8 +41,9 @@ def drop_null_sort(df: DataFrame, column: str) -> DataFrame:
     return df.dropna(subset=[column]).orderBy(F.col(column).desc())
 
 
-def artist_activity_at(activity: DataFrame, snapshot: str) -> DataFrame:
-    return at_snapshot(activity, snapshot).orderBy("activity_rank")
+def artist_activity_at(fact: DataFrame, dim_artist: DataFrame, snapshot: str) -> DataFrame:
+    """Ranks look at one snapshot only, so the fact is filtered before they are made."""
+    return mart_artist_activity(at_snapshot(fact, snapshot), dim_artist).orderBy("activity_rank")
 
 
 def artist_momentum_at(momentum: DataFrame, snapshot: str) -> DataFrame:
@@ -185,7 +187,8 @@ def warehouse_health(
 ) -> DataFrame:
     """One row: newest and previous snapshot, table sizes, newest gate status.
 
-    One-row aggregates are stacked and folded, so no cross join is needed.
+    A dimension has one row per key, so rows are counted; the gate's status is read
+    from its written summary.  One-row aggregates are stacked and folded, so no cross join is needed.
     """
     per_snapshot = fact.groupBy(SNAPSHOT).agg(F.count(F.lit(1)).alias("n"))
     dates = F.sort_array(F.collect_list(SNAPSHOT), asc=False)
@@ -196,9 +199,9 @@ def warehouse_health(
             F.count(F.lit(1)).alias("total_snapshots"),
             F.coalesce(F.sum("n"), F.lit(0)).alias("total_facts"),
         ),
-        dim_artist.agg(F.countDistinct("artist_key").alias("artists_count")),
-        dim_album.agg(F.countDistinct("album_key").alias("albums_count")),
-        dim_track.agg(F.countDistinct("track_key").alias("tracks_count")),
+        dim_artist.agg(F.count(F.lit(1)).alias("artists_count")),
+        dim_album.agg(F.count(F.lit(1)).alias("albums_count")),
+        dim_track.agg(F.count(F.lit(1)).alias("tracks_count")),
         dq_summary.agg(F.max_by("overall_status", SNAPSHOT).alias("dq_status")),
     ]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

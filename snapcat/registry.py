@@ -504,7 +504,7 @@ def strategy_distribution(w):
 @query
 def warehouse_health(w):
     return reads.warehouse_health(
-        w.fact(), w.dim("artist"), w.dim("album"), w.dim("track"), quality.dq_report(w.gate())
+        w.fact(), w.dim("artist"), w.dim("album"), w.dim("track"), w.gate_summary()
     )
 
 
@@ -1193,7 +1193,7 @@ def q8_momentum_delta(w):
 
 @query
 def artist_activity_at(w):
-    return reads.artist_activity_at(w.activity(), FOURTH)
+    return reads.artist_activity_at(w.fact(), w.dim("artist"), FOURTH)
 
 
 @query

@@ -74,6 +74,14 @@ class Warehouse:
     def gate(self) -> DataFrame:
         return quality.quality_gate(*self.silver())
 
+    def gate_summary(self) -> DataFrame:
+        """Summary of the gate as a run writes it: computed once, then read."""
+        path = f"{self.root}/report/summary"
+        if "gate_summary" not in self._built:
+            write_snapshot(quality.dq_report(self.gate()), path)
+            self._built.add("gate_summary")
+        return self.spark.read.parquet(path)
+
     def activity(self) -> DataFrame:
         return marts.mart_artist_activity(self.fact(), self.dim("artist"))
 
