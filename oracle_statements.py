@@ -657,6 +657,14 @@ _FINAL: dict[str, str] = {
     "incremental_merge": merged(
         "st", "track_id", "track_id, track_name, duration_ms, extracted_at", SECOND, LAST, False
     ),
+    "merge_snapshot": " UNION ALL ".join(
+        f"SELECT '{entity}' AS entity, {key} AS id, snapshot_date FROM ({merged(table, key, key, SECOND, LAST, wins)})"
+        for entity, table, key, wins in (
+            ("artists", "sa", "artist_id", True), ("albums", "sb", "album_id", False), ("tracks", "st", "track_id", False))
+    ),
+    "merge_snapshot_orphans": f"""SELECT {day(NEXT)} AS snapshot_date, count(*) AS total_rows,
+        count(*) FILTER (WHERE album_id NOT IN (SELECT album_id FROM ({merged("sb", "album_id", "album_id", SECOND, LAST, False)}))) AS orphan_count
+        FROM ({merged("st", "track_id", "track_id, album_id", SECOND, LAST, False)})""",
     "track_cache_reuse": f"""SELECT 'reused' AS action, track_id AS id, {day(NEXT)} AS snapshot_date FROM st
           WHERE snapshot_date = {day(SECOND)}
             AND album_id IN (SELECT album_id FROM sb WHERE snapshot_date = {day(THIRD)})

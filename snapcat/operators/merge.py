@@ -7,10 +7,12 @@ side AQE can broadcast, so the prior snapshot itself is never shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapcat.model import SNAPSHOT
+from snapcat.model import ENTITIES, ENTITY_KEY, SNAPSHOT
 
 
 def _stamp(df: DataFrame, snapshot: str) -> DataFrame:
@@ -40,6 +42,20 @@ def incremental_merge(
     return _stamp(merged, snapshot)
 
 
+def merge_snapshot(
+    prior: Mapping[str, DataFrame], delta: Mapping[str, DataFrame], snapshot: str
+) -> dict[str, DataFrame]:
+    """One consistent new snapshot of the three tables.
+
+    Creators that the delta leaves untouched are carried forward, others take their new row; releases and
+    items of the prior snapshot stay, new ones are added.
+    """
+    return {
+        entity: incremental_merge(prior[entity], delta[entity], ENTITY_KEY[entity], snapshot, delta_wins=entity == "artists")
+        for entity in ENTITIES
+    }
+
+
 def split_known_releases(delta_albums: DataFrame, history_tracks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(releases whose items are already in history, releases still to fetch)."""
     seen = history_tracks.select("album_id").join(delta_albums.select("album_id"), "album_id", "left_semi")

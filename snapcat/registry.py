@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from snapcat.functions import cleaning as C
 from snapcat.functions import display, metrics
-from snapcat.model import ENTITIES, SNAPSHOT
+from snapcat.model import ENTITIES, ENTITY_KEY, SNAPSHOT
 from snapcat.operators import aggregates as A
 from snapcat.operators import checks, dedupe, joins, ledger, merge, quality, ranking
 from snapcat.operators import windows as W
@@ -649,6 +649,27 @@ def incremental_merge(w):
     return merged.select("track_id", "track_name", "duration_ms", "extracted_at", SNAPSHOT)
 
 
+def _whole_merge(w: Warehouse) -> dict[str, DataFrame]:
+    prior, delta = ({e: _at(w.table(e), day) for e in ENTITIES} for day in (SECOND, LAST))
+    return merge.merge_snapshot(prior, delta, NEXT)
+
+
+@query
+def merge_snapshot(w):
+    """Three tables carried forward and merged: every key of the new snapshot."""
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(entity).alias("entity"), F.col(ENTITY_KEY[entity]).alias("id"), SNAPSHOT)
+        for entity, df in _whole_merge(w).items()
+    ])
+
+
+@query
+def merge_snapshot_orphans(w):
+    """Tracks of the merged snapshot without their album there, against those of its two sources."""
+    found = joins.orphan_counts(*(_whole_merge(w)[e] for e in ("tracks", "albums")), "album_id", within=[SNAPSHOT])
+    return found.select(SNAPSHOT, "total_rows", "orphan_count")
+
+
 @query
 def track_cache_reuse(w):
     history, delta = _at(w.table("tracks"), SECOND), _at(w.table("albums"), THIRD)
