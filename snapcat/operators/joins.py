@@ -86,14 +86,17 @@ def orphan_counts(
     foreign_key: str,
     parent_key: str | None = None,
     within: Sequence[str] = (),
+    rows: str | None = None,
 ) -> DataFrame:
     """(within..., total_rows, orphan_count) with only key counts shuffled.
 
+    ``rows`` names the count of a child that was reduced before.
+
     The child is reduced to one row per foreign key before it meets the parent,
     so neither a hot key nor a large share of NULL keys reaches one task.
     """
     keys = _pairs(foreign_key, parent_key, within)
-    per_key = child.groupBy(foreign_key, *within).agg(F.count(F.lit(1)).alias("__rows"))
+    per_key = child.groupBy(foreign_key, *within).agg((F.count(F.lit(1)) if rows is None else F.sum(rows)).alias("__rows"))
     parents = _parent_keys(parent, keys).distinct().withColumn("__found", F.lit(1))
     matched = per_key.join(parents, _on(keys), "left")
     return matched.groupBy(*within).agg(

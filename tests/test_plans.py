@@ -89,3 +89,9 @@ def test_no_shuffle_on_all_columns(spark):
     from snapcat.sources.driver_tables import raw_entity
 
     assert "l_extendedprice" not in "".join(re.findall(r"Exchange [^\n]*", plan_of(raw_entity(spark, SF_DIR, "tracks"))))
+
+
+def test_gate_scans_tracks_twice(spark):
+    """Row rules in one pass, both foreign keys in another."""
+    plan = plan_of(run(spark, "quality_gate")).split("SubqueryAdaptiveBroadcast")[0]
+    assert sum("FileScan" in line and "track_id" in line for line in plan.split("\n")) == 1
