@@ -6,9 +6,10 @@ occur there, an escape is coded (estimated by the number of distinct symbols of
 next shorter context is asked, with all symbols of the longer one excluded; below the empty
 context all symbols left are equally likely.  The score is the log10 probability of the whole text.
 
-The trie keeps contexts that occurred often enough for MAX_NODES nodes to suffice: its size is
-that of a model, whatever the corpus.  Since a node's count never exceeds that of its shorter context,
-the symbols of a context are among those of its shorter one, and exclusion needs two sums per context.
+The whole trie is a table.  Since the symbols of a context are among those of its shorter one, exclusion
+needs two sums per context (``distinct`` and ``covered``), which are taken over the whole table.  Nodes and
+contexts of at least the count at which MAX_NODES nodes suffice are at hand in the tasks, with these sums; a
+symbol whose path may touch another one is joined with the rest of the table, each distinct code once.
 
 Beside it stands a unigram score of words (``base_score``), whose counts cover every word: those of the
 FREQUENT most frequent words are at hand in the tasks, all others are joined.
@@ -26,6 +27,8 @@ from snapcat.llm.common import Hasher, bucket_of, chunks, load, lower_bytes, ran
 ORDER = 4
 MAX_NODES = 1 << 20
 FREQUENT = 1 << 20
+#: Orders whose nodes and contexts are always at hand: the alphabet bounds them.
+LOW = 1
 #: Symbols: bytes, the end of a text, and what stands before a text.
 END, BEFORE, SYMBOLS, BITS = 256, 257, 257, 9
 #: Name of the end token among word hashes.
@@ -115,32 +118,25 @@ def least_count(counts: DataFrame, most: int) -> float:
 
 
 class Trie:
-    """Per order: sorted (context, symbol) codes with counts, and sorted contexts with their sums."""
+    """Per order: sorted codes at hand with their counts, and sorted contexts with total, distinct and covered.
 
-    def __init__(self, nodes: list[tuple[np.ndarray, np.ndarray]]) -> None:
+    ``whole``: no node or context is missing.
+    """
+
+    def __init__(self, nodes: list[tuple[np.ndarray, np.ndarray]], contexts: list[tuple[np.ndarray, np.ndarray]], whole: bool) -> None:
         self.keys = [k for k, _ in nodes]
         self.n = [n.astype(np.float64) for _, n in nodes]
-        self.contexts, self.total, self.distinct, self.covered = [], [], [], []
-        for order in range(ORDER + 1):
-            key, n = self.keys[order], self.n[order]
-            context, where = np.unique(key >> np.uint64(BITS), return_inverse=True)
-            self.contexts.append(context)
-            self.total.append(np.bincount(where, weights=n, minlength=len(context)))
-            self.distinct.append(np.bincount(where, minlength=len(context)).astype(np.float64))
-            # What the symbols of a context count in the next shorter one.
-            if order:
-                at, _ = self.find(self.keys[order - 1], key & np.uint64((1 << (BITS * order)) - 1))
-                self.covered.append(np.bincount(where, weights=self.n[order - 1][at], minlength=len(context)))
-            else:
-                self.covered.append(np.zeros(len(context)))
-        whole = self.keys[ORDER]
-        where = self.context_at(ORDER, whole)
-        self.whole = np.log10(self.n[ORDER] / (self.total[ORDER][where] + self.distinct[ORDER][where])) if len(whole) else np.zeros(0)
+        self.contexts = [k for k, _ in contexts]
+        self.sums = [v.astype(np.float64) for _, v in contexts]
+        self.whole = whole
+        longest = self.keys[ORDER]
+        at, _ = self.find(self.contexts[ORDER], longest >> np.uint64(BITS))  # a node's context occurred as often at least
+        value = np.log10(self.n[ORDER] / (self.sums[ORDER][0][at] + self.sums[ORDER][1][at])) if len(longest) else np.zeros(0)
         self.slot_key = np.full(SLOTS, np.iinfo(np.uint64).max, np.uint64)
         self.slot_value = np.zeros(SLOTS)
-        slots = self.slot(whole)
-        self.slot_key[slots] = whole
-        self.slot_value[slots] = self.whole  # of two in one slot the last wins in both assignments
+        slots = self.slot(longest)
+        self.slot_key[slots] = longest
+        self.slot_value[slots] = value  # of two in one slot the last wins in both assignments
 
     @staticmethod
     def find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,64 +145,135 @@ class Trie:
         at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
         return at, table[at] == keys
 
-    def context_at(self, order: int, keys: np.ndarray) -> np.ndarray:
-        return self.find(self.contexts[order], keys >> np.uint64(BITS))[0]
-
     @staticmethod
     def slot(keys: np.ndarray) -> np.ndarray:
         return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
 
-    def walk(self, keys: np.ndarray) -> np.ndarray:
-        """log10 probability of each symbol in its context."""
-        out = np.zeros(len(keys))
-        open_ = np.ones(len(keys), bool)
-        covered, known = np.zeros(len(keys)), np.zeros(len(keys))
-        for order in range(ORDER, -1, -1):
-            key = keys & np.uint64((1 << (BITS * (order + 1))) - 1)
+    def look(self, keys: np.ndarray) -> np.ndarray:
+        """[order, (total, distinct, covered, n), code] of what is at hand, 0 for what is not."""
+        out = np.zeros((ORDER + 1, 4, len(keys)))
+        for order in range(ORDER + 1):
+            key = part(keys, order)
             at, there = self.find(self.contexts[order], key >> np.uint64(BITS))
-            if not there.any():
-                continue
-            node, hit = self.find(self.keys[order], key)
-            distinct = self.distinct[order][at] - known
-            total = self.total[order][at] - covered + distinct
-            ask = open_ & there & (distinct > 0)
-            found = ask & hit
-            out[found] += np.log10(self.n[order][node[found]] / total[found])
-            missed = ask & ~hit
-            out[missed] += np.log10(distinct[missed] / total[missed])
-            open_ &= ~found
-            covered = np.where(there, self.covered[order][at], 0)
-            known = np.where(there, self.distinct[order][at], 0)
-        out[open_] -= np.log10(SYMBOLS - known[open_])
+            out[order, :3, there] = self.sums[order][:, at[there]].T
+            at, there = self.find(self.keys[order], key)
+            out[order, 3, there] = self.n[order][at[there]]
         return out
 
-    def probabilities(self, keys: np.ndarray) -> np.ndarray:
+    def missing(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """[order, code]: whether the code's node and its context have to be looked for in the table."""
+        open_ = np.full(values.shape[2], not self.whole)
+        nodes, contexts = np.zeros((2, ORDER + 1, values.shape[2]), bool)
+        for order in range(ORDER, LOW, -1):
+            contexts[order] = open_ & (values[order, 1] == 0)
+            open_ = open_ & (values[order, 3] == 0)
+            nodes[order] = open_
+        return nodes, contexts
+
+    def probabilities(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 probability of each symbol in its context, and which ones the table has to tell (0 for these)."""
         slot = self.slot(keys)
-        out = self.slot_value[slot]
+        out, unsure = self.slot_value[slot], np.zeros(len(keys), bool)
         rest = np.flatnonzero(self.slot_key[slot] != keys)
         if len(rest):
             unique, where = np.unique(keys[rest], return_inverse=True)
-            out[rest] = self.walk(unique)[where]
-        return out
+            values = self.look(unique)
+            ask = np.any(self.missing(values), axis=(0, 1))
+            out[rest] = np.where(ask, 0.0, walk(values))[where]
+            unsure[rest] = ask[where]
+        return out, unsure
+
+
+def part(keys: np.ndarray, order: int) -> np.ndarray:
+    """Codes of a shorter context with the same symbol."""
+    return keys & np.uint64((1 << (BITS * (order + 1))) - 1)
+
+
+def walk(values: np.ndarray) -> np.ndarray:
+    """log10 probability of each symbol from (total, distinct, covered, n) at each order."""
+    size = values.shape[2]
+    out, open_ = np.zeros(size), np.ones(size, bool)
+    covered, known = np.zeros(size), np.zeros(size)
+    for order in range(ORDER, -1, -1):
+        all_, symbols, below, n = values[order]
+        distinct = symbols - known
+        total = all_ - covered + distinct
+        ask = open_ & (distinct > 0)
+        found = ask & (n > 0)
+        out[found] += np.log10(n[found] / total[found])
+        missed = ask & ~found
+        out[missed] += np.log10(distinct[missed] / total[missed])
+        open_ &= ~found
+        covered, known = below, symbols
+    out[open_] -= np.log10(SYMBOLS - known[open_])
+    return out
 
 
-def train_trie(contexts: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(codes, counts) per order from (key, n) of the longest contexts; at most MAX_NODES reach the driver."""
+def train_trie(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tables of all nodes (order, key, n) and all contexts (order, key, total, distinct, covered), from (key, n) of the longest contexts."""
     by_order = F.explode(F.array(*(
         F.struct(F.lit(o).alias("order"), F.col("key").bitwiseAND(F.lit((1 << (BITS * (o + 1))) - 1)).alias("key")) for o in range(ORDER + 1))))
-    nodes = contexts.select(by_order.alias("node"), "n").groupBy("node.order", "node.key").agg(F.sum("n").alias("n"))
+    nodes = counts.select(by_order.alias("node"), "n").groupBy("node.order", "node.key").agg(F.sum("n").alias("n"))
     nodes = stage(nodes, "lm-nodes")
-    kept = nodes.filter(F.col("n") >= least_count(nodes, MAX_NODES)).toArrow()
-    order, key, n = (np.asarray(kept[c]) for c in ("order", "key", "n"))
+    # What the symbols of a context count in the next shorter one: at most SYMBOLS + 1 nodes have the same shorter one.
+    shorter = nodes.select((F.col("order") + 1).alias("order"), F.col("key").alias("short"), F.col("n").alias("below"))
+    longer = nodes.withColumn("short", F.expr(f"key & (shiftleft(1L, {BITS} * order) - 1)"))
+    contexts = longer.join(shorter, ["order", "short"], "left").groupBy("order", F.shiftright("key", BITS).alias("key")).agg(
+        F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct"), F.sum(F.coalesce("below", F.lit(0))).alias("covered"))
+    return nodes, stage(contexts, "lm-contexts")
+
+
+def at_hand(table: DataFrame, values: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(sorted keys, values) per order, on the driver."""
+    rows = table.select("order", "key", *values).toArrow()
+    order, key, *columns = (np.asarray(rows[c]) for c in ("order", "key", *values))
     out = []
     for o in range(ORDER + 1):
-        mine = order == o
-        k = key[mine].astype(np.uint64)
-        rank = np.argsort(k)
-        out.append((k[rank], n[mine][rank]))
+        mine = np.flatnonzero(order == o)
+        mine = mine[np.argsort(key[mine])]
+        kept = np.array([c[mine] for c in columns], np.int64)
+        out.append((key[mine].astype(np.uint64), kept if len(values) > 1 else kept[0]))
     return out
 
 
+def settle(codes_: DataFrame, rest: DataFrame, trie_of) -> DataFrame:
+    """(code, log): log10 probability of distinct codes by a join with what is not at hand.
+
+    ``rest``: (slot, key, total, distinct, covered, n); slot 2 * order for nodes, 2 * order + 1 for contexts.
+    """
+
+    def ask(batches):
+        trie = trie_of()
+        for b in batches:
+            keys = np.asarray(b.column(0)).view(np.uint64)
+            missing = trie.missing(trie.look(keys))
+            for order in range(LOW + 1, ORDER + 1):
+                for kind in (0, 1):
+                    mine = keys[missing[kind][order]]
+                    wanted = part(mine, order) >> np.uint64(BITS * kind)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(mine.view(np.int64)), pa.array(np.full(len(mine), 2 * order + kind, np.int32)), pa.array(wanted.view(np.int64))], ["code", "slot", "key"])
+
+    def tell(batches):
+        trie = trie_of()
+        for b in batches:
+            keys, found = np.asarray(b.column(0)).view(np.uint64), b.column(1)
+            values = trie.look(keys)
+            of = np.repeat(np.arange(len(keys)), np.asarray(found.value_lengths()))
+            rows = found.flatten()
+            slot = np.asarray(rows.field(0))
+            for kind, names in ((0, [4]), (1, [1, 2, 3])):
+                mine = slot % 2 == kind
+                for name in names:
+                    values[slot[mine] // 2, 3 if kind == 0 else name - 1, of[mine]] = np.asarray(rows.field(name))[mine]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(walk(values))], ["code", "log"])
+
+    asked = codes_.mapInArrow(ask, "code long, slot int, key long")
+    row = F.when(F.col("n").isNotNull(), F.struct("slot", "total", "distinct", "covered", "n"))
+    found = asked.join(rest, ["slot", "key"], "left").groupBy("code").agg(F.collect_list(row).alias("found"))  # at most two for each order
+    return found.mapInArrow(tell, "code long, log double")
+
+
 def lm_scores(documents: DataFrame, training: DataFrame, extra: list[str]) -> DataFrame:
     """``extra`` columns, n_tokens, n_known, train_tokens, base_score and score of every document row.
 
@@ -218,24 +285,42 @@ def lm_scores(documents: DataFrame, training: DataFrame, extra: list[str]) -> Da
     vocabulary = counts.filter("kind = 0").select("key", "n")
     size = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n_all, denominator = int(size.n), float(np.log10(size.n + 0.5 * (size.v + 1)))
-    nodes = train_trie(counts.filter("kind = 1"))
+    nodes, contexts = train_trie(counts.filter("kind = 1"))
+    least = least_count(nodes, MAX_NODES)
+    # Contexts occurred as often as their last symbol in the next shorter context, so as many reach ``least`` as nodes do.
+    of_nodes, of_contexts = (F.col("order") <= LOW) | (F.col("n") >= least), (F.col("order") <= LOW) | (F.col("total") >= least)
+    model = at_hand(nodes.filter(of_nodes), ["n"]), at_hand(contexts.filter(of_contexts), ["total", "distinct", "covered"]), least <= 1
     enough = least_count(vocabulary, FREQUENT)
     frequent = vocabulary.filter(F.col("n") >= enough).toArrow()
     keys, n = np.asarray(frequent["key"]).view(np.uint64), np.asarray(frequent["n"])
     rank = np.argsort(keys)
-    shared = spark.sparkContext.broadcast((nodes, keys[rank], n[rank]))  # MAX_NODES and FREQUENT entries at most
+    shared = spark.sparkContext.broadcast((model, keys[rank], n[rank]))  # about MAX_NODES (twice) and FREQUENT entries at most
     schema = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in extra)
     width = len(extra)
 
+    def trie_of():
+        return Trie(*shared.value[0])
+
+    def times_in_text(keys, owner):
+        """Each key of a text once, with its text and its number."""
+        order = np.lexsort((keys, owner))
+        keys, owner = keys[order], owner[order]
+        first = np.ones(len(keys), bool)
+        first[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
+        begin = np.flatnonzero(first)
+        return keys[begin].view(np.int64), owner[begin], np.diff(np.append(begin, len(keys)))
+
     def run(batches):
-        nodes, keys, n = shared.value
-        trie, hasher, lower, member = Trie(nodes), Hasher(), lower_bytes(), word_member()
+        _, keys, n = shared.value
+        trie, hasher, lower, member = trie_of(), Hasher(), lower_bytes(), word_member()
         value = np.log10(n + 0.5) - denominator
-        names = [*extra, "row", "n_tokens", "known", "base", "score", "word", "times"]
+        names = [*extra, "row", "n_tokens", "known", "base", "score", "word", "code", "times"]
         for b in batches:
             for lo, hi, data, offsets in chunks(b.column(width + 1)):
                 texts = hi - lo
-                score = np.add.reduceat(trie.probabilities(codes(data, offsets)), offsets[:-1] + np.arange(texts))
+                symbols, begin = codes(data, offsets), offsets[:-1] + np.arange(texts)
+                value_of, unsure = trie.probabilities(symbols)
+                score = np.add.reduceat(value_of, begin)
                 words, owner = word_counts(data, offsets, hasher, lower, member)
                 words, owner = np.append(words, np.zeros(texts, np.uint64)), np.append(owner, np.arange(texts))
                 at, common = Trie.find(keys, words)
@@ -244,33 +329,35 @@ def lm_scores(documents: DataFrame, training: DataFrame, extra: list[str]) -> Da
                 tokens = np.bincount(owner, minlength=texts)
                 none = pa.nulls(texts, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [*(c.slice(lo, texts) for c in b.columns[: width + 1]), pa.array(tokens), pa.array(known), pa.array(base), pa.array(score), none, none], names)
-                # Each rare word of a text once, with its number.
-                w, o = words[~common], owner[~common]
-                if len(w):
-                    order = np.lexsort((w, o))
-                    w, o = w[order], o[order]
-                    first = np.ones(len(w), bool)
-                    first[1:] = (w[1:] != w[:-1]) | (o[1:] != o[:-1])
-                    begin = np.flatnonzero(first)
-                    times = np.diff(np.append(begin, len(w)))
-                    m = len(begin)
-                    yield pa.RecordBatch.from_arrays(
-                        [*(pa.nulls(m, c.type) for c in b.columns[:width]), b.column(width).take(pa.array(lo + o[begin])),
-                         *(pa.nulls(m, t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())),
-                         pa.array(w[begin].view(np.int64)), pa.array(times)], names)
+                    [*(c.slice(lo, texts) for c in b.columns[: width + 1]), pa.array(tokens), pa.array(known), pa.array(base), pa.array(score), none, none, none], names)
+                at = np.flatnonzero(unsure)
+                for k, (key, owner) in enumerate(((words[~common], owner[~common]), (symbols[at], np.searchsorted(begin, at, "right") - 1))):
+                    key, owner, times = times_in_text(key, owner)
+                    for i in range(0, len(key), 50_000):
+                        o = owner[i : i + 50_000]
+                        none = pa.nulls(len(o), pa.int64())
+                        pair = [pa.array(key[i : i + 50_000]), none]
+                        yield pa.RecordBatch.from_arrays(
+                            [*(pa.nulls(len(o), c.type) for c in b.columns[:width]), b.column(width).take(pa.array(lo + o)),
+                             none, none, *[pa.nulls(len(o), pa.float64())] * 2, *(pair[::-1] if k else pair), pa.array(times[i : i + 50_000])], names)
 
     rows = documents.select(*extra, F.monotonically_increasing_id().alias("row"), "text").mapInArrow(
-        run, f"{schema}, row long, n_tokens long, known long, base double, score double, word long, times long")
-    rows = stage(rows, "lm-rows")  # rows and their rare words are written together: the numbers agree
+        run, f"{schema}, row long, n_tokens long, known long, base double, score double, word long, code long, times long")
+    rows = stage(rows, "lm-rows")  # rows, their rare words and codes are written together: the numbers agree
     rare = rows.filter("word is not null").select("row", "word", "times")
     counted = rare.join(vocabulary.filter(F.col("n") < enough), F.col("word") == F.col("key"), "left").groupBy("row").agg(
         F.sum(F.col("times") * (F.log10(F.coalesce("n", F.lit(0)) + 0.5) - denominator)).alias("more"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more_known"))
+    sums = ["total", "distinct", "covered"]
+    rest = nodes.filter(~of_nodes).select((2 * F.col("order")).alias("slot"), "key", *(F.lit(0).cast("long").alias(c) for c in sums), "n").unionByName(
+        contexts.filter(~of_contexts).select((2 * F.col("order") + 1).alias("slot"), "key", *sums, F.lit(0).cast("long").alias("n")))
+    asked = rows.filter("code is not null").select("row", "code", "times")
+    coded = asked.join(settle(asked.select("code").distinct(), rest, trie_of), "code").groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("coded"))
     zero = F.lit(0)
-    return rows.filter("word is null").join(counted, "row", "left").select(
+    return rows.filter("word is null and code is null").join(counted, "row", "left").join(coded, "row", "left").select(
         *extra, "n_tokens", (F.col("known") + F.coalesce("more_known", zero)).alias("n_known"), F.lit(n_all).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", zero)).alias("base_score"), "score")
+        (F.col("base") + F.coalesce("more", zero)).alias("base_score"),
+        (F.col("score") + F.coalesce("coded", zero)).alias("score"))
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -274,3 +274,15 @@ def test_a_small_trie_still_codes_everything(spark, monkeypatch):
     monkeypatch.setattr(lm, "MAX_NODES", 300)
     found = lm.op10_lm_scoring(spark, SF).collect()
     assert len(found) == 200 and all(-1e6 < r.score < 0 for r in found)
+
+
+@pytest.mark.parametrize("most", [300, 20_000])
+def test_nodes_that_are_not_at_hand_count_as_well(spark, monkeypatch, most):
+    monkeypatch.setattr(lm, "MAX_NODES", most)
+    rows = sorted((r.doc_id, r.text) for r in load(spark, SF, "documents").select("doc_id", "text").collect())
+    found = sorted(lm.op10_lm_scoring(spark, SF).collect())
+    compare(found[:40], [t for i, t in rows if not held(i, 5, 1)], [t for _, t in rows[:40]])
+    odd = [r for r in ODD if r[0] != 4]
+    documents = spark.createDataFrame(odd, odd_documents(spark).schema).withColumn("n", F.monotonically_increasing_id())
+    training = documents.filter("lang = 'en'")
+    compare(sorted(lm.lm_scores(documents, training, ["n"]).collect()), [r[1] for r in odd if r[2] == "en"], [r[1] for r in odd])
