@@ -40,26 +40,44 @@ SPELLED = {w: str(i) for i, words in enumerate((
 )) for w in words.split()}
 AT, DOT = "at|arroba|ät|chez", "dot|punkt|punto|point"
 INVISIBLE = "­​‌‍⁠﻿"
+#: Decimal digits of other scripts (each script has ten in a row).
+OTHER_DIGITS = "".join(f"{chr(c)}-{chr(c + 9)}" for c in range(0x80, 0x20000) if unicodedata.decimal(chr(c), None) == 0)
+#: Words that stand before ``at`` and a host in prose (fixed values).
+PROSE = frozenset(
+    "a about above account all also am an and any anything are arrive arrived as available based be been bought browse buy by check click "
+    "contact content deal details directly docs document documentation down download email error events everything files find first for "
+    "found free from get go good has have hello help her here him homepage hosted i images in info information is it items join latest "
+    "line list listed live log login look looked looking looks mail maintained me meet met more much my new news not now of off offer "
+    "offered on one online only or order orders our out over page pages posted prices products program project published purchase "
+    "purchased read register registered released reviews sale see shop shopping sign site sold something source start started stay store "
+    "stuff support team that the their them there these they things this those through ticket tickets to today together up us version "
+    "visit was watch we web website were what work worked working works write written you your yourself".split())
 _digit = "|".join(sorted(SPELLED, key=len, reverse=True))
 
+#: A host with plain dots: no time of day, no path behind it, and an ending that is not written like the start of a sentence.
+HOST = r"(?![0-9]+\.[ap]m\b)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.(?-i:[a-z]{2,}|[A-Z]{2,})(?![\w-]|/\w)"
+#: What becomes one space between spelled digits.
+BETWEEN = re.compile(r"[\s.,:;()\-\u2010-\u2015/_]+")
+
 #: One alternative per rewriting rule; the name says which.
 RULES = re.compile(
     rf"(?P<at>\s*[\[({{<]\s*(?:{AT}|@)\s*[\])}}>]\s*)"
     rf"|(?P<dot>\s*[\[({{<]\s*(?:{DOT}|\.)\s*[\])}}>]\s*)"
-    rf"|(?P<wordat>(?<=\w)\s+(?:{AT})\s+(?=[A-Za-z0-9-]+(?:\s+(?:{DOT})\s+|\s*[\[({{<]\s*(?:{DOT}|\.)\s*[\])}}>]\s*)[A-Za-z]))"
+    rf"|(?P<wordat>(?<=\w)\s+(?:{AT})\s+(?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?:\s+(?:{DOT})\s+|\s*[\[({{<]\s*(?:{DOT}|\.)\s*[\])}}>]\s*)[A-Za-z]))"
+    rf"|(?P<hostat>(?<=\w)\s+(?:{AT})\s+(?={HOST}))"
     rf"|(?P<worddot>(?<=\w)\s+(?:{DOT})\s+(?=\w))"
-    rf"|(?P<plus>\bplus\s+(?=(?:{_digit})\b|[0-9]))"
-    rf"|(?P<spelled>\b(?:{_digit})\b)"
+    rf"|(?P<plus>\bplus[\s.,:;-]+(?=(?:{_digit})\b|[0-9]))"
+    rf"|(?P<spelled>(?<![^\W_])(?:{_digit})(?![^\W_]))"
     rf"|(?P<gone>[{INVISIBLE}])"
-    rf"|(?P<glyph>[{''.join(HOMOGLYPHS)}！-～\U0001d400-\U0001d7ff٠-٩①-⑨])",
+    rf"|(?P<glyph>[{''.join(HOMOGLYPHS)}！-～\U0001d400-\U0001d7ff{OTHER_DIGITS}①-⑨])",
     re.IGNORECASE)
 BRACKETED = re.compile(rf"[\[({{<]\s*(?:{AT}|{DOT}|@|\.)\s*[\])}}>]", re.IGNORECASE)
 DOT_WORD = re.compile(rf"\b(?:{DOT})\b", re.IGNORECASE)
 DOT_WORDS = tuple(DOT.split("|"))
-ODD = re.compile(rf"[{INVISIBLE}{''.join(HOMOGLYPHS)}！-～\U0001d400-\U0001d7ff٠-٩①-⑨]")
-WORD = re.compile(r"\S+")
+ODD = re.compile(rf"[{INVISIBLE}{''.join(HOMOGLYPHS)}！-～\U0001d400-\U0001d7ff{OTHER_DIGITS}①-⑨]")
+AT_HOST = re.compile(rf"(?:{AT})\s+(?:{HOST})", re.IGNORECASE)
+WORD = re.compile(r"[^\W_]+")
 SPACED = re.compile(r"\s")
-AROUND = ".,;:()-+"
 #: Spelled digits are rewritten where at least so many follow each other (figures may stand between them).
 SPELLED_RUN = 3
 
@@ -111,15 +129,14 @@ def detect(text: str) -> list[tuple[int, int, int]]:
 
 
 def spelled_words(text: str) -> set[int]:
-    """Starts of spelled digits in runs of SPELLED_RUN or more."""
-    words = text.lower().split()
-    if sum(map(SPELLED.__contains__, words)) < SPELLED_RUN - 1:
+    """Starts of spelled digits in runs of SPELLED_RUN or more, whatever punctuation stands between them."""
+    if sum(map(SPELLED.__contains__, WORD.findall(text.lower()))) < SPELLED_RUN:
         return set()
     found, run = set(), []
     for m in WORD.finditer(text):
-        word = m.group().strip(AROUND).lower()
+        word = m.group().lower()
         if word in SPELLED:
-            run.append(m.start() + m.group().lower().index(word))
+            run.append(m.start())
         elif not word[:1].isdigit():
             if len(run) >= SPELLED_RUN:
                 found.update(run)
@@ -128,13 +145,21 @@ def spelled_words(text: str) -> set[int]:
 
 
 def disguised(text: str) -> bool:
-    """Whether the transducer can change a detection: brackets or words for at/dot, or an odd character."""
+    """Whether the transducer can change a detection: brackets or words for at/dot, a host behind an at, or an odd character."""
     if not text.isascii() and ODD.search(text):
         return True
     if any(c in text for c in "[({<") and BRACKETED.search(text):
         return True
     low = text.lower()
-    return any(w in low for w in DOT_WORDS) and DOT_WORD.search(low) is not None
+    return any(w in low for w in DOT_WORDS) and DOT_WORD.search(low) is not None or AT_HOST.search(text) is not None
+
+
+def in_prose(text: str, lo: int) -> bool:
+    """Whether the word that ends at ``lo`` is one that stands before ``at`` in prose."""
+    begin = lo
+    while begin > 0 and text[begin - 1] in LOCAL:
+        begin -= 1
+    return text[begin:lo].lower() in PROSE
 
 
 def plain(text: str, spelled: set[int]) -> tuple[str, list[int], list[int]]:
@@ -148,14 +173,22 @@ def plain(text: str, spelled: set[int]) -> tuple[str, list[int], list[int]]:
         starts.extend(range(lo, hi))
         ends.extend(range(lo + 1, hi + 1))
 
-    done = 0
+    done, after_digit = 0, -1
     for m in RULES.finditer(text):
         lo, hi, rule = m.start(), m.end(), m.lastgroup
-        copy(done, lo)
+        if done == after_digit and lo in spelled and BETWEEN.fullmatch(text, done, lo):
+            out.append(" ")
+            starts.append(done)
+            ends.append(lo)
+        else:
+            copy(done, lo)
         done = hi
         if rule == "gone":
             continue
-        if rule in ("at", "wordat"):
+        if rule == "hostat" and text[lo:hi].strip().lower() in ("at", "chez") and in_prose(text, lo):
+            copy(lo, hi)
+            continue
+        if rule in ("at", "wordat", "hostat"):
             new = "@"
         elif rule in ("dot", "worddot"):
             new = "."
@@ -166,8 +199,10 @@ def plain(text: str, spelled: set[int]) -> tuple[str, list[int], list[int]]:
             if new == m.group():
                 copy(lo, hi)
                 continue
+            after_digit = hi
         else:
-            new = HOMOGLYPHS.get(m.group()) or unicodedata.normalize("NFKC", m.group())
+            decimal = unicodedata.decimal(m.group(), None)
+            new = HOMOGLYPHS.get(m.group()) or (unicodedata.normalize("NFKC", m.group()) if decimal is None else str(decimal))
         out.append(new)
         starts.extend([lo] * len(new))
         ends.extend([hi] * len(new))

@@ -191,6 +191,20 @@ def test_disguises(text, want):
     assert pii.redact(text) == want
 
 
+@pytest.mark.parametrize("text,want", [
+    ("call plus four. nine. one. five. one. two. three. four. five. six. now", "call [PHONE]. now"),
+    ("call plus four-nine-one-five-one-two-three-four-five-six", "call [PHONE]"),
+    ("plus four, nine, one, five, one, two, three, four, five, six.", "[PHONE]."),
+    ("card " + "-".join(["four", *["one"] * 15]), "card [CARD]"), ("card " + ". ".join(["four", *["one"] * 15]), "card [CARD]"),
+    ("write to john at example.com today", "write to [EMAIL] today"), ("jane at mail.example dot com", "[EMAIL]"),
+    ("juan arroba correo.example.es", "[EMAIL]"), ("j.doe AT EXAMPLE.COM.", "[EMAIL]."), ("wang at 163.com", "[EMAIL]"),
+    ("visit us at example.com or look at example.org/page", "visit us at example.com or look at example.org/page"),
+    ("they stayed at home.Then at 5.pm all left", "they stayed at home.Then at 5.pm all left"),
+    ("+٤٩ ٣٠ ١٢٣٤٥٦٧٨", "[PHONE]"), ("١٩٢.١٦٨.٠.١", "[IP]"), ("+۴۹ ۳۰ ۱۲۳۴۵۶۷۸", "[PHONE]"), ("one, two, three. Go", "one, two, three. Go")])
+def test_disguises_of_each_kind(text, want):
+    assert pii.redact(text) == want
+
+
 def test_personal_data_odd_rows(spark):
     documents = clashing(spark.createDataFrame([*ODD, (50, "x me@here.org y", "en", None, None)], odd_documents(spark).schema))
     found = pii.find_pii(documents).collect()
