@@ -5,18 +5,24 @@ from __future__ import annotations
 import html
 import itertools
 import re
+from bisect import bisect_left
+from collections import Counter
 
 #: Element groups of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-SKIPPED = frozenset("noscript template svg math object select button audio video canvas map datalist dialog".split())
+SKIPPED = frozenset("noscript template svg object select button audio video canvas map datalist dialog".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q s samp small span strike "
-    "strong sub sup time tt u var wbr picture source ruby rt rp input meta link base area param track embed".split())
+    "strong sub sup time tt u var wbr picture source ruby rt rp input meta link base area param track embed "
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder mover "
+    "munderover mmultiscripts mprescripts none mtable mtr mlabeledtr mtd maction semantics annotation annotation-xml".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 TAGS = ("html body main article section div header footer nav aside form p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tbody thead tr td th "
         "blockquote pre figure figcaption address fieldset details summary center").split()
 TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre figure figcaption tr td th tbody thead address summary".split())
+#: Elements whose start ends a skipped element that is never closed.
+BLOCKS = frozenset(TAGS)
 #: What a start tag closes if it is open, and the elements at which the search for it ends.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -74,10 +80,13 @@ class Tree:
 
 
 def parse(page: str) -> Tree:
+    """The page's tree.  Elements of SKIPPED are left out; one that is never closed ends at the first block after it, at
+    the latest where an open element around it ends."""
     tree, stack = Tree(), [0]
     pending: list[tuple[str, bool]] = []
-    link, skip, at, n = False, 0, 0, len(page)
-    skip_tag = ""
+    link, at, n = False, 0, len(page)
+    inline: Counter[str] = Counter()  # open elements of INLINE
+    ends: dict[int, int] = {}  # of skipped elements that are never closed, by where their start tag ends
 
     def flush() -> None:
         if pending:
@@ -86,10 +95,53 @@ def parse(page: str) -> Tree:
                 tree.blocks.append((stack[-1], text, sum(len(t.strip()) for t, of_link in pending if of_link)))
             pending.clear()
 
+    def after(begin: int, outer: str) -> int:
+        """Where the page goes on after a skipped element whose start tag ends at ``begin``."""
+        if begin in ends:
+            return ends[begin]
+        inner, blocks, at, border = [(outer, begin)], [], begin, n
+
+        def unclosed(depth: int, border: int) -> None:
+            for tag, lo in inner[depth:]:
+                if tag in SKIPPED:
+                    k = bisect_left(blocks, lo)
+                    ends[lo] = blocks[k] if k < len(blocks) else border
+
+        around = Counter(tree.tag[i] for i in stack[1:]) + inline
+        within = Counter([outer])
+        while m := TOKEN.search(page, at):
+            at = m.end()
+            if m.group(2) is None:
+                continue
+            tag = m.group(2).lower()
+            if m.group(1):
+                if within[tag]:
+                    depth = next(d for d in range(len(inner) - 1, -1, -1) if inner[d][0] == tag)
+                    unclosed(depth + 1, m.start())
+                    within.subtract(t for t, _ in inner[depth:])
+                    del inner[depth:]
+                    if not inner:
+                        return at
+                elif around[tag]:
+                    border = m.start()
+                    break
+            elif m.group(3).endswith("/") or tag in VOID:
+                continue
+            elif tag in RAW:
+                close = re.compile(f"</{tag}(?=[\\s/>])[^>]*>?", re.IGNORECASE).search(page, at)
+                at = close.end() if close else n
+            else:
+                if tag in BLOCKS:
+                    blocks.append(m.start())
+                inner.append((tag, at))
+                within[tag] += 1
+        unclosed(0, border)
+        return ends[begin]
+
     while at < n:
         m = TOKEN.search(page, at)
         start = m.start() if m else n
-        if start > at and not skip:
+        if start > at:
             pending.append((page[at:start], link))
         if not m:
             break
@@ -98,23 +150,23 @@ def parse(page: str) -> Tree:
         if tag is None:
             continue
         tag, ending = tag.lower(), bool(m.group(1))
-        if skip:  # inside an element without main text: only its own nesting matters
-            if tag == skip_tag:
-                skip += -1 if ending else 1
-            continue
         if tag in RAW and not ending:
             close = re.compile(f"</{tag}(?=[\\s/>])[^>]*>?", re.IGNORECASE).search(page, at)
             at = close.end() if close else n
             continue
         if tag in SKIPPED:
             if not ending and not m.group(3).endswith("/"):
-                skip, skip_tag = 1, tag
+                at = after(at, tag)
             continue
         if tag in INLINE:
             if tag == "a":
                 link = not ending
             elif tag == "br":
                 pending.append((" ", link))
+            if ending:
+                inline[tag] = max(0, inline[tag] - 1)
+            elif tag not in VOID and not m.group(3).endswith("/"):
+                inline[tag] += 1
             continue
         if tag in VOID:
             flush()

@@ -114,6 +114,26 @@ def test_pages_by_hand(potentials, page, want):
     assert html_text.main_text(page, *potentials) == want
 
 
+ONE, TWO = "The first paragraph of the article, which is long enough.", "The second paragraph of the article, also long enough."
+
+
+@pytest.mark.parametrize("page,want", [
+    *((f"<article><p>{ONE}</p><div><{tag} src=x></div><p>{TWO}</p></article>", f"{ONE}\n{TWO}")
+      for tag in ("video", "audio", "object", "select", "button", "canvas", "map", "svg", "noscript", "template", "datalist", "dialog")),
+    (f"<article><p>{ONE}</p><video src=x><p>{TWO}</p></article>", f"{ONE}\n{TWO}"),
+    (f"<article><p>{ONE}</p><svg><svg/><path d=x></svg><p>{TWO}</p></article>", f"{ONE}\n{TWO}"),
+    (f"<article><p>{ONE}</p><svg><svg><text>no</text></svg>no</svg><object><div><p>no</p></div>no</object><p>{TWO}</p></article>", f"{ONE}\n{TWO}"),
+    (f"<article><p>{ONE} <b><svg><path d=x></b> And more of it.</p><select><option>no<option>no</select><p>{TWO}</p></article>", f"{ONE} And more of it.\n{TWO}"),
+    (f"<article><p>{ONE} Here <math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></math> holds.</p></article>", f"{ONE} Here E=mc2 holds.")])
+def test_pages_with_skipped_elements(potentials, page, want):
+    assert html_text.main_text(page, *potentials) == want
+
+
+def test_many_unclosed_elements_take_linear_time():
+    tree = html_pages.parse("<div>" + "<video src=x>" * 20_000 + "<p>text</p>" + "<div><svg>" * 3000 + "</div>" * 3000 + "<p>end")
+    assert [text for _, text, _ in tree.blocks] == ["text", "end"]
+
+
 def test_pages_odd_rows(spark):
     big = "<article>" + "".join(f"<p>Paragraph number {i} of a very long article, with words.</p>" for i in range(5000)) + "</article>"
     deep = "<div>" * 3000 + "x"
