@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import datetime as dt
 import os
 import sys
 
@@ -11,8 +10,6 @@ sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
 from snapcat.session import build_session  # noqa: E402
 
-SF_DIR = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -29,17 +26,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def day(text: str) -> dt.date:
-    return dt.date.fromisoformat(text)
-
-
-def stamp(text: str) -> dt.datetime:
-    return dt.datetime.fromisoformat(text)
-
-
-def records(df, *order):
-    """Rows as dicts, ordered."""
-    out = [row.asDict() for row in df.collect()]
-    return sorted(out, key=lambda r: tuple(str(r[c]) for c in order)) if order else out

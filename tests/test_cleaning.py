@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from conftest import day, records, stamp
+from support import day, records, stamp
 from pyspark.sql import functions as F
 
 from snapcat.functions import cleaning as C

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 from compare import connect, differences
-from conftest import SF_DIR
+from support import SF_DIR
 
 import __spark_entry__ as driver
 from oracle_statements import STATEMENTS

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import SF_DIR
+from support import SF_DIR
 
 import __spark_entry__ as driver
 from snapcat.registry import registered

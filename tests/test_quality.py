@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import day, records
+from support import day, records
 
 from snapcat.operators import quality as Q
 

@@ -8,7 +8,7 @@ import statistics
 from collections import defaultdict
 
 import pytest
-from conftest import day, records
+from support import day, records
 from pyspark.sql import functions as F
 
 from snapcat.operators import aggregates as A

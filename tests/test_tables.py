@@ -3,7 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
-from conftest import day, records
+from support import day, records
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
