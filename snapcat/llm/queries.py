@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from snapcat.llm import decontaminate, embedding_dedup, html_text, jaccard, langid, lm, packing, pii, quality, token_files
+from snapcat.llm import (
+    collocations, decontaminate, embedding_dedup, html_text, jaccard, langid, line_dedup, lm, packing, pii, prefix_trie, quality, token_files)
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -16,6 +17,9 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_pii": pii.op9_pii,
     "op10_lm_scoring": lm.op10_lm_scoring,
+    "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+    "op12_collocations": collocations.op12_collocations,
+    "op13_line_dedup": line_dedup.op13_line_dedup,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -23,4 +27,7 @@ QUERIES = {
 SQL = {
     "op2_embedding_dedup": embedding_dedup.OP2_SQL,
     "op7_decontaminate": decontaminate.OP7_SQL,
+    "op11_prefix_trie": prefix_trie.OP11_SQL,
+    "op12_collocations": collocations.OP12_SQL,
+    "op13_line_dedup": line_dedup.OP13_SQL,
 }

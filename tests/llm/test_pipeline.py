@@ -48,7 +48,7 @@ def test_registered():
     import __spark_entry__ as driver
 
     assert set(QUERIES) <= set(driver.queries()) and set(SQL) <= set(driver.oracle_sql())
-    assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *(f"op{i}" for i in range(1, 11))}
+    assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *(f"op{i}" for i in range(1, 14))}
 
 
 def test_workers_need_no_package(tmp_path):
