@@ -50,30 +50,46 @@ def _key(name: str):
     return metrics.surrogate_key(F.col(f"{name}_id")).alias(f"{name}_key")
 
 
-def dim_artist(silver: DataFrame) -> DataFrame:
-    return _stamped(
-        scd1_latest(silver, ["artist_id"]),
-        _key("artist"), "artist_id", "artist_name", "genres", "external_uri", "image_url",
-    )
+def artist_attributes(rows: DataFrame) -> DataFrame:
+    """Dimension columns of Silver rows, one per artist."""
+    return _stamped(rows, _key("artist"), "artist_id", "artist_name", "genres", "external_uri", "image_url", *_carried(rows))
 
 
-def dim_album(silver: DataFrame) -> DataFrame:
+def album_attributes(rows: DataFrame) -> DataFrame:
     return _stamped(
-        scd1_latest(silver, ["album_id"]),
+        rows,
         _key("album"), "album_id", _key("artist"), "artist_id", "album_name", "album_type", "release_date",
         "release_year", "release_month", "release_decade", "release_date_precision", "total_tracks",
-        "external_uri", "image_url",
+        "external_uri", "image_url", *_carried(rows),
     )
 
 
-def dim_track(silver: DataFrame) -> DataFrame:
+def track_attributes(rows: DataFrame) -> DataFrame:
     return _stamped(
-        scd1_latest(silver, ["track_id"]),
+        rows,
         _key("track"), "track_id", _key("album"), "album_id", _key("artist"), "artist_id", "track_name",
         "duration_ms", "duration_min", "duration_sec", "explicit", "track_number", "disc_number", "external_uri",
+        *_carried(rows),
     )
 
 
+def _carried(rows: DataFrame) -> list[str]:
+    """The origin of a row, where a kept-up dimension asks for it."""
+    return [c for c in ("seen_at",) if c in rows.columns]
+
+
+def dim_artist(silver: DataFrame) -> DataFrame:
+    return artist_attributes(scd1_latest(silver, ["artist_id"]))
+
+
+def dim_album(silver: DataFrame) -> DataFrame:
+    return album_attributes(scd1_latest(silver, ["album_id"]))
+
+
+def dim_track(silver: DataFrame) -> DataFrame:
+    return track_attributes(scd1_latest(silver, ["track_id"]))
+
+
 def snapshot_base(
     artists: DataFrame,
     albums: DataFrame,
