@@ -386,6 +386,12 @@ def merged(table: str, key: str, columns: str, base: str, change: str, delta_win
         AND {key} NOT IN (SELECT {key} FROM {table} WHERE snapshot_date = {day(winner)})"""
 
 
+def _with_base(table: str, key: str, columns: str, base: str, change: str, delta_wins: bool) -> str:
+    """The merged snapshot beside the one that it was merged into."""
+    return f"""{merged(table, key, columns, base, change, delta_wins)}
+      UNION ALL SELECT {columns}, snapshot_date FROM {table} WHERE snapshot_date = {day(base)}"""
+
+
 def distribution(metric: str, column: str) -> str:
     return f"""SELECT snapshot_date, '{metric}' AS metric, CAST(min({column}) AS DOUBLE) AS min_value,
       CAST(max({column}) AS DOUBLE) AS max_value, CAST(median({column}) AS DOUBLE) AS median_value,
@@ -424,7 +430,7 @@ _NAMES = ", ".join(f"'{n}'" for n in SOME_ARTISTS)
 _EXPLORE = f"""track_name, artist_name, album_name, album_type, CAST(release_date AS VARCHAR) AS release_date, duration_ms,
   {rnd('CAST(duration_ms AS DOUBLE) / 60000.0::DOUBLE', 2)} AS duration_min, explicit, disc_number, track_number,
   '{LINK}track/' || track_id AS track_url"""
-_EXPLORE_ORDER = "ORDER BY named_tracks.release_date DESC NULLS LAST, track_number ASC NULLS LAST, track_url LIMIT 500"
+_EXPLORE_ORDER = "ORDER BY named_tracks.release_date DESC NULLS LAST, track_number ASC NULLS LAST, track_url"
 _TRENDS = """SELECT b.release_year, b.album_type, b.snapshot_date, count(*) AS total_releases,
     CAST(coalesce(sum(n), 0) AS BIGINT) AS total_tracks, sum(ms) AS ms, sum(timed) AS timed, sum(e) AS e
   FROM sb b LEFT JOIN (SELECT album_id, snapshot_date, count(*) AS n, sum(duration_ms) AS ms,
@@ -519,7 +525,7 @@ _FINAL: dict[str, str] = {
         WHERE coalesce(TRY_CAST(CASE length(t) WHEN 4 THEN t || '-01-01' WHEN 7 THEN t || '-01' ELSE t END AS DATE)
           >= DATE '1999-01-01', true)""",
     "explore_tracks": f"""SELECT {_EXPLORE} FROM named_tracks WHERE artist_name IN ({_NAMES})
-        AND album_type IN ('album', 'single') {_EXPLORE_ORDER}""",
+        AND album_type IN ('album', 'single') {_EXPLORE_ORDER} LIMIT 500""",
     "explore_all_tracks": f"SELECT {_EXPLORE} FROM named_tracks {_EXPLORE_ORDER}",
     "range_filters": """SELECT track_id, snapshot_date, duration_ms, track_number FROM st
         WHERE duration_ms > 0 AND duration_ms < 1200000 AND track_number BETWEEN 2 AND 5""",
@@ -835,6 +841,53 @@ _FINAL: dict[str, str] = {
     "incremental_landing_tracks": """SELECT track_id, track_name, duration_ms, explicit, track_number, disc_number, album_id,
         artist_id, external_uri, extracted_at, snapshot_date, 'catalog-api' AS source FROM clean_tracks""",
     "landing_after_batch": f"SELECT {_BRONZE_ALBUMS} FROM raw_albums",
+    # published layers, kept-up dimensions
+    "dim_artist_increment": "SELECT * FROM da",
+    "dim_album_increment": "SELECT * FROM db",
+    "dim_track_increment": "SELECT * FROM dt",
+    "dim_album_rerun": f"""SELECT md5(album_id) AS album_key, album_id, md5(artist_id) AS artist_key, artist_id, album_name, album_type,
+        release_date, release_year, release_month, release_decade, release_date_precision, total_tracks, external_uri, image_url
+        FROM sb WHERE snapshot_date <> {day(LAST)} OR album_type <> 'single'
+        QUALIFY row_number() OVER (PARTITION BY album_id ORDER BY snapshot_date DESC) = 1""",
+    "fact_published": "SELECT artist_id, snapshot_date, total_tracks, catalog_growth_pct, catalog_momentum_index FROM fact",
+    "published_parts": """SELECT 'artists' AS table_name, snapshot_date, count(*) AS row_count FROM sa GROUP BY ALL
+        UNION ALL SELECT 'albums', snapshot_date, count(*) FROM sb GROUP BY ALL UNION ALL SELECT 'tracks', snapshot_date, count(*) FROM st GROUP BY ALL
+        UNION ALL SELECT 'dim_artist', NULL, count(*) FROM da UNION ALL SELECT 'dim_album', NULL, count(*) FROM db
+        UNION ALL SELECT 'dim_track', NULL, count(*) FROM dt
+        UNION ALL SELECT 'fact_artist_snapshot', snapshot_date, count(*) FROM fact GROUP BY ALL""",
+    "published_versions": f"""SELECT CAST(v AS INTEGER) AS version, snapshot_date, count(*) AS row_count FROM fact JOIN (VALUES
+        (1, {day(FIRST)}), (2, {day(THIRD)}), (3, {day(LAST)}), (4, {day(SECOND)}), (5, {day(FOURTH)})) a(n, s) ON snapshot_date = s
+        JOIN (SELECT unnest(range(1, 6)) AS v) ON v >= n GROUP BY ALL""",
+    "published_pending": f"""SELECT 'artists' AS table_name, snapshot_date, count(*) AS row_count FROM sa
+        WHERE snapshot_date IN ({day(SECOND)}, {day(FOURTH)}) GROUP BY ALL
+        UNION ALL SELECT 'tracks', snapshot_date, count(*) FROM st WHERE snapshot_date IN ({day(SECOND)}, {day(FOURTH)}) GROUP BY ALL""",
+    "silver_published_run": _GATED,
+    # damaged and repeated landings
+    "corrupt_array_split": " UNION ALL ".join(f"""SELECT '{entity}' AS entity, snapshot_date, CASE WHEN k % 29 = 0 THEN 'bad' ELSE 'good' END AS kind,
+        count(*) AS n, count(*) AS stamped, count(DISTINCT external_uri) AS links
+        FROM (SELECT *, CAST(regexp_extract(external_uri, ':([0-9]+)', 1) AS BIGINT) AS k FROM raw_{entity}) GROUP BY ALL"""
+        for entity in ("artists", "albums", "tracks")),
+    # intervals: the copied tables
+    "interval_scan_artists": _with_base("sa", "artist_id", "artist_id, artist_name, extracted_at", THIRD, FOURTH, True),
+    "interval_scan_albums": _with_base("sb", "album_id", "album_id, album_name, extracted_at", SECOND, LAST, False),
+    "interval_scan_tracks": _with_base("st", "track_id", "track_id, track_name, duration_ms, extracted_at", SECOND, LAST, False),
+    # ranks, bitmaps, fingerprints, sizes
+    "rank_any_key": """SELECT track_id, snapshot_date, duration_ms, track_number,
+        dense_rank() OVER (ORDER BY duration_ms DESC NULLS LAST, track_number DESC NULLS LAST) AS length_rank FROM st""",
+    "rank_any_key_per_snapshot": """SELECT track_id, snapshot_date, duration_ms,
+        dense_rank() OVER (PARTITION BY snapshot_date ORDER BY duration_ms DESC NULLS LAST) AS length_rank FROM st""",
+    "presence_gaps": """SELECT a.artist_id, first_seen, last_seen, times_seen, coalesce(string_agg(CAST(s AS VARCHAR), ',' ORDER BY s), '') AS missing_in
+        FROM (SELECT artist_id, min(snapshot_date) AS first_seen, max(snapshot_date) AS last_seen, count(DISTINCT snapshot_date) AS times_seen
+              FROM sa GROUP BY artist_id) a
+        LEFT JOIN (SELECT DISTINCT snapshot_date AS s FROM sa) d
+          ON s > first_seen AND (a.artist_id, s) NOT IN (SELECT (artist_id, snapshot_date) FROM sa) GROUP BY ALL""",
+    "parquet_footprint": " UNION ALL ".join(f"SELECT '{e}' AS entity, '{layer}' AS layer, count(*) AS row_count, true AS has_files FROM {t}"
+        for e, layer, t in (("artists", "silver", "sa"), ("albums", "silver", "sb"), ("tracks", "silver", "st"),
+                            ("artists", "gold", "da"), ("albums", "gold", "db"), ("tracks", "gold", "dt"))),
+}
+_FINAL |= {
+    "differing_rows": _FINAL["row_differences"],
+    **{f"landing_with_repeats_{e}": _FINAL[f"incremental_landing_{e}"] for e in ("artists", "albums", "tracks")},
 }
 
 STATEMENTS = {name: f"{BASE}\n{final}" for name, final in _FINAL.items()}

@@ -30,41 +30,30 @@ def clean_count(value: Column) -> Column:
     return nullify_sentinels(value, COUNT_SENTINELS).try_cast("int")
 
 
-def _digits(text: Column, pattern: str) -> Column:
-    """First group of ``pattern`` as a number, NULL without a match."""
-    return F.regexp_extract(text, pattern, 1).try_cast("int")
-
-
 def release_year(text: Column) -> Column:
-    """Year read from the text itself, so it survives an unreadable day."""
-    return _digits(text, r"^([0-9]{4})")
+    """Year read from the first four characters, so it survives an unreadable day."""
+    return F.when(F.length(text) >= 4, F.substring(text, 1, 4).try_cast("int"))
 
 
 def known_month(text: Column) -> Column:
-    """Month that the text states, NULL for a year alone."""
-    return _digits(text, r"^[0-9]{4}-([0-9]{2})")
+    """Month that the text states in characters six and seven (whatever separates them), NULL for a year alone."""
+    return F.when(F.length(text) >= 7, F.substring(text, 6, 2).try_cast("int"))
 
 
 def release_month(text: Column, only_known: bool = False) -> Column:
-    """Month read from the text; year-only text counts as January by default.
+    """Month read from the text; text too short for one counts as January by default.
 
     ``only_known=True`` keeps year-only releases out of month statistics.
     """
-    known = known_month(text)
-    return known if only_known else F.coalesce(known, F.when(release_year(text).isNotNull(), 1))
+    return known_month(text) if only_known else F.when(F.length(text).between(4, 6), 1).otherwise(known_month(text))
 
 
 def normalize_partial_date(text: Column) -> Column:
     """DATE from ``YYYY``, ``YYYY-MM`` or ``YYYY-MM-DD``; NULL if unreadable.
 
-    Built from the parts: the first day of the month, and the day counted from it
-    if the month has that many.
+    The cast itself reads all three and gives the first day of a year or month.
     """
-    month = release_month(text)
-    day = F.coalesce(_digits(text, r"^[0-9]{4}-[0-9]{2}-([0-9]{2})$"), F.lit(1))
-    whole = text.rlike(r"^[0-9]{4}(-[0-9]{2}){0,2}$") & month.between(1, 12)
-    first = F.when(whole, F.make_date(release_year(text), month, F.lit(1)))
-    return F.when(day.between(1, F.dayofmonth(F.last_day(first))), F.date_add(first, day - 1))
+    return F.when(F.length(text).isin(4, 7, 10), text.try_cast("date"))
 
 
 def decade_label(year: Column) -> Column:

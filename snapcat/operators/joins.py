@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapcat.model import SNAPSHOT
@@ -171,6 +171,42 @@ def presence_matrix(
     return out.withColumn("missing_in", F.concat_ws(",", *gaps))
 
 
+def presence_bits(artists: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(artist_id, word, bits) and (snapshot_date, ordinal): which snapshots saw an artist, 64 to a word.
+
+    Snapshots are numbered by date as they are found; there may be any number.  A task sends at most one long for an
+    artist and word, so the sightings themselves are not shuffled.
+    """
+    days = artists.filter(F.col(SNAPSHOT).isNotNull()).select(SNAPSHOT).distinct()
+    # The calendar bounds the list of snapshots.
+    ordinals = days.withColumn("ordinal", F.row_number().over(Window.orderBy(SNAPSHOT)) - 1)
+    numbered = artists.select("artist_id", SNAPSHOT).join(F.broadcast(ordinals), SNAPSHOT)
+    bits = numbered.groupBy("artist_id", F.shiftright("ordinal", 6).alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, ordinal & 63))").alias("bits"))
+    return bits, ordinals
+
+
+def presence_gaps(artists: DataFrame) -> DataFrame:
+    """Per artist: first and last sighting, number of sightings, and the snapshots since the first that lack it."""
+    bits, ordinals = presence_bits(artists)
+    # One array of days for all; it meets each artist's words by a one-row join.
+    calendar = ordinals.agg(F.sort_array(F.collect_list(SNAPSHOT)).alias("days"))
+    words = bits.groupBy("artist_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("words"))
+
+    def seen(i: Column) -> Column:
+        word = F.coalesce(F.try_element_at("words", F.shiftright(i, 6)), F.lit(0).cast("long"))
+        return F.call_function("shiftright", word, i.bitwiseAND(63)).bitwiseAND(1) == 1
+
+    places = F.sequence(F.lit(0), F.size("days") - 1)
+    out = words.withColumn("days", calendar.scalar()).withColumns({
+        "here": F.filter(places, seen), "away": F.filter(places, lambda i: ~seen(i))})
+    day_of = lambda i: F.get("days", i)
+    return out.select(
+        "artist_id", day_of(F.get("here", 0)).alias("first_seen"), day_of(F.element_at("here", -1)).alias("last_seen"),
+        F.size("here").cast("long").alias("times_seen"),
+        F.array_join(F.transform(F.filter("away", lambda i: i > F.get("here", 0)), lambda i: day_of(i).cast("string")), ",").alias("missing_in"))
+
+
 def missing_later(artists: DataFrame, earlier: str, later: str) -> DataFrame:
     """Artists seen at ``earlier`` and absent at ``later``."""
     before = artists.filter(F.col(SNAPSHOT) == _day(earlier))

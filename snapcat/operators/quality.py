@@ -138,13 +138,12 @@ class RowRules(Rules):
 
     def counters(self) -> list[DataFrame]:
         found = {"total_rows": F.count(F.lit(1))} | {name: _count(cond) for name, cond in self._violations().items()}
-        if not self.keys:
-            return [self.df.groupBy(SNAPSHOT).agg(*(c.alias(name) for name, c in found.items()))]
-        # One scan: all counters per key first, so the rows of a hot key collapse before the shuffle.
-        per_key = self.df.groupBy(SNAPSHOT, *(k for k in self.keys if k != SNAPSHOT)).agg(
-            *(c.alias(name) for name, c in found.items())
-        )
-        return [per_key.groupBy(SNAPSHOT).agg(*(F.sum(name).alias(name) for name in found), F.count(F.lit(1)).alias("distinct_keys"))]
+        parts = [self.df.groupBy(SNAPSHOT).agg(*(c.alias(name) for name, c in found.items()))]
+        if self.keys:
+            # Counters stay on the map side; what is shuffled is the keys alone, each once per task.
+            keys = self.df.select(SNAPSHOT, *(k for k in self.keys if k != SNAPSHOT)).distinct()
+            parts.append(keys.groupBy(SNAPSHOT).agg(F.count(F.lit(1)).alias("distinct_keys")))
+        return parts
 
     def records(self) -> list[Column]:
         out = []

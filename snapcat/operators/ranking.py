@@ -12,6 +12,7 @@ Only step 3 sees one group per partition.  Its size is the number of distinct
 leading values.  Here those are integer counts or two-decimal scores: ``k``
 distinct counts need at least ``k * (k - 1) / 2`` underlying rows, so 10^12 rows
 give at most about 1.4 million values, and a score in [0, 100] gives 10,001.
+For any other leading key there is :func:`dense_rank_any`.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from snapcat.session import scratch_path
+
 
 def dense_rank_by(
     df: DataFrame,
@@ -69,6 +72,29 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], plai
     return left.join(renamed, condition).drop(*(f"__k{i}" for i in range(len(keys))))
 
 
+def dense_rank_any(df: DataFrame, order_by: Sequence[str], name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Like :func:`dense_rank_by` for keys with any number of distinct leading values; writes the distinct keys once.
+
+    The distinct keys are range-partitioned and sorted, so a key's place is its place in its partition plus the sizes
+    of the partitions before it: one number per partition is all that meets in one task.
+    """
+    parts = list(partition_by)
+    keys = df.select(*parts, *order_by).distinct()
+    order = [*(F.col(c).asc_nulls_last() for c in parts), *(F.col(c).desc_nulls_last() for c in order_by)]
+    path = scratch_path(df.sparkSession, "rank-keys")
+    # The id is the partition's number above 33 bits, the row's number in it below.
+    keys.orderBy(*order).withColumn("__at", F.monotonically_increasing_id()).write.parquet(path)
+    placed = df.sparkSession.read.parquet(path).withColumn("__run", F.shiftright("__at", 33))
+    before = Window.orderBy("__run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = placed.groupBy("__run").agg(F.count(F.lit(1)).alias("__n")).withColumn(
+        "__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    ranks = placed.join(runs, "__run").withColumn(name, F.col("__before") + F.col("__at").bitwiseAND((1 << 33) - 1) + 1).drop("__run", "__at", "__before")
+    if parts:
+        firsts = ranks.groupBy(*parts).agg((F.min(name) - 1).alias("__first"))
+        ranks = _null_safe_join(ranks, firsts, parts).withColumn(name, F.col(name) - F.col("__first")).drop("__first")
+    return _null_safe_join(df, ranks, [*parts, *order_by])
+
+
 def rank_per_snapshot(df: DataFrame, order_by: Sequence[str], name: str, snapshot: str = "snapshot_date") -> DataFrame:
     return dense_rank_by(df, order_by, name, [snapshot])
 

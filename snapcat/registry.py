@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapcat import registry_layers
 from snapcat.functions import cleaning as C
 from snapcat.functions import display, metrics
 from snapcat.model import ENTITIES, ENTITY_KEY, SNAPSHOT
@@ -60,7 +61,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn: Query) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: shown(fn(open_warehouse(spark, sf_dir)))
 
-    return {name: bind(fn) for name, fn in _registry.items()}
+    return {name: bind(fn) for name, fn in (_registry | registry_layers.QUERIES).items()}
 
 
 # --- Scans, sources, sinks ---------------------------------------------------
@@ -353,8 +354,8 @@ def explore_tracks(w):
 
 @query
 def explore_all_tracks(w):
-    """The report's first 500 rows; the function itself has no limit."""
-    return reads.explore_tracks(w.dim("track"), w.dim("album"), w.dim("artist"), LINK + "track/", limit=500)
+    """The whole catalogue."""
+    return reads.explore_tracks(w.dim("track"), w.dim("album"), w.dim("artist"), LINK + "track/")
 
 
 @query

@@ -67,6 +67,7 @@ def raw_artists(spark: SparkSession, sf_dir: str, snapshots: tuple[str, ...] = S
 
 def raw_albums(spark: SparkSession, sf_dir: str, snapshots: tuple[str, ...] = SNAPSHOTS) -> DataFrame:
     orders = _table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
+    orders = orders.repartition("o_orderkey")  # few splits, but each row is observed five times
     form = F.col("o_orderkey") % 20
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     # Everything but the snapshot is computed before the rows are multiplied.
@@ -104,7 +105,9 @@ def raw_tracks(spark: SparkSession, sf_dir: str, snapshots: tuple[str, ...] = SN
     ])
     orders = _table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     track_no = F.concat(_text("l_orderkey"), F.lit("-"), _text("l_linenumber"))
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("a", _artist_no("o_custkey"))
+    # Dealt by order, which the join uses, before rows are observed five times.
+    joined = lines.repartition("l_orderkey").join(orders.repartition("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey")).withColumn(
+        "a", _artist_no("o_custkey"))
     tracks = joined.select(
         _padded(F.concat(F.lit("o"), track_no), "l_orderkey").alias("track_id"),
         F.concat(F.lit("Part "), _text("l_partkey"), F.lit(" of "), _text("l_suppkey")).alias("track_name"),

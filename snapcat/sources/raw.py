@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,14 +61,59 @@ def corrupt_record_split(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
+def array_elements(
+    spark: SparkSession, root: str, entity: str, snapshot: str, field_aliases: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Every element of the JSON arrays of one raw entity and snapshot, judged alone.
+
+    Columns of the schema, ``file``, ``position`` (text pieces of the file, from 0), and the element's text in
+    ``CORRUPT`` if it is no object or a field does not fit its type.
+
+    A whole file that parses is taken as it is.  Otherwise its text is cut before every object that begins with a
+    declared field: in a string of valid JSON the quote of such a beginning would be escaped, so no good element is
+    cut; pieces are then parsed one by one, and what the damage touches is all that is lost.  A file is one row, as for
+    any reader of JSON arrays; land large snapshots as many files.
+    """
+    schema = raw_schema(entity)
+    names = {column: field for field, column in (field_aliases or {}).items()}
+    fields = [(f.name, names.get(f.name, f.name), f.dataType.simpleString()) for f in schema.fields]
+    start = "|".join(re.escape(field) for _, field, _ in fields)
+    files = spark.read.option("wholetext", True).text(landing_path(root, entity, snapshot)).select(
+        "value", F.col("_metadata.file_path").alias("file"))
+    inner = F.regexp_replace("value", r"^\s*\[|\]\s*$", "")
+    cut = F.split(inner, rf'\s*,\s*(?=\{{\s*"(?:{start})"\s*:)')
+    pieces = files.select("file", F.posexplode(F.when(F.try_parse_json("value").isNotNull(), F.array(inner)).otherwise(cut)).alias("position", "piece"))
+    # A piece may hold several elements (a whole file does), so it is parsed as an array.
+    pieces = pieces.filter(F.length(F.trim("piece")) > 0).withColumn(
+        "document", F.try_parse_json(F.concat(F.lit("["), "piece", F.lit("]"))))
+    found = pieces.lateralJoin(spark.tvf.variant_explode_outer(F.col("document").outer()))
+    value = F.col("value")
+    typed = {name: F.try_variant_get(value, f"$['{field}']", kind) for name, field, kind in fields}
+    unfit = F.lit(False)
+    for name, field, kind in fields:
+        if kind != "string":
+            unfit = unfit | (typed[name].isNull() & F.try_variant_get(value, f"$['{field}']", "string").isNotNull())
+    good = F.schema_of_variant(value).startswith("OBJECT") & ~unfit
+    text = F.coalesce(value.cast("string"), "piece")
+    return found.select(
+        *(F.when(good, column).alias(name) for name, column in typed.items()), "file",
+        (F.col("position") + F.coalesce("pos", F.lit(0))).alias("position"), F.when(~F.coalesce(good, F.lit(False)), text).alias(CORRUPT))
+
+
+def corrupt_array_split(elements: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of good elements, bad elements with file and position) of :func:`array_elements`."""
+    good = elements.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "file", "position")
+    return good, elements.filter(F.col(CORRUPT).isNotNull()).select("file", "position", CORRUPT)
+
+
 def write_raw_lines(df: DataFrame, path: str) -> str:
     """Land rows as JSON lines, NULL fields included as absent."""
     df.write.mode("overwrite").json(path)
     return path
 
 
-def write_raw_arrays(df: DataFrame, path: str, rows_per_file: int = 100_000) -> str:
-    """Land rows as JSON-array files of at most ``rows_per_file`` rows.
+def write_raw_arrays(df: DataFrame, path: str, rows_per_file: int = 100_000, elements: Column | None = None) -> str:
+    """Land rows as JSON-array files of at most ``rows_per_file`` rows; ``elements`` overrides their text.
 
     Every task cuts its own rows into arrays, so nothing is shuffled or grouped
     and a repeated task writes the same rows again.
@@ -87,7 +133,7 @@ def write_raw_arrays(df: DataFrame, path: str, rows_per_file: int = 100_000) ->
         if held:
             yield document(held)
 
-    documents = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
-    written = documents.mapInArrow(arrays, "value string")
+    written = df.select(F.to_json(F.struct(*df.columns)).alias("value")) if elements is None else df.select(elements.alias("value"))
+    written = written.mapInArrow(arrays, "value string")
     written.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
     return path

@@ -110,6 +110,29 @@ def calendar_of(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def file_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """(file_count, bytes) of a folder from its listing: no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.agg(F.count(F.lit(1)).alias("file_count"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+
+
+def parquet_footprint(spark: SparkSession, folders: Mapping[tuple[str, str], str], base_layer: str) -> DataFrame:
+    """Rows, files and bytes per (entity, layer) of Parquet folders, and the saving against ``base_layer``.
+
+    Sizes come from the listing and rows from the footers: no column of any row is read.
+    """
+    parts = []
+    for (entity, layer), path in folders.items():
+        rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"))
+        # One row meets one row.
+        parts.append(file_sizes(spark, path).withColumn("row_count", rows.scalar()).select(
+            F.lit(entity).alias("entity"), F.lit(layer).alias("layer"), "row_count", "file_count", "bytes"))
+    sizes = reduce(DataFrame.unionByName, parts)
+    base = sizes.filter(F.col("layer") == base_layer).select("entity", F.col("bytes").alias("base_bytes"))
+    return sizes.join(base, "entity", "left").withColumn(
+        "saving_pct", metrics.pct(F.col("base_bytes") - F.col("bytes"), F.col("base_bytes"), 1))
+
+
 def _layer_size(df: DataFrame, entity: str, layer: str) -> DataFrame:
     # Per file first: a file's size must be counted once, its rows all.
     per_file = df.select(

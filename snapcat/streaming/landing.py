@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -10,6 +13,9 @@ from snapcat.model import SNAPSHOT, raw_schema
 from snapcat.plans.bronze import BATCH, DEFAULT_SOURCE, to_bronze
 from snapcat.sources.tables import write_snapshot
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def incremental_landing(
     spark: SparkSession,
@@ -20,6 +26,8 @@ def incremental_landing(
     multi_line: bool = True,
     max_files_per_batch: int | None = None,
     source: str = DEFAULT_SOURCE,
+    repeat_key: Sequence[str] | None = None,
+    repeat_horizon: str = "30 days",
 ) -> StreamingQuery:
     """Process all files not seen before, then stop; run it again for later ones.
 
@@ -29,6 +37,13 @@ def incremental_landing(
     backfilled snapshot is just another partition.  The checkpoint belongs to the
     table: keep both or drop both.  Files are JSON arrays (``multi_line``) or JSON lines.
     A batch load of the same table (``bronze_snapshot``) has a batch number of its own.
+
+    With ``repeat_key`` (columns that name a raw record, such as its link and snapshot) a record that lands
+    again, in another file, batch or run, is dropped if its first copy landed within ``repeat_horizon``; the first
+    one wins.  The keys are state in RocksDB, part of the checkpoint.  The horizon runs on arrival time, so a late or
+    backfilled snapshot is never too late itself; a repeat after the horizon lands anew, and Silver's dedupe
+    takes it.  Rows with a NULL in the key
+    count as repeats only if all their columns are equal.
     """
     reader = spark.readStream.schema(raw_schema(entity)).option("multiLine", multi_line)
     if max_files_per_batch:
@@ -38,9 +53,32 @@ def incremental_landing(
         bronze = to_bronze(entity, batch, source).withColumn(BATCH, F.lit(batch_id))
         write_snapshot(bronze, bronze_path, (SNAPSHOT, BATCH))
 
+    rows = reader.json(raw_glob)
+    if repeat_key is None:
+        return _start(rows, land, checkpoint)
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)  # read when the query starts
+    try:
+        return _start(first_landed(rows, repeat_key, repeat_horizon), land, checkpoint)
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+
+
+def first_landed(rows: DataFrame, key: Sequence[str], horizon: str) -> DataFrame:
+    """The first copy of each record within ``horizon`` of arrival time."""
+    whole = F.xxhash64(F.to_json(F.struct(*rows.columns)))
+    marks = {f"__k{i}": F.col(c) for i, c in enumerate(key)} | {
+        "__whole": F.when(reduce(Column.__or__, (F.col(c).isNull() for c in key)), whole), "__arrived": F.current_timestamp()}
+    return rows.withColumns(marks).withWatermark("__arrived", horizon).dropDuplicatesWithinWatermark(
+        [c for c in marks if c != "__arrived"]).drop(*marks)
+
+
+def _start(rows: DataFrame, land, checkpoint: str) -> StreamingQuery:
     return (
-        reader.json(raw_glob)
-        .writeStream.foreachBatch(land)
+        rows.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

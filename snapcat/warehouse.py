@@ -8,6 +8,9 @@ under the shared folder the session names, once per application and source.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 
 from snapcat.model import ENTITIES
@@ -26,6 +29,7 @@ class Warehouse:
         self.spark, self.sf_dir = spark, sf_dir
         self.root = scratch_path(spark, "warehouse")
         self._built: set[str] = set()
+        self._kept: dict[str, Any] = {}
 
     def source(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
@@ -71,6 +75,12 @@ class Warehouse:
         else:
             raise ValueError(f"unknown table {name!r}")
 
+    def once(self, name: str, build: Callable[[], Any]) -> Any:
+        """What ``build`` gives, built once for this warehouse."""
+        if name not in self._kept:
+            self._kept[name] = build()
+        return self._kept[name]
+
     def gate(self) -> DataFrame:
         return quality.quality_gate(*self.silver())
 
