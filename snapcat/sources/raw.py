@@ -78,7 +78,7 @@ def array_elements(
     names = {column: field for field, column in (field_aliases or {}).items()}
     fields = [(f.name, names.get(f.name, f.name), f.dataType.simpleString()) for f in schema.fields]
     start = "|".join(re.escape(field) for _, field, _ in fields)
-    files = spark.read.option("wholetext", True).text(landing_path(root, entity, snapshot)).select(
+    files = spark.read.text(landing_path(root, entity, snapshot), wholetext=True).select(
         "value", F.col("_metadata.file_path").alias("file"))
     inner = F.regexp_replace("value", r"^\s*\[|\]\s*$", "")
     cut = F.split(inner, rf'\s*,\s*(?=\{{\s*"(?:{start})"\s*:)')
