@@ -32,6 +32,8 @@ BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 BLANKS = b"\x20\x09"
 #: Filter bits per frequent phrase, and bounds of the filter (at most 32 MB; beyond that it passes more).
 BITS_PER_PHRASE, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 28
+#: Hash buckets whose phrases are counted together first, those in one row of a task, and the largest sum kept.
+BUCKETS, BLOCK, MOST_SUM = 1 << 24, 1 << 16, 60_000
 #: Phrases a task sums before it hands them on.
 FLUSH = 1 << 20
 NO_LANGUAGE = "und"
@@ -154,15 +156,98 @@ def phrase_filter(phrases: DataFrame) -> np.ndarray:
     return out
 
 
-def count_phrases(dictionary: DataFrame, size: int, shorter: np.ndarray | None, overlap: int = OVERLAP) -> DataFrame:
-    """(lang, phrase, f) of phrases of ``size`` words whose two shorter phrases pass the filter ``shorter``."""
+def phrase_places(size: int, shorter: np.ndarray | None, overlap: int):
+    """A function of a batch of the dictionary: where phrases of ``size`` words stand that a chunk counts.
+
+    Gives (rows of the batch, bytes, starts, ends) of those whose two shorter phrases pass the filter ``shorter``.
+    """
+    hasher = Hasher()
+    words_of = np.ones(256, bool)
+    words_of[[10, 32]] = False
+    member = None if shorter is None else np.unpackbits(shorter.view(np.uint8), bitorder="little").view(bool)
+
+    def found(rows):
+        for lo, hi, data, offsets in chunks(rows.column(1)):
+            starts, ends = ranges(words_of[data], offsets)
+            owner = np.searchsorted(offsets, starts, "right") - 1
+            n = len(starts) - size + 1
+            if n <= 0:
+                continue
+            end = np.append(np.flatnonzero(owner[1:] != owner[:-1]) + 1, len(owner))  # words before the end of each chunk
+            chunk_end = np.repeat(end, np.diff(np.append(0, end)))
+            final = np.asarray(rows.column(2).slice(lo, hi - lo).to_numpy(zero_copy_only=False))
+            at = np.arange(n)
+            mine = (owner[:n] == owner[size - 1 :]) & (final[owner[:n]] | (at < chunk_end[:n] - overlap))
+            broken = np.zeros(len(starts) + 1, np.int64)
+            np.cumsum(data[np.minimum(ends, len(data) - 1)] == 10, out=broken[1:])
+            mine &= broken[size - 1 : size - 1 + n] == broken[:n]
+            at = at[mine]
+            if member is not None and len(at):
+                lang = seeds(rows.column(0).slice(lo, hi - lo))[owner[at]]
+                ok = np.ones(len(at), bool)
+                for k in (0, 1):
+                    one, two = slots(mix(hasher(data, starts[at + k], ends[at + k + size - 2]) + lang), len(member))
+                    ok &= member[one] & member[two]
+                at = at[ok]
+            if len(at):
+                yield lo + owner[at], data, starts[at], ends[at + size - 1]
+
+    return found
+
+
+def phrase_keys(rows: pa.RecordBatch, where: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hasher: Hasher) -> np.ndarray:
+    """Hash of each phrase with its language."""
+    return mix(hasher(data, starts, ends) + seeds(rows.column(0))[where])
+
+
+def frequent_buckets(dictionary: DataFrame, size: int, shorter: np.ndarray, least: int, overlap: int = OVERLAP) -> np.ndarray:
+    """Bits of the hash buckets whose phrases together occur ``least`` times; others hold no frequent phrase.
+
+    Three bytes for each phrase and task are shuffled instead of its text.  BUCKETS is fixed: in a corpus that fills all of
+    them the filter passes everything, and the counts decide as before.
+    """
+
+    def run(batches):
+        schema = pa.schema([("block", pa.int32()), ("low", pa.binary()), ("n", pa.binary())])
+        found, hasher = phrase_places(size, shorter, overlap), Hasher()
+        sums = np.zeros(BUCKETS, np.uint32)
+        for rows in batches:
+            freq = np.minimum(np.asarray(rows.column(3)), least).astype(np.uint32)
+            for where, data, starts, ends in found(rows):
+                bucket, inverse = np.unique(phrase_keys(rows, where, data, starts, ends, hasher) % np.uint64(BUCKETS), return_inverse=True)
+                sums[bucket] = np.minimum(sums[bucket] + np.bincount(inverse, freq[where]), least)
+        for block in range(BUCKETS // BLOCK):
+            part = sums[block * BLOCK : (block + 1) * BLOCK]
+            low = np.flatnonzero(part)
+            if len(low):
+                yield batch(schema, [block], [low.astype(np.uint16).tobytes()], [part[low].astype(np.uint16).tobytes()])
+
+    def add(batches):
+        schema = pa.schema([("block", pa.int32()), ("bits", pa.binary())])
+        sums: dict[int, np.ndarray] = {}
+        for rows in batches:
+            for block, low, n in zip(*(c.to_pylist() for c in rows.columns)):
+                at = np.frombuffer(low, np.uint16)
+                total = sums.setdefault(block, np.zeros(BLOCK, np.uint32))
+                total[at] = np.minimum(total[at] + np.frombuffer(n, np.uint16), least)
+        for block, total in sums.items():
+            yield batch(schema, [block], [np.packbits(total >= least, bitorder="little").tobytes()])
+
+    parts = dictionary.select("lang", "chunk", "final", "freq").mapInArrow(run, "block int, low binary, n binary")
+    bits = np.zeros(BUCKETS // 8, np.uint8)
+    # BUCKETS / 8 bytes in all.
+    for block, packed in parts.repartition("block").mapInArrow(add, "block int, bits binary").collect():
+        bits[block * BLOCK // 8 : (block + 1) * BLOCK // 8] = np.frombuffer(packed, np.uint8)
+    return bits
+
+
+def count_phrases(dictionary: DataFrame, size: int, shorter: np.ndarray | None, overlap: int = OVERLAP, buckets: np.ndarray | None = None) -> DataFrame:
+    """(lang, phrase, f) of phrases of ``size`` words whose two shorter phrases pass ``shorter`` and which pass ``buckets``."""
 
     def run(batches):
         schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64())])
-        hasher = Hasher()
-        words_of = np.ones(256, bool)
-        words_of[[10, 32]] = False
-        member = None if shorter is None else np.unpackbits(shorter.view(np.uint8), bitorder="little").view(bool)
+        found, hasher = phrase_places(size, shorter, overlap), Hasher()
+        passing = None if buckets is None else np.unpackbits(buckets, bitorder="little").view(bool)
         held: list[pa.Table] = []
 
         def flush():
@@ -170,39 +255,18 @@ def count_phrases(dictionary: DataFrame, size: int, shorter: np.ndarray | None,
             held.clear()
             return table.rename_columns({"f_sum": "f"}).select(["lang", "phrase", "f"]).cast(schema)
 
-        def found(rows):
-            for lo, hi, data, offsets in chunks(rows.column(1)):
-                starts, ends = ranges(words_of[data], offsets)
-                owner = np.searchsorted(offsets, starts, "right") - 1
-                n = len(starts) - size + 1
-                if n <= 0:
-                    continue
-                end = np.append(np.flatnonzero(owner[1:] != owner[:-1]) + 1, len(owner))  # words before the end of each chunk
-                chunk_end = np.repeat(end, np.diff(np.append(0, end)))
-                final = np.asarray(rows.column(2).slice(lo, hi - lo).to_numpy(zero_copy_only=False))
-                at = np.arange(n)
-                mine = (owner[:n] == owner[size - 1 :]) & (final[owner[:n]] | (at < chunk_end[:n] - overlap))
-                broken = np.zeros(len(starts) + 1, np.int64)
-                np.cumsum(data[np.minimum(ends, len(data) - 1)] == 10, out=broken[1:])
-                mine &= broken[size - 1 : size - 1 + n] == broken[:n]
-                at = at[mine]
-                if member is not None and len(at):
-                    lang = seeds(rows.column(0).slice(lo, hi - lo))[owner[at]]
-                    ok = np.ones(len(at), bool)
-                    for k in (0, 1):
-                        one, two = slots(mix(hasher(data, starts[at + k], ends[at + k + size - 2]) + lang), len(member))
-                        ok &= member[one] & member[two]
-                    at = at[ok]
-                if len(at):
-                    where = pa.array(lo + owner[at])
-                    yield pa.table([rows.column(0).take(where).cast(pa.large_string()), strings(data, starts[at], ends[at + size - 1]),
-                                    rows.column(3).take(where).cast(pa.int64())], names=["lang", "phrase", "f"])
-
         waiting = 0
         for rows in batches:
-            for table in found(rows):
-                held.append(table)
-                waiting += table.num_rows
+            for where, data, starts, ends in found(rows):
+                if passing is not None:
+                    ok = passing[(phrase_keys(rows, where, data, starts, ends, hasher) % np.uint64(BUCKETS)).astype(np.int64)]
+                    where, starts, ends = where[ok], starts[ok], ends[ok]
+                if not len(where):
+                    continue
+                at = pa.array(where)
+                held.append(pa.table([rows.column(0).take(at).cast(pa.large_string()), strings(data, starts, ends),
+                                      rows.column(3).take(at).cast(pa.int64())], names=["lang", "phrase", "f"]))
+                waiting += len(where)
                 if waiting > FLUSH:
                     yield from flush().to_batches(max_chunksize=50_000)
                     waiting = 0
@@ -248,7 +312,10 @@ def collocations(documents: DataFrame, least_count: int = LEAST_COUNT, top: int
     totals = stage(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
     levels = [stage(words.filter(F.col("f") >= least_count), "frequent-1")]
     for size in range(2, longest + 1):
-        levels.append(stage(count_phrases(dictionary, size, phrase_filter(levels[-1]), overlap).filter(F.col("f") >= least_count), f"frequent-{size}"))
+        shorter = phrase_filter(levels[-1])
+        # Pairs of frequent words are many; longer phrases are few once both pairs inside are frequent.
+        buckets = frequent_buckets(dictionary, size, shorter, least_count, overlap) if size == 2 and least_count <= MOST_SUM else None
+        levels.append(stage(count_phrases(dictionary, size, shorter, overlap, buckets).filter(F.col("f") >= least_count), f"frequent-{size}"))
     frequent = candidates = None
     for df in levels:
         frequent = df if frequent is None else frequent.unionByName(df)
