@@ -50,6 +50,12 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*(F.col(c) for c in columns))
 
 
+def hashed_sample(df: DataFrame, rows: int) -> DataFrame:
+    """The rows with the ``rows`` smallest distinct values of column ``h``: only hashes meet in one task, rows stay where they are."""
+    least = df.select("h").distinct().orderBy("h").limit(rows).agg(F.max("h").alias("h")).first()["h"]
+    return df.filter(F.col("h") <= F.lit(least)) if least is not None else df.limit(0)
+
+
 def free_name(base: str, df: DataFrame) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}

@@ -48,8 +48,7 @@ def directions(reps: DataFrame) -> dict[int, np.ndarray]:
     out = {}
     sample = reps.orderBy(F.xxhash64("rep")).limit(SAMPLE).select("embedding").toArrow()["embedding"].to_pylist()
     for d in {len(v) for v in sample}:
-        x = np.array([v for v in sample if len(v) == d])
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        x = unit(np.array([v for v in sample if len(v) == d]))
         values, vectors = np.linalg.eigh(np.cov(x, rowvar=False) if len(x) > 1 and d > 1 else np.eye(d))
         out[d] = vectors[:, np.argsort(values)[::-1][:DIRECTIONS]]
     return out

@@ -86,6 +86,7 @@ def parse(page: str) -> Tree:
     pending: list[tuple[str, bool]] = []
     link, at, n = False, 0, len(page)
     inline: Counter[str] = Counter()  # open elements of INLINE
+    depths: dict[str, list[int]] = {}  # of open block elements by tag: their places on the stack, ascending
     ends: dict[int, int] = {}  # of skipped elements that are never closed, by where their start tag ends
 
     def flush() -> None:
@@ -95,6 +96,20 @@ def parse(page: str) -> Tree:
                 tree.blocks.append((stack[-1], text, sum(len(t.strip()) for t, of_link in pending if of_link)))
             pending.clear()
 
+    def push(tag: str, attributes: str) -> None:
+        stack.append(tree.add(tag, stack[-1], attributes))
+        depths.setdefault(tag, []).append(len(stack) - 1)
+
+    def cut(depth: int) -> None:
+        """Close the elements from place ``depth`` of the stack on."""
+        for element in reversed(stack[depth:]):
+            depths[tree.tag[element]].pop()
+        del stack[depth:]
+
+    def deepest(tags) -> int:
+        """Place of the last open element with one of ``tags``, 0 if there is none."""
+        return max((depths[t][-1] for t in tags if depths.get(t)), default=0)
+
     def after(begin: int, outer: str) -> int:
         """Where the page goes on after a skipped element whose start tag ends at ``begin``."""
         if begin in ends:
@@ -107,7 +122,6 @@ def parse(page: str) -> Tree:
                     k = bisect_left(blocks, lo)
                     ends[lo] = blocks[k] if k < len(blocks) else border
 
-        around = Counter(tree.tag[i] for i in stack[1:]) + inline
         within = Counter([outer])
         while m := TOKEN.search(page, at):
             at = m.end()
@@ -122,7 +136,7 @@ def parse(page: str) -> Tree:
                     del inner[depth:]
                     if not inner:
                         return at
-                elif around[tag]:
+                elif depths.get(tag) or inline[tag]:
                     border = m.start()
                     break
             elif m.group(3).endswith("/") or tag in VOID:
@@ -176,24 +190,19 @@ def parse(page: str) -> Tree:
         flush()
         if ending:
             link = False
-            for depth in range(len(stack) - 1, 0, -1):
-                if tree.tag[stack[depth]] == tag:
-                    del stack[depth:]
-                    break
+            if depth := deepest((tag,)):
+                cut(depth)
             continue
         if tag == "body":
-            del stack[1:]
-        if tree.tag[stack[-1]] == "p" or tag in HEADINGS and tree.tag[stack[-1]] in HEADINGS:
-            stack.pop()
+            cut(1)
+        if len(stack) > 1 and (tree.tag[stack[-1]] == "p" or tag in HEADINGS and tree.tag[stack[-1]] in HEADINGS):
+            cut(len(stack) - 1)
         if tag in CLOSES:
             targets, borders = CLOSES[tag]
-            for depth in range(len(stack) - 1, 0, -1):
-                if tree.tag[stack[depth]] in targets:
-                    del stack[depth:]
-                    break
-                if tree.tag[stack[depth]] in borders:
-                    break
-        stack.append(tree.add(tag, stack[-1], m.group(3)))
+            depth = deepest(targets)
+            if depth > deepest(borders):
+                cut(depth)
+        push(tag, m.group(3))
     flush()
     return tree
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapcat.llm.common import load, small_batches
+from snapcat.llm.common import hashed_sample, load, small_batches
 from snapcat.llm.html_pages import TAGS, TEXT_TAGS, Tree, labelled_pages, marked_labels, parse, weak_labels
 
 #: Bounded training sample of the table's pages, by the hash of their id and url.
@@ -136,8 +136,9 @@ def train(pages: DataFrame) -> tuple[dict[str, list[float]], list[list[float]]]:
             [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
              pa.array([k[2] for k in keys], pa.int32()), pa.array([total[k] for k in keys], pa.int64())], ["feature", "value", "label", "n"])
 
-    sample = pages.filter("html is not null").select("page_id", "url", "html").orderBy(F.xxhash64("page_id", "url"), "page_id").limit(SAMPLE_PAGES)
-    counted = sample.select("html").mapInArrow(run, "feature string, value int, label int, n long").groupBy("feature", "value", "label").agg(
+    sample = hashed_sample(pages.filter("html is not null").select("html", F.xxhash64("page_id", "url", "html").alias("h")), SAMPLE_PAGES)
+    # Repeated rows count once.
+    counted = sample.groupBy("h").agg(F.first("html").alias("html")).select("html").mapInArrow(run, "feature string, value int, label int, n long").groupBy("feature", "value", "label").agg(
         F.sum("n").alias("n"))
     seen = {(r.feature, r.value, r.label): float(r.n) for r in counted.collect()}
     fixed: dict[tuple[str, int, int], float] = {}

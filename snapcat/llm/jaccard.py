@@ -28,6 +28,8 @@ from snapcat.llm.components import components, local_roots
 
 SHINGLE = 5
 THRESHOLD = 0.8
+#: Target of the number of runs, as if they were independent.  They share coordinates below the root, so where nodes are split to
+#: the end a pair at the threshold is missed with a probability of about 2.6e-5 (computed), not 1e-6.
 RECALL = 0.999999
 #: Coordinates of the min-hash vector, coordinates sampled at a node below the root (one at the root).
 COORDINATES, BRANCH = 48, 2
@@ -36,7 +38,7 @@ BUCKET, DEPTH, BLOCK = 512, 8, 512
 #: A child that keeps more than this part of its node is compared in full: its sets are alike, and splitting would go on in vain.
 ALIKE = 0.5
 #: Share of equal coordinates below which a pair's sets are not fetched: a pair at the threshold falls below it
-#: with a probability far under what ``RECALL`` leaves.
+#: with a probability of 8e-7.
 AGREEMENT = 0.5
 COLUMNS = 4096
 

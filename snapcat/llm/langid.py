@@ -16,10 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapcat.llm.common import bucket_of, free_name, load, mix, small_batches
+from snapcat.llm.common import bucket_of, free_name, load, mix, small_batches, stage
 
-#: Slots of the filter (a power of two) and hashes per trigram; size and memory don't depend on the corpus.
-SLOTS = 1 << 20
+#: Slots of the filter: a power of two, at least SLOTS_PER_TRIGRAM times the distinct trigrams of the language with the
+#: most (a false rate of 0.15 at most), within these bounds.  The upper one is 128 MB for up to 64 languages and
+#: holds that rate for four million trigrams of one language; beyond, the rate grows, and counts are corrected by it.
+SLOTS, MOST_SLOTS, SLOTS_PER_TRIGRAM = 1 << 20, 1 << 24, 4
 HASHES = 2
 #: A trigram belongs to each language in which its rate is at least this part of its highest rate.
 RATIO = 0.1
@@ -30,7 +32,7 @@ UNDETERMINED = "und"
 
 class Model(NamedTuple):
     languages: list[str]
-    table: np.ndarray  # (SLOTS, words of 64 languages)
+    table: np.ndarray  # (slots, words of 64 languages)
     false_rate: np.ndarray  # per language
 
 
@@ -107,22 +109,24 @@ def trigram_counts(training: DataFrame) -> DataFrame:
         F.sum("n").alias("n"))
 
 
-def slots_of(grams: np.ndarray) -> list[np.ndarray]:
+def slots_of(grams: np.ndarray, slots: int) -> list[np.ndarray]:
     h = mix(grams)
-    return [(h % np.uint64(SLOTS)).astype(np.int64), ((h >> np.uint64(32)) % np.uint64(SLOTS)).astype(np.int64)]
+    return [(h % np.uint64(slots)).astype(np.int64), ((h >> np.uint64(32)) % np.uint64(slots)).astype(np.int64)]
 
 
 def train(training: DataFrame) -> Model:
     """Filters from all rows with a text and a language.
 
-    Only the filter (at most SLOTS rows per 64 languages) and one total per language reach the driver.
+    Only the filter (at most MOST_SLOTS rows per 64 languages) and two numbers per language reach the driver.
     """
     small_batches(training.sparkSession)
-    counts = trigram_counts(training.filter("text is not null and lang is not null"))
-    totals = counts.groupBy("lang").agg(F.sum("n").cast("double").alias("total")).orderBy("lang").collect()
+    counts = stage(trigram_counts(training.filter("text is not null and lang is not null")), "trigrams")
+    totals = counts.groupBy("lang").agg(F.sum("n").cast("double").alias("total"), F.count(F.lit(1)).alias("distinct")).orderBy("lang").collect()
     languages = [r.lang for r in totals]
     words = max(1, -(-len(languages) // 64))
-    table = np.zeros((SLOTS, words), np.uint64)
+    slots = SLOTS_PER_TRIGRAM * max((r.distinct for r in totals), default=1)
+    slots = min(max(SLOTS, 1 << (slots - 1).bit_length()), MOST_SLOTS)
+    table = np.zeros((slots, words), np.uint64)
     if languages:
         rate = F.col("n") / F.element_at(F.create_map(*(F.lit(x) for r in totals for x in (r.lang, r.total))), F.col("lang"))
         number = F.element_at(F.create_map(*(F.lit(x) for i, l in enumerate(languages) for x in (l, i))), F.col("lang"))
@@ -134,7 +138,7 @@ def train(training: DataFrame) -> Model:
         def run(batches):
             for b in batches:
                 number = np.asarray(b.column(1)).astype(np.int64)
-                for slot in slots_of(np.asarray(b.column(0)).view(np.uint64)):
+                for slot in slots_of(np.asarray(b.column(0)).view(np.uint64), slots):
                     bits = (np.uint64(1) << (number % 64).astype(np.uint64)).view(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(number // 64), pa.array(bits)], ["slot", "word", "bits"])
 
@@ -152,7 +156,7 @@ def identify(texts: list[str], model: Model) -> tuple[list[str], np.ndarray]:
     for lo, hi in pieces(texts):
         n = hi - lo
         grams, owner, has = trigrams(texts[lo:hi])
-        one, two = slots_of(grams)
+        one, two = slots_of(grams, len(model.table))
         size = np.bincount(owner, minlength=n).astype(float)
         counts = np.zeros((n, len(model.languages)))
         masks = model.table[one] & model.table[two]
@@ -194,11 +198,19 @@ def predict(documents: DataFrame, model: Model, names: tuple[str, str] = ("lang_
 
 
 def known_language(documents: DataFrame) -> DataFrame:
-    """Documents whose language is recognised, learned from those of them that name one; columns stay."""
+    """Documents whose language is recognised; columns stay.
+
+    No document vouches for itself: by crc32(doc_id) mod 2 (NULL ids: 0) each half is judged by what the other half's rows
+    that name a language teach.  Half a corpus that teaches nothing judges nothing: all go as undetermined.
+    """
     language, score = free_name("language_", documents), free_name("score_", documents)
-    predicted = predict(documents, train(documents), (language, score))
-    kept = predicted.filter((F.col(language) != UNDETERMINED) & (F.col(score) >= LEAST_SCORE))
-    return kept.select(*documents.columns)
+    half = F.coalesce(bucket_of("doc_id", 2), F.lit(0))
+    out = None
+    for k in (0, 1):
+        predicted = predict(documents.filter(half == k), train(documents.filter(half != k)), (language, score))
+        kept = predicted.filter((F.col(language) != UNDETERMINED) & (F.col(score) >= LEAST_SCORE)).select(*documents.columns)
+        out = kept if out is None else out.unionByName(kept)
+    return out
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,16 +42,26 @@ AT, DOT = "at|arroba|ät|chez", "dot|punkt|punto|point"
 INVISIBLE = "­​‌‍⁠﻿"
 #: Decimal digits of other scripts (each script has ten in a row).
 OTHER_DIGITS = "".join(f"{chr(c)}-{chr(c + 9)}" for c in range(0x80, 0x20000) if unicodedata.decimal(chr(c), None) == 0)
-#: Words that stand before ``at`` and a host in prose (fixed values).
-PROSE = frozenset(
+#: Words that are no mailbox before ``at`` and a host (pronouns, particles, verbs and nouns of a page).
+NEVER = frozenset(
     "a about above account all also am an and any anything are arrive arrived as available based be been bought browse buy by check click "
-    "contact content deal details directly docs document documentation down download email error events everything files find first for "
-    "found free from get go good has have hello help her here him homepage hosted i images in info information is it items join latest "
-    "line list listed live log login look looked looking looks mail maintained me meet met more much my new news not now of off offer "
-    "offered on one online only or order orders our out over page pages posted prices products program project published purchase "
-    "purchased read register registered released reviews sale see shop shopping sign site sold something source start started stay store "
-    "stuff support team that the their them there these they things this those through ticket tickets to today together up us version "
-    "visit was watch we web website were what work worked working works write written you your yourself".split())
+    "content deal details directly docs document documentation down download everything files find first for found free from get go good has "
+    "have her here him homepage hosted i images in is it items join latest line list listed live log login look looked looking looks "
+    "maintained me meet met more much my new not now of off offer offered on one online only or our out over page pages posted prices "
+    "products program project published purchase purchased read released reviews see shopping site sold something source start started "
+    "stay that the their them there these they things this those through to today together up us version visit was watch we website were "
+    "what worked working works written you your yourself email mail write order register registered sign".split())
+#: Usual names of shared mailboxes, which are words of prose too.
+ROLES = frozenset(
+    "abuse accounts admin billing booking bookings careers contact enquiries events feedback hello help hr info information jobs legal "
+    "marketing media news newsletter office orders postmaster press privacy reservations sales security service shop staff store support "
+    "team tickets web webmaster work".split())
+#: Words before a mailbox, and words that make what follows a noun of the sentence.
+LABELS = frozenset(
+    "address am ask at contact courriel cc correo dm e-mail email emails is kontakt mail mailto message or reach schreib send sende to via write".split())
+NOUN_AHEAD = frozenset(
+    "a about all an any best buy by cheap each every few find for from get great her his in its latest less many more most my new no of on our "
+    "see some such the their these this those with your".split())
 _digit = "|".join(sorted(SPELLED, key=len, reverse=True))
 
 #: A host with plain dots: no time of day, no path behind it, and an ending that is not written like the start of a sentence.
@@ -61,8 +71,8 @@ BETWEEN = re.compile(r"[\s.,:;()\-\u2010-\u2015/_]+")
 
 #: One alternative per rewriting rule; the name says which.
 RULES = re.compile(
-    rf"(?P<at>\s*[\[({{<]\s*(?:{AT}|@)\s*[\])}}>]\s*)"
-    rf"|(?P<dot>\s*[\[({{<]\s*(?:{DOT}|\.)\s*[\])}}>]\s*)"
+    rf"(?P<at>[\[({{<]\s*(?:{AT}|@)\s*[\])}}>]\s*)"
+    rf"|(?P<dot>[\[({{<]\s*(?:{DOT}|\.)\s*[\])}}>]\s*)"
     rf"|(?P<wordat>(?<=\w)\s+(?:{AT})\s+(?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?:\s+(?:{DOT})\s+|\s*[\[({{<]\s*(?:{DOT}|\.)\s*[\])}}>]\s*)[A-Za-z]))"
     rf"|(?P<hostat>(?<=\w)\s+(?:{AT})\s+(?={HOST}))"
     rf"|(?P<worddot>(?<=\w)\s+(?:{DOT})\s+(?=\w))"
@@ -78,6 +88,9 @@ ODD = re.compile(rf"[{INVISIBLE}{''.join(HOMOGLYPHS)}！-～\U0001d400-\U0001d7f
 AT_HOST = re.compile(rf"(?:{AT})\s+(?:{HOST})", re.IGNORECASE)
 WORD = re.compile(r"[^\W_]+")
 SPACED = re.compile(r"\s")
+#: The word right before a place, with nothing but a blank between; looked for in so many characters.
+PRECEDING = re.compile(r"([^\W_][\w'-]*)?[\x20\t]*\Z")
+REACH = 40
 #: Spelled digits are rewritten where at least so many follow each other (figures may stand between them).
 SPELLED_RUN = 3
 
@@ -155,11 +168,27 @@ def disguised(text: str) -> bool:
 
 
 def in_prose(text: str, lo: int) -> bool:
-    """Whether the word that ends at ``lo`` is one that stands before ``at`` in prose."""
+    """Whether the word that ends at ``lo``, before ``at`` and a host, is prose rather than a mailbox.
+
+    A name with figures, dots or the like is a mailbox, a particle never is.  Any other word is one where an address is
+    announced: at the start of a line or after punctuation, or after a label (``write to``, ``reach``).  After an article
+    or the like it is a noun; after any other word, a shared mailbox's name is prose and a capitalised name is not.
+    """
     begin = lo
     while begin > 0 and text[begin - 1] in LOCAL:
         begin -= 1
-    return text[begin:lo].lower() in PROSE
+    word = text[begin:lo]
+    if word.lower() in NEVER:
+        return True
+    if not word.isalpha():
+        return False
+    before = PRECEDING.search(text, max(0, begin - REACH), begin)
+    if before is None or not before.group(1):
+        return False
+    previous = before.group(1).lower()
+    if previous in LABELS:
+        return False
+    return previous in NOUN_AHEAD or word.lower() in ROLES or not word[0].isupper()
 
 
 def plain(text: str, spelled: set[int]) -> tuple[str, list[int], list[int]]:
@@ -176,6 +205,10 @@ def plain(text: str, spelled: set[int]) -> tuple[str, list[int], list[int]]:
     done, after_digit = 0, -1
     for m in RULES.finditer(text):
         lo, hi, rule = m.start(), m.end(), m.lastgroup
+        if rule in ("at", "dot"):
+            # White space before the bracket goes too; looked for from here, as a pattern would try it at every blank.
+            while lo > done and text[lo - 1].isspace():
+                lo -= 1
         if done == after_digit and lo in spelled and BETWEEN.fullmatch(text, done, lo):
             out.append(" ")
             starts.append(done)

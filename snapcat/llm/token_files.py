@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from snapcat.llm.common import chunks, load, small_batches, stage
+from snapcat.llm.common import hashed_sample, chunks, load, small_batches, stage
 from snapcat.llm.tokens import Encoder, with_end
 from snapcat.session import scratch_path
 
@@ -51,11 +51,12 @@ def train_dictionary(documents: DataFrame, tokenizer: str, spaced: bool, width:
                 ids, ends = encoder(data, offsets)
                 bounds = np.concatenate([[0], ends])
                 out += [ids[s:e].astype(f"<u{width}").tobytes()[:SAMPLE_BYTES] for s, e in zip(bounds[:-1], bounds[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), b.column(1)], ["ids", "h"])
 
-    sample = documents.filter("text is not null").select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(
-        SAMPLE_DOCUMENTS).select("text").mapInArrow(run, "ids binary")
-    found = [bytes(r.ids) for r in sample.collect() if r.ids]
+    texts = documents.filter("text is not null").select("text", F.xxhash64("doc_id", "text").alias("h"))
+    # Encoded and cut where the texts are; repeated rows count once.
+    sample = hashed_sample(texts, SAMPLE_DOCUMENTS).mapInArrow(run, "ids binary, h long").groupBy("h").agg(F.first("ids").alias("ids"))
+    found = [bytes(r.ids) for r in sample.orderBy("h").collect() if r.ids]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, found).as_bytes()
     except (zstandard.ZstdError, ValueError):  # too few documents to learn from

@@ -120,8 +120,8 @@ class Encoder:
         kept = home.__dict__.setdefault("kept", {})
         if path not in kept:
             tokenizer = Tokenizer.from_file(path)
-            tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-            kept[path] = {"tokenizer": tokenizer, "hasher": Hasher()}
+            added = sorted({t.content.lower().encode() for t in tokenizer.get_added_tokens_decoder().values() if t.content})
+            kept[path] = {"tokenizer": tokenizer, "hasher": Hasher(), "added": added}
             self.memory = kept[path]
             self.forget()
         self.memory = kept[path]
@@ -146,7 +146,7 @@ class Encoder:
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(offsets) - 1
-        odd = odd_texts(data, offsets)
+        odd = odd_texts(data, offsets) | self.holds_added(data, offsets)
         if odd.any():
             return self.mixed(data, offsets, odd)
         if not self.spaced:
@@ -172,12 +172,23 @@ class Encoder:
         pieces_end = np.searchsorted(starts, offsets[1:], "left")
         return flat, np.concatenate([[0], total])[pieces_end]
 
+    def holds_added(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Texts with the string of an added token (in any case of letters): what it becomes is the library's business."""
+        out, raw = np.zeros(len(offsets) - 1, bool), data.tobytes().lower()
+        for content in self.memory["added"]:
+            at = raw.find(content)
+            while at >= 0:
+                text = int(np.searchsorted(offsets, at, "right")) - 1
+                out[text] = True
+                at = raw.find(content, max(at + 1, int(offsets[text + 1]) - len(content) + 1))
+        return out
+
     def mixed(self, data: np.ndarray, offsets: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Runs of ordinary texts by pieces, the others by the tokenizer itself."""
         out, sizes = [], []
         for i in range(len(odd)):
             lo, hi = int(offsets[i]), int(offsets[i + 1])
-            if odd[i]:
+            if odd[i]:  # the whole text, as it is
                 out.append(np.asarray(self.encode([bytes(data[lo:hi]).decode()])[0], np.uint32))
             else:
                 out.append(self(data[lo:hi], np.array([0, hi - lo]))[0])

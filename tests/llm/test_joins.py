@@ -72,6 +72,24 @@ def test_vectors_with_odd_rows(spark, block):
     assert all(r.kept == (r.vec_id is None or r.vec_id == r.component_id) for r in found)
 
 
+@pytest.mark.parametrize("dim", [2, 4, 9])
+def test_tiny_and_huge_components_spoil_nothing(spark, dim):
+    """Norms under- or overflow for these vectors, but directions do not."""
+    draw = random.Random(dim)
+    rows = []
+    for k in range(30):
+        v = [draw.gauss(0, 1) for _ in range(dim)]
+        for scale in (1.0, 1e-200, 1e200, 1e-308, 1e307):
+            rows.append([x * scale * (1 + 1e-4 * draw.random()) for x in v])
+    rows += [[5e-324] * dim, [1.0] * dim, [5e-324, *[0.0] * (dim - 1)], [1e308, *[0.0] * (dim - 1)]]
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(rows)], "vec_id long, embedding array<double>, label int")
+    unit = np.array(rows) / np.abs(np.array(rows)).max(axis=1, keepdims=True)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    linked = unit @ unit.T >= embedding_dedup.COSINE
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(df).collect()}
+    assert got == {i: int(linked[i].sum()) - 1 for i in range(len(rows))} and max(got.values()) > 3
+
+
 def test_no_vectors(spark):
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], VECTORS)).collect() == []
 
