@@ -858,6 +858,8 @@ _FINAL: dict[str, str] = {
     "published_versions": f"""SELECT CAST(v AS INTEGER) AS version, snapshot_date, count(*) AS row_count FROM fact JOIN (VALUES
         (1, {day(FIRST)}), (2, {day(THIRD)}), (3, {day(LAST)}), (4, {day(SECOND)}), (5, {day(FOURTH)})) a(n, s) ON snapshot_date = s
         JOIN (SELECT unnest(range(1, 6)) AS v) ON v >= n GROUP BY ALL""",
+    "published_latest": f"SELECT * FROM fact WHERE snapshot_date = {LATEST}",
+    "mart_from_published": "SELECT * FROM momentum",
     "published_pending": f"""SELECT 'artists' AS table_name, snapshot_date, count(*) AS row_count FROM sa
         WHERE snapshot_date IN ({day(SECOND)}, {day(FOURTH)}) GROUP BY ALL
         UNION ALL SELECT 'tracks', snapshot_date, count(*) FROM st WHERE snapshot_date IN ({day(SECOND)}, {day(FOURTH)}) GROUP BY ALL""",
@@ -867,6 +869,12 @@ _FINAL: dict[str, str] = {
         count(*) AS n, count(*) AS stamped, count(DISTINCT external_uri) AS links
         FROM (SELECT *, CAST(regexp_extract(external_uri, ':([0-9]+)', 1) AS BIGINT) AS k FROM raw_{entity}) GROUP BY ALL"""
         for entity in ("artists", "albums", "tracks")),
+    "corrupt_array_rows": """SELECT album_id, album_name, album_type, release_date, release_date_precision, total_tracks,
+        artist_id, artist_name, external_uri, image_url, strftime(extracted_at, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS extracted_at,
+        CAST(snapshot_date AS VARCHAR) AS snapshot_date FROM raw_albums WHERE CAST(regexp_extract(external_uri, ':([0-9]+)', 1) AS BIGINT) % 29 <> 0""",
+    "bronze_with_quarantine": " UNION ALL ".join(f"""SELECT snapshot_date, '{entity}' AS entity, CASE WHEN k % 29 = 0 THEN 'malformed_json' ELSE 'landed' END AS output,
+        count(*) AS row_count FROM (SELECT *, CAST(regexp_extract(external_uri, ':([0-9]+)', 1) AS BIGINT) AS k FROM raw_{entity})
+        WHERE snapshot_date = {day(FOURTH)} GROUP BY ALL""" for entity in ("artists", "albums", "tracks")),
     # intervals: the copied tables
     "interval_scan_artists": _with_base("sa", "artist_id", "artist_id, artist_name, extracted_at", THIRD, FOURTH, True),
     "interval_scan_albums": _with_base("sb", "album_id", "album_id, album_name, extracted_at", SECOND, LAST, False),

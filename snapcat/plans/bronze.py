@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from snapcat.model import ENTITIES, SNAPSHOT
-from snapcat.sources.raw import scan_raw_json
-from snapcat.sources.tables import write_snapshot
+from snapcat.session import scratch_path
+from snapcat.sources.raw import CORRUPT, array_elements, corrupt_array_split, scan_raw_json
+from snapcat.sources.tables import clear_quarantine, write_quarantine, write_snapshot
 
 DEFAULT_SOURCE = "catalog-api"
 #: Bronze is laid out by snapshot and landing batch; a batch load has a number that no stream uses.
@@ -80,6 +81,27 @@ def write_counted(df: DataFrame, path: str, name: str, partition_by: tuple[str,
     return counted(df, name, lambda rows: write_snapshot(rows, path, partition_by, gather=False))
 
 
+MALFORMED = "malformed_json"
+
+
+def _good_elements(
+    spark: SparkSession, raw_root: str, entity: str, snapshot: str, quarantine: str, field_aliases: Mapping[str, str] | None
+) -> DataFrame:
+    """Rows of the good elements, after the bad ones are in quarantine; files are parsed once."""
+    elements = array_elements(spark, raw_root, entity, snapshot, field_aliases)
+    path = scratch_path(spark, f"elements-{entity}")
+    elements.write.parquet(path)
+    good, bad = corrupt_array_split(spark.read.schema(elements.schema).parquet(path))
+    rejected = bad.withColumnRenamed(CORRUPT, "record").withColumns({
+        SNAPSHOT: F.to_date(F.lit(snapshot)), "dq_rule": F.lit(MALFORMED), "dq_reason": F.lit("element is no object of the schema"),
+        "quarantined_at": F.current_timestamp()})
+    if rejected.isEmpty():
+        clear_quarantine(spark, quarantine, snapshot, MALFORMED)
+    else:
+        write_quarantine(rejected, quarantine)
+    return good
+
+
 def bronze_snapshot(
     spark: SparkSession,
     raw_root: str,
@@ -88,14 +110,20 @@ def bronze_snapshot(
     multi_line: bool = True,
     field_aliases: Mapping[str, str] | None = None,
     source: str = DEFAULT_SOURCE,
+    quarantine_root: str | None = None,
 ) -> dict[str, int]:
     """Raw -> Bronze for the three entities of a snapshot; rows written per entity.
 
-    The layout is that of incremental landing, so both may feed one table.
+    The layout is that of incremental landing, so both may feed one table.  With ``quarantine_root`` every element of a
+    JSON array is judged alone: good ones land, others go to ``<quarantine_root>/<entity>`` with their file and
+    position (a rerun replaces them), and a damaged file costs no good element.
     """
     counts = {}
     for entity in ENTITIES:
-        raw = scan_raw_json(spark, raw_root, entity, snapshot, multi_line, field_aliases)
+        if quarantine_root is None:
+            raw = scan_raw_json(spark, raw_root, entity, snapshot, multi_line, field_aliases)
+        else:
+            raw = _good_elements(spark, raw_root, entity, snapshot, f"{quarantine_root}/{entity}", field_aliases)
         rows = to_bronze(entity, raw, source).withColumn(BATCH, F.lit(BATCH_LOAD))
         counts[entity] = write_counted(rows, f"{bronze_root}/{entity}", f"bronze_{entity}", (SNAPSHOT, BATCH))
     return counts

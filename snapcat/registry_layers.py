@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from snapcat.model import ENTITIES, ENTITY_KEY, SNAPSHOT
 from snapcat.operators import checks, intervals, joins, ranking
-from snapcat.plans import dimensions, publish, silver
+from snapcat.plans import bronze, dimensions, marts, publish, silver
 from snapcat.session import scratch_path
 from snapcat.sources import raw as R
 from snapcat.sources import tables as T
@@ -118,6 +118,21 @@ def published_versions(w):
             F.lit(v).alias("version"), SNAPSHOT, "row_count") for v in gold.versions()])
 
 
+@query
+def published_latest(w):
+    """The newest snapshot of the fact, by the manifest."""
+    return _published(w)[1].latest("fact_artist_snapshot")
+
+
+@query
+def mart_from_published(w):
+    """The momentum mart in SQL over views of one published version."""
+    _published(w)[1].register_views("dim_artist", "dim_album", "dim_track", "fact_artist_snapshot")
+    w.table("dim_date").createOrReplaceTempView("dim_date")
+    marts.register_mart_views(w.spark)
+    return w.spark.sql("SELECT * FROM mart_artist_momentum")
+
+
 @query
 def published_pending(w):
     """What Gold has to do when three snapshots of five are processed: asked of the manifests alone."""
@@ -166,11 +181,7 @@ def corrupt_array_split(w):
     parts = []
     for entity in ENTITIES:
         for snapshot in SNAPSHOTS:
-            raw = w.raw(entity, (snapshot,))
-            text = F.to_json(F.struct(*raw.columns))
-            damaged = F.regexp_extract("external_uri", r":([0-9]+)", 1).cast("bigint") % 29 == 0
-            broken = F.concat(F.lit('{"snapshot_date": "'), F.col("external_uri"), F.lit('", "artist_na'))
-            R.write_raw_arrays(raw, R.landing_path(root, entity, snapshot), 20_000, F.when(damaged, broken).otherwise(text))
+            _land_damaged(w, root, entity, snapshot)
             good, bad = R.corrupt_array_split(R.array_elements(w.spark, root, entity, snapshot))
             label = (F.lit(entity).alias("entity"), F.lit(snapshot).cast("date").alias(SNAPSHOT))
             parts.append(good.groupBy().agg(F.count(F.lit(1)).alias("n"), F.count("extracted_at").alias("stamped"), F.count_distinct("external_uri").alias("links")).select(
@@ -181,6 +192,40 @@ def corrupt_array_split(w):
     return reduce(DataFrame.unionByName, parts)
 
 
+def _land_damaged(w: Warehouse, root: str, entity: str, snapshot: str) -> None:
+    raw = w.raw(entity, (snapshot,))
+    damaged = F.regexp_extract("external_uri", r":([0-9]+)", 1).cast("bigint") % 29 == 0
+    broken = F.concat(F.lit('{"snapshot_date": "'), F.col("external_uri"), F.lit('", "artist_na'))
+    R.write_raw_arrays(raw, R.landing_path(root, entity, snapshot), 20_000, F.when(damaged, broken).otherwise(F.to_json(F.struct(*raw.columns))))
+
+
+@query
+def corrupt_array_rows(w):
+    """Every column of the albums that survive around damaged elements."""
+    root = scratch_path(w.spark, "corrupt-albums")
+    parts = []
+    for snapshot in SNAPSHOTS:
+        _land_damaged(w, root, "albums", snapshot)
+        parts.append(R.corrupt_array_split(R.array_elements(w.spark, root, "albums", snapshot))[0])
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def bronze_with_quarantine(w):
+    """Bronze of damaged arrays, run twice: rows that landed and rows that were put aside."""
+    root = scratch_path(w.spark, "tolerant")
+    for entity in ENTITIES:
+        _land_damaged(w, f"{root}/raw", entity, FOURTH)
+    for _ in range(2):
+        bronze.bronze_snapshot(w.spark, f"{root}/raw", f"{root}/bronze", FOURTH, quarantine_root=f"{root}/quarantine")
+    read = w.spark.read.parquet
+    counted = F.count(F.lit(1)).alias("row_count")
+    return reduce(DataFrame.unionByName, [
+        part for e in ENTITIES for part in (
+            read(f"{root}/bronze/{e}").groupBy(SNAPSHOT).agg(F.lit(e).alias("entity"), F.lit("landed").alias("output"), counted),
+            read(f"{root}/quarantine/{e}").groupBy(SNAPSHOT).agg(F.lit(e).alias("entity"), F.max("dq_rule").alias("output"), counted))])
+
+
 def _landed_twice(w: Warehouse, entity: str) -> DataFrame:
     """Two runs; the second brings files again under other names, and one that holds some records twice."""
     root = scratch_path(w.spark, "repeats")
