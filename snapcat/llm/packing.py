@@ -6,8 +6,8 @@ round all pieces of one length meet all open gaps, sorted by size; a sweep gives
 smallest sufficient gaps, pieces and gaps of equal size being matched by rank, so that no two
 claim the same place; the gaps shrink, and the sweep repeats until no gap suffices and new
 sequences are opened.  Equal sizes are runs of the sort, so a sweep touches runs, not rows: its state is at most
-``capacity`` sizes.  Sweeps of shards of PIECES_PER_SHARD pieces run side by side, and the
-matched rank intervals are joined back to the ranked pieces.
+``capacity`` sizes, whatever the size of the corpus, which is packed as one.  The matched rank intervals are
+joined back to the ranked pieces.
 """
 
 from __future__ import annotations
@@ -26,8 +26,6 @@ from snapcat.llm.tokens import Encoder, as_binary, with_end
 
 CAPACITY = 1024
 END_ID = 2
-#: Expected pieces of a shard; each shard leaves at most a few sequences underfull.
-PIECES_PER_SHARD = 1 << 22
 #: Ranks of one join key: keeps the keys of a frequent length apart.
 RANKS_PER_KEY = 4096
 
@@ -68,12 +66,10 @@ def token_pieces(documents: DataFrame, tokenizer: str, end_id: int = END_ID, cap
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES + ", ids binary" * keep_ids)
 
 
-def ranked(pieces: DataFrame, shards: int) -> DataFrame:
-    """Pieces in the order of (shard, length), numbered from 0 within each."""
-    shard = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)).cast("long")
-    order = ["shard", "length", "doc_id", "piece"]
-    laid = pieces.withColumn("shard", shard).repartitionByRange(*order).sortWithinPartitions(*order).withColumn(
-        "part", F.spark_partition_id().cast("long"))
+def ranked(pieces: DataFrame) -> DataFrame:
+    """Pieces in the order of their length, numbered from 0 within each length."""
+    order = ["length", "doc_id", "piece"]
+    laid = pieces.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id().cast("long"))
     columns = laid.columns
 
     def run(batches):
@@ -81,23 +77,23 @@ def ranked(pieces: DataFrame, shards: int) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            shard, length = (np.asarray(b.column(columns.index(c))) for c in ("shard", "length"))
-            new = np.ones(len(shard), bool)
-            new[1:] = (shard[1:] != shard[:-1]) | (length[1:] != length[:-1])
-            new[0] = last != (shard[0], length[0])
-            position = np.arange(len(shard))
+            length = np.asarray(b.column(columns.index("length")))
+            new = np.ones(len(length), bool)
+            new[1:] = length[1:] != length[:-1]
+            new[0] = last != length[0]
+            position = np.arange(len(length))
             begins = np.maximum.accumulate(np.where(new, position, -1))
             local = np.where(begins >= 0, position - begins, position + count)
-            last, count = (shard[-1], length[-1]), int(local[-1]) + 1
+            last, count = length[-1], int(local[-1]) + 1
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(local.astype(np.int64))], [*columns, "local"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in laid.schema)
     numbered = stage(laid.mapInArrow(run, f"{schema}, local long"), "pack-ranked")
     # A length lies in neighbouring partitions of the range sort: one counter for each.
-    before = Window.partitionBy("shard", "length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    shift = numbered.groupBy("shard", "length", "part").agg(F.count(F.lit(1)).alias("n")).select(
-        "shard", "length", "part", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")).alias("shift"))
-    return numbered.join(shift, ["shard", "length", "part"]).withColumn("rank", F.col("local") + F.col("shift")).drop(
+    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = numbered.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")).select(
+        "length", "part", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")).alias("shift"))
+    return numbered.join(shift, ["length", "part"]).withColumn("rank", F.col("local") + F.col("shift")).drop(
         "local", "shift", "part")
 
 
@@ -143,23 +139,20 @@ def pack(documents: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: i
     a NULL doc_id stays NULL; other columns are ignored; no documents give no pieces.
     """
     pieces = stage(token_pieces(documents, tokenizer, end_id, capacity, keep_ids), "pack-pieces")
-    items = ranked(pieces, 1 + pieces.count() // PIECES_PER_SHARD)
-    counts = items.groupBy("shard", "length").agg(F.count(F.lit(1)).alias("n"))
+    items = ranked(pieces)
+    counts = items.groupBy("length").agg(F.count(F.lit(1)).alias("n"))
 
     def place(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = sweep(dict(zip(pdf["length"], pdf["n"])), capacity)
-        out = pd.DataFrame(rows, columns=["length", "lo", "hi", "sequence", "offset"])
-        out.insert(0, "shard", pdf["shard"].iloc[0])
-        return out
+        return pd.DataFrame(rows, columns=["length", "lo", "hi", "sequence", "offset"])
 
-    # A shard has at most ``capacity`` counts.
-    places = counts.groupBy("shard").applyInPandas(
-        place, "shard long, length long, lo long, hi long, sequence long, offset long")
+    # There are at most ``capacity`` counts, each the size of a run of the sort.
+    places = counts.groupBy().applyInPandas(place, "length long, lo long, hi long, sequence long, offset long")
     places = places.withColumn("key", F.explode(F.sequence(
         F.floor(F.col("lo") / RANKS_PER_KEY), F.floor((F.col("hi") - 1) / RANKS_PER_KEY))))
     items = items.withColumn("key", F.floor(F.col("rank") / RANKS_PER_KEY))
-    out = items.join(places, ["shard", "length", "key"]).filter((F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))
-    sequence = F.shiftleft(F.col("shard"), 40) + F.col("sequence") + F.col("rank") - F.col("lo")
+    out = items.join(places, ["length", "key"]).filter((F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))
+    sequence = F.col("sequence") + F.col("rank") - F.col("lo")
     return out.select(*pieces.columns, sequence.alias("sequence_id"), "offset")
 
 

@@ -92,6 +92,50 @@ def test_sweep_takes_the_smallest_gap_that_suffices():
     assert at[30, 0] == (at[70, 0][0], 70) and at[30, 1][0] not in (at[70, 0][0], at[60, 0][0])
 
 
+def best_fit_decreasing(sizes, capacity):
+    """Number of sequences when each piece, longest first, goes to the fullest sequence that takes it."""
+    gaps = []
+    for size in sorted(sizes, reverse=True):
+        fits = [g for g in gaps if g >= size]
+        if fits:
+            best = min(fits)
+            gaps.remove(best)
+            gaps.append(best - size)
+        else:
+            gaps.append(capacity - size)
+    return len(gaps)
+
+
+def test_sweep_packs_as_best_fit_of_single_rows():
+    draw = random.Random(6)
+    for trial in range(60):
+        capacity = draw.choice([10, 64, 1024])
+        sizes = [min(capacity, 1 + int(draw.expovariate(4 / capacity))) for _ in range(draw.randint(1, 400))]
+        used, at = {}, set()
+        for length, lo, hi, first, offset in packing.sweep(dict(collections.Counter(sizes)), capacity):
+            for rank in range(lo, hi):
+                assert (length, rank) not in at
+                at.add((length, rank))
+                used.setdefault(first + rank - lo, []).append((offset, length))
+        assert len(at) == len(sizes)
+        for found in used.values():
+            end = 0
+            for offset, length in sorted(found):
+                assert offset == end
+                end += length
+            assert end <= capacity
+        assert len(used) <= best_fit_decreasing(sizes, capacity)
+
+
+def test_sweep_state_does_not_grow_with_the_corpus():
+    """A hundred thousand million pieces of all lengths: the same runs as for few."""
+    draw = random.Random(8)
+    counts = {length: draw.randint(1, 2 * 10**8) for length in range(1, 1025)}
+    placed = packing.sweep(counts, 1024)
+    assert len(placed) < 200_000
+    assert sum(hi - lo for _, lo, hi, _, _ in placed) == sum(counts.values())
+
+
 def test_ranks_of_a_frequent_length_are_complete(spark):
     documents = spark.range(9000).selectExpr("id AS doc_id", "'same text' AS text")
     rows = packing.pack(documents, BYTES).collect()
