@@ -118,6 +118,20 @@ def test_metadata_comes_from_the_manifest(spark, layer):
     assert layer.snapshots("t") == [D1, D2] and layer.snapshots("none") == []
 
 
+def test_newest_snapshot_and_views_of_one_version(spark, layer):
+    newest = layer.latest("t")
+    assert content(newest) == [("b", 2, D2)]
+    # No other snapshot's folder is listed, and no aggregate looks for the newest.
+    assert len(newest.inputFiles()) == 1 and "Aggregate" not in plan_of(newest)
+    assert set(layer.register_views()) == {"t", "d"}
+    commit = layer.begin()
+    commit.replace_snapshots("t", rows(spark, ("c", 3, D3)))
+    commit.publish()
+    assert spark.sql("SELECT count(*) FROM t").first()[0] == 2  # as of the version that was registered
+    layer.register_views("t")
+    assert spark.sql("SELECT count(*) FROM t").first()[0] == 3 and content(layer.latest("t")) == [("c", 3, D3)]
+
+
 def test_empty_and_unknown_tables(spark, layer):
     commit = layer.begin()
     commit.replace_snapshots("t", rows(spark), [D1, D2])
@@ -248,6 +262,28 @@ def test_each_element_of_an_array_is_judged_alone(spark, tmp_path):
     assert quarantined[1][2].replace(" ", "") == bad_kind.replace(" ", "")
 
 
+def test_bronze_quarantines_elements_with_file_and_position(spark, tmp_path):
+    from snapcat.model import ENTITIES
+    from snapcat.plans import bronze
+
+    roots = [str(tmp_path / n) for n in ("raw", "bronze")]
+    for entity in ENTITIES:
+        key = f"{entity[:-1]}_id"
+        file = tmp_path / "raw" / entity / f"{entity}_{D1}.json"
+        file.parent.mkdir(parents=True)
+        file.write_text(f'[{{"{key}": "1", "snapshot_date": "{D1}"}}, {{"{key}": "cut, {{"{key}": "3", "snapshot_date": "{D1}"}}]')
+    run = lambda: bronze.bronze_snapshot(spark, *roots, D1, quarantine_root=str(tmp_path / "q"))
+    assert run() == run() == {e: 2 for e in ENTITIES}
+    for entity in ENTITIES:
+        kept = spark.read.parquet(f"{roots[1]}/{entity}")
+        assert sorted(r[0] for r in kept.select(f"{entity[:-1]}_id").collect()) == ["1", "3"]
+        bad = spark.read.parquet(f"{tmp_path}/q/{entity}").collect()
+        assert [(r.file.rsplit("/", 1)[1], r.position, r.dq_rule) for r in bad] == [(f"{entity}_{D1}.json", 1, "malformed_json")]
+    # A mended file empties the quarantine.
+    (tmp_path / "raw" / "artists" / f"artists_{D1}.json").write_text(f'[{{"artist_id": "1", "snapshot_date": "{D1}"}}]')
+    assert run()["artists"] == 1 and spark.read.parquet(f"{tmp_path}/q/artists").count() == 0
+
+
 def test_repeats_land_once_across_files_batches_and_runs(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()
