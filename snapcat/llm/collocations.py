@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from snapcat.llm.common import Hasher, batch, chunks, grams, load, lower_bytes, mix, ranges, small_batches, stage
+from snapcat.llm.common import CHUNK_BYTES, Hasher, batch, chunks, grams, load, lower_bytes, mix, ranges, small_batches, stage
 
 LONGEST = 5
 OVERLAP = LONGEST - 1
@@ -49,7 +49,14 @@ def gather(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.n
     """Bytes of the given ranges one after another, and their bounds."""
     length = ends - starts
     bounds = np.concatenate([[0], np.cumsum(length)])
-    return data[np.repeat(starts - bounds[:-1], length) + np.arange(bounds[-1])], bounds
+    out = np.empty(bounds[-1], data.dtype)
+    lo = 0
+    while lo < len(starts):  # places take eight bytes for each one moved: some ranges at a time
+        hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + CHUNK_BYTES, "right")) - 1)
+        first, last = bounds[lo], bounds[hi]
+        out[first:last] = data[np.repeat(starts[lo:hi] - bounds[lo:hi], length[lo:hi]) + np.arange(first, last)]
+        lo = hi
+    return out, bounds
 
 
 def strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:

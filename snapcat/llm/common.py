@@ -100,18 +100,34 @@ def powers(n: int, base: int = MULTIPLIER) -> np.ndarray:
 
 
 class Hasher:
-    """Hashes of byte ranges of one array, from one prefix sum."""
+    """Hashes of byte ranges of one array, from prefix sums; a range's hash does not depend on its place.
+
+    Long arrays go in windows of CHUNK_BYTES (more only for a range that is longer itself), and the powers that are
+    kept are those of one window, so memory does not follow the longest text.
+    """
 
     def __init__(self) -> None:
         self.up, self.down = powers(CHUNK_BYTES), powers(CHUNK_BYTES, INVERSE)
 
     def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        if len(data) <= CHUNK_BYTES:
+            return self.window(data, starts, ends)
+        out = np.empty(len(starts), np.uint64)
+        number = starts // CHUNK_BYTES
+        order = np.argsort(number, kind="stable")
+        for part in np.split(order, np.flatnonzero(np.diff(number[order])) + 1):
+            if len(part):
+                lo, hi = int(number[part[0]]) * CHUNK_BYTES, int(ends[part].max())
+                out[part] = self.window(data[lo:hi], starts[part] - lo, ends[part] - lo)
+        return out
+
+    def window(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         n = len(data)
-        if n > len(self.up):
-            self.up, self.down = powers(2 * n), powers(2 * n, INVERSE)
+        # A start at the end of the window belongs to an empty range.
+        up, down = (self.up, self.down) if n < CHUNK_BYTES else (powers(n + 1), powers(n + 1, INVERSE))
         total = np.zeros(n + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[:n], out=total[1:])
-        return mix((total[ends] - total[starts]) * self.down[starts])
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
+        return mix((total[ends] - total[starts]) * down[starts])
 
 
 def ranges(member: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,24 +184,28 @@ def grams(hashes: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
-#: Bits of the fixed-size filter that spares a shuffle what cannot match (a power of two that divides 2**32).
-FILTER_BITS = 1 << 23
+#: Bits of the filter that spares a shuffle what cannot match: a power of two (that divides 2**32), at least BITS_PER_KEY
+#: for each key, within these bounds.  The upper one is 32 MB; beyond 16 million keys the filter passes more, and what it passes is
+#: told by the join.
+FILTER_BITS, MOST_FILTER_BITS, BITS_PER_KEY = 1 << 23, 1 << 28, 16
 
 
-def filter_slots(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def filter_slots(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     keys = keys.view(np.uint64)
-    return (keys % np.uint64(FILTER_BITS)).astype(np.int64), ((keys >> np.uint64(32)) % np.uint64(FILTER_BITS)).astype(np.int64)
+    return (keys % np.uint64(bits)).astype(np.int64), ((keys >> np.uint64(32)) % np.uint64(bits)).astype(np.int64)
 
 
 def bit_filter(keys: DataFrame) -> bytes:
-    """Bits of all 64-bit keys (one column), OR-ed per word before they reach the driver: FILTER_BITS / 8 bytes."""
+    """Bits of all 64-bit keys (one column), OR-ed per word before they reach the driver: MOST_FILTER_BITS / 8 bytes at most."""
     key = F.col(keys.columns[0])
-    low = lambda c: F.pmod(c, F.lit(FILTER_BITS).cast("long"))
-    # FILTER_BITS divides 2**32, so the signed remainder equals the unsigned one.
+    bits = BITS_PER_KEY * keys.count()
+    bits = min(max(FILTER_BITS, 1 << max(bits - 1, 0).bit_length()), MOST_FILTER_BITS)
+    low = lambda c: F.pmod(c, F.lit(bits).cast("long"))
+    # The number divides 2**32, so the signed remainder equals the unsigned one.
     slots = keys.select(F.explode(F.array(low(key), low(F.shiftrightunsigned(key, 32)))).alias("slot"))
     words = slots.groupBy((F.col("slot") / 64).cast("long").alias("word")).agg(
         F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits")).toArrow()
-    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out = np.zeros(bits // 64, np.int64)
     out[np.asarray(words["word"])] = np.asarray(words["bits"])
     return out.tobytes()
 

@@ -7,9 +7,8 @@ benchmark fingerprints each hit is extended to both sides, and runs of at least
 13 equal words count.  Items of fewer than 13 words are one window of all their words
 and are looked up by the hash of that many words.
 
-Before the join, document fingerprints pass a bit filter of the benchmark's ones.  The
-filter has a fixed size whatever the benchmark's size; it only spares the shuffle
-fingerprints that cannot match.
+Before the join, document fingerprints pass a bit filter of the benchmark's ones, sized by their
+number (32 MB at most); it only spares the shuffle fingerprints that cannot match.
 """
 
 from __future__ import annotations
@@ -95,7 +94,7 @@ def print_table(df: DataFrame, key: str, spans: tuple[int, ...], bits: bytes | N
                 yield batch(schema, ids.slice(lo, hi - lo), rks.slice(lo, hi - lo), sizes, none, none, none, none)
                 span, fp, at = fingerprints(words, owner, spans, sizes, whole)
                 if member is not None and len(fp):
-                    one, two = filter_slots(fp)
+                    one, two = filter_slots(fp, len(member))
                     keep = member[one] & member[two]
                     span, fp, at = span[keep], fp[keep], at[keep]
                 if len(fp):

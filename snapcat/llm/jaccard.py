@@ -116,7 +116,7 @@ def set_table(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches):
         tokens, member = Words(), filter_member(bits)
         for b in batches:
-            one, two = filter_slots(np.asarray(b.column(0)))
+            one, two = filter_slots(np.asarray(b.column(0)), len(member))
             b = b.filter(pa.array(member[one] & member[two]))
             for lo, hi, data, offsets in chunks(b.column(1)):
                 h, o = shingles(*tokens(data, offsets), hi - lo)

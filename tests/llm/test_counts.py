@@ -249,6 +249,33 @@ def test_lines_by_hand(spark, monkeypatch):
     assert line_rows(load(spark, SF, "documents")) == lines_by_hand(rows)
 
 
+def test_hashes_of_ranges_do_not_depend_on_windows(monkeypatch):
+    from snapcat.llm import common
+
+    draw = np.random.default_rng(5)
+    data = draw.integers(0, 256, 5000).astype(np.uint8)
+    starts = draw.integers(0, 5000, 2000)
+    ends = np.minimum(starts + draw.integers(0, 900, 2000), 5000)
+    want = common.Hasher()(data, starts, ends)
+    monkeypatch.setattr(common, "CHUNK_BYTES", 256)
+    assert (common.Hasher()(data, starts, ends) == want).all()
+    assert (common.Hasher()(data[:200], starts[:0], ends[:0])).tolist() == []
+
+
+def test_filter_grows_with_its_keys(spark, monkeypatch):
+    from snapcat.llm import common
+
+    keys = spark.range(20_000).selectExpr("xxhash64(id) AS k")
+    monkeypatch.setattr(common, "FILTER_BITS", 1 << 10)
+    member = common.filter_member(common.bit_filter(keys))
+    assert len(member) == 1 << 19
+    one, two = common.filter_slots(np.asarray([r.k for r in keys.collect()], np.int64), len(member))
+    assert (member[one] & member[two]).all()
+    other = np.random.default_rng(1).integers(-(1 << 63), (1 << 63) - 1, 50_000, np.int64)
+    one, two = common.filter_slots(other, len(member))
+    assert (member[one] & member[two]).mean() < 0.02
+
+
 def test_perfect_hash():
     for n in (0, 1, 2, 1000, 70_000):
         keys = np.unique(np.random.default_rng(n).integers(0, 1 << 64, n, np.uint64))
