@@ -28,27 +28,43 @@ from snapcat.llm.components import components, local_roots
 
 SHINGLE = 5
 THRESHOLD = 0.8
-#: Target of the number of runs, as if they were independent.  They share coordinates below the root, so where nodes are split to
-#: the end a pair at the threshold is missed with a probability of about 2.6e-5 (computed), not 1e-6.
+#: Probability with which a pair at the threshold is found, even where every node is split to the end.
 RECALL = 0.999999
 #: Coordinates of the min-hash vector, coordinates sampled at a node below the root (one at the root).
-COORDINATES, BRANCH = 48, 2
+COORDINATES, BRANCH = 64, 2
 #: Classes of a node that is compared without further splitting, splits at most, classes of a block of a larger node.
 BUCKET, DEPTH, BLOCK = 512, 8, 512
 #: A child that keeps more than this part of its node is compared in full: its sets are alike, and splitting would go on in vain.
 ALIKE = 0.5
 #: Share of equal coordinates below which a pair's sets are not fetched: a pair at the threshold falls below it
-#: with a probability of 8e-7.
-AGREEMENT = 0.5
+#: with a probability of 1e-12.
+AGREEMENT = 0.4
 COLUMNS = 4096
 
 
+def miss(threshold: float, runs: int, depth: int = DEPTH) -> float:
+    """Probability that a pair at ``threshold`` never meets in ``runs`` runs whose nodes are all split ``depth`` times.
+
+    A run has a coordinate of its own at the root; below it all runs sample the same others, so they are independent
+    only for a given number of those in which the pair agrees.
+    """
+    shared = COORDINATES - runs
+    total = 0.0
+    for equal in range(shared + 1):
+        below = 1.0
+        for _ in range(depth):
+            below = 1 - (1 - equal / shared * below) ** BRANCH
+        chance = math.comb(shared, equal) * threshold**equal * (1 - threshold) ** (shared - equal)
+        total += chance * (1 - threshold * below) ** runs
+    return total
+
+
 def runs_needed(threshold: float, recall: float, depth: int = DEPTH) -> int:
-    """Runs after which a pair at the threshold has met with probability ``recall``, even if every node is split to the end."""
-    below = 1.0
-    for _ in range(depth):
-        below = 1 - (1 - threshold * below) ** BRANCH
-    return math.ceil(math.log(1 - recall) / math.log(1 - threshold * below))
+    """Fewest runs after which a pair at the threshold is missed with a probability of at most ``1 - recall``."""
+    for runs in range(1, COORDINATES // 2 + 1):
+        if miss(threshold, runs, depth) <= 1 - recall:
+            return runs
+    raise ValueError(f"{COORDINATES} coordinates do not reach a recall of {recall} at a similarity of {threshold}")
 
 
 def shingles(words: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,7 +126,7 @@ def sketches(documents: DataFrame) -> DataFrame:
 
 
 def set_table(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cid, items) of the classes ``wanted`` (cid, rk): their sets as sorted 32-bit hashes."""
+    """(cid, items) of the classes ``wanted`` (cid, rk): their sets as sorted 64-bit hashes."""
     bits = bit_filter(wanted.select("rk"))
 
     def run(batches):
@@ -121,7 +137,7 @@ def set_table(documents: DataFrame, wanted: DataFrame) -> DataFrame:
             for lo, hi, data, offsets in chunks(b.column(1)):
                 h, o = shingles(*tokens(data, offsets), hi - lo)
                 bound = np.searchsorted(o, np.arange(hi - lo + 1))
-                items = [np.unique((h[s:e] >> np.uint64(32)).astype(np.uint32)).tobytes() for s, e in zip(bound[:-1], bound[1:])]
+                items = [h[s:e].tobytes() for s, e in zip(bound[:-1], bound[1:])]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(items, pa.binary())], ["rk", "items"])
 
     sets = documents.select(row_key("doc_id", "text").alias("rk"), "text").mapInArrow(run, "rk long, items binary")
@@ -209,7 +225,7 @@ def compare_unit(key: int, cids: np.ndarray, side: np.ndarray, size: np.ndarray,
     if not len(use):
         return None
     allowed = allowed[use][:, use]
-    sets = [np.frombuffer(items[i], np.uint32) for i in use]
+    sets = [np.frombuffer(items[i], np.uint64) for i in use]
     both = size[use][:, None] + size[use][None, :]
     shared = overlaps(sets, None).astype(np.float64)  # exact counts; the bound needs double precision
     linked = allowed & (shared * (1 + threshold) >= threshold * both - 1e-9)

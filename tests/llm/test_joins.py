@@ -127,6 +127,40 @@ def test_jaccard_splits_large_nodes(spark, monkeypatch):
     assert found == {rows[i][0]: v for i, v in near_duplicate_classes(rows).items()}
 
 
+def test_misses_of_a_pair_at_the_threshold(monkeypatch):
+    """The formula against paths that are drawn; the production figures keep the stated recall, the agreement cut included."""
+    runs, at = jaccard.runs_needed(jaccard.THRESHOLD, jaccard.RECALL), jaccard.THRESHOLD
+    least = math.ceil(jaccard.AGREEMENT * jaccard.COORDINATES)
+    cut = sum(math.comb(jaccard.COORDINATES, k) * at**k * (1 - at) ** (jaccard.COORDINATES - k) for k in range(least))
+    assert jaccard.miss(at, runs) + cut <= 1 - jaccard.RECALL < jaccard.miss(at, runs - 1)
+    with pytest.raises(ValueError):
+        jaccard.runs_needed(0.2, jaccard.RECALL)
+    monkeypatch.setattr(jaccard, "COORDINATES", 12)
+    draw = random.Random(3)
+
+    def meets(equal, depth):
+        return depth == 0 or any(equal[draw.randrange(3, 12)] and meets(equal, depth - 1) for _ in range(jaccard.BRANCH))
+
+    lost, rounds = 0, 20_000
+    for _ in range(rounds):
+        equal = [draw.random() < 0.6 for _ in range(12)]
+        lost += not any(equal[run] and meets(equal, 3) for run in range(3))
+    assert abs(lost / rounds - jaccard.miss(0.6, 3, depth=3)) < 0.015
+
+
+def test_sets_are_compared_by_whole_hashes():
+    """Hashes that agree in their upper half only are different shingles."""
+    upper = np.arange(1, 101, dtype=np.uint64) << np.uint64(32)
+    ids, one = np.array([1, 2]), np.array([1, 1])
+
+    def links(other):
+        items = [upper.tobytes(), other.tobytes()]
+        return jaccard.compare_unit(1, ids, np.array([2, 2]), np.array([100, 100]), one, items, [np.array([1])] * 2, 0.8)
+
+    assert links(upper + np.uint64(7)) is None
+    assert links(np.concatenate([upper[:90], upper[90:] + np.uint64(7)]))[1].tolist() == [1, 1]
+
+
 def test_jaccard_odd_rows(spark):
     near = " ".join(f"t{i}" for i in range(100))
     rows = ODD + [(20, near, "en", "s", 1), (21, near + " more", "en", "s", 1), (19, near, "en", "s", 1), (30, "two words", "en", "s", 1), (31, "Two WORDS!", "en", "s", 1)]
