@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from snapcat.model import DEALT, SNAPSHOT
 from snapcat.operators import dedupe
-from snapcat.plans import silver
+from snapcat.plans import gold, silver
 from snapcat.warehouse import Warehouse
 
 
@@ -61,3 +61,14 @@ def test_a_snapshot_goes_to_the_first_row_that_has_it(spark):
     found = dedupe.dedupe_observed(df, "id", days, ())
     assert sorted((r["id"] or "", str(r[SNAPSHOT]), r["text"]) for r in found.collect()) == [
         ("", days[0], "p"), ("", days[1], "q"), ("a", days[0], "x"), ("a", days[1], "x"), ("a", days[2], "y"), ("b", days[0], "z"), ("b", days[2], "z")]
+
+
+@pytest.mark.parametrize("name", ["album", "track"])
+def test_dimension_of_the_newest_rows(spark, odd_source, name):
+    w = Warehouse(spark, odd_source)
+    general = getattr(gold, f"dim_{name}")(silver.to_silver(f"{name}s", w.bronze(f"{name}s"))).drop("gold_transformed_at")
+    built = w.dim(name).select(*general.columns)
+    assert general.exceptAll(built).count() == 0 and built.exceptAll(general).count() == 0
+    plan = w.observed_silver(f"{name}s", newest_only=True)._jdf.queryExecution().executedPlan().toString()
+    # Multiplied are only the rows without a key.
+    assert "Generate" not in plan.split("Union", 1)[1].split("WindowGroupLimit")[0]
