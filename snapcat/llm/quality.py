@@ -5,6 +5,9 @@ probability of that is the logistic function of the difference of their scores,
 weighted sum of binned text measures; the weights minimise the logistic loss on the feature differences.
 The share of bad documents among the training rows, as a quantile of their scores, is the
 threshold; scores are moved so that it lies at CUT.
+
+Every labelled row counts: bin edges and threshold are quantiles of counts over all of them, and the rows are
+dealt into blocks, each of which gives the weights that fit all its pairs; the model has their mean.
 """
 
 from __future__ import annotations
@@ -14,10 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapcat.llm.common import Hasher, bucket_of, chunks, load, lower_bytes, ranges, small_batches
+from snapcat.llm.common import Hasher, bucket_of, chunks, load, lower_bytes, ranges, small_batches, stage
 
-#: Bounded training sample: so many labelled rows at most, by the hash of their id, and so many pairs.
-SAMPLE_ROWS, PAIRS = 20_000, 60_000
+#: Rows of a block, and how many of the rarer class each block gets (rows are repeated if there are fewer).
+BLOCK, RARE = 4096, 64
+#: Scores are counted on this grid for the threshold.
+GRID = 1e-3
 BINS = 12
 RIDGE = 1e-3
 CUT = 0.3
@@ -103,41 +108,122 @@ def scores(x: np.ndarray, model: Model) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(raw + np.log(CUT / (1 - CUT)), -30, 30)))
 
 
-def fit(x: np.ndarray, good: np.ndarray, pairs: int = PAIRS) -> Model:
-    """Newton's method on the logistic loss of feature differences, good minus bad."""
-    bad_rows, good_rows = np.flatnonzero(~good), np.flatnonzero(good)
-    if not len(bad_rows) or not len(good_rows):
-        return Model([np.zeros(0)] * len(MEASURES), np.zeros(0), np.log(CUT / (1 - CUT)))  # 0.5 for all
-    # Edges from both classes, so that a rare class has bins of its own.
+def coarse(x: np.ndarray) -> np.ndarray:
+    """Values with ten bits after the leading one, so that few differ."""
+    return (x.astype(np.float32).view(np.uint32) & np.uint32(0xFFFFE000)).view(np.float32).astype(float)
+
+
+def quantiles(values: np.ndarray, counts: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """Of values that occur ``counts`` times."""
+    order = np.argsort(values)
+    total = np.cumsum(counts[order])
+    return values[order][np.minimum(np.searchsorted(total, parts * total[-1]), len(order) - 1)]
+
+
+def edges_of(counted: dict[tuple[bool, int], tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """Bin edges from (values, counts) per class and measure: from both, so that a rare class has bins of its own."""
     part = np.linspace(0, 1, BINS + 1)[1:-1]
-    edges = [np.unique(np.concatenate([np.quantile(x[good, j], part), np.quantile(x[~good, j], part)])) for j in range(x.shape[1])]
-    f = binned(x, edges)
-    draw = np.random.default_rng(7)
-    d = f[draw.choice(good_rows, pairs)] - f[draw.choice(bad_rows, pairs)]
+    return [np.unique(np.concatenate([quantiles(*counted[c, j], part) for c in (True, False)])) for j in range(len(MEASURES))]
+
+
+def weights_of(f: np.ndarray, good: np.ndarray) -> np.ndarray:
+    """Newton's method on the mean logistic loss of the feature differences, good minus bad, of all pairs."""
+    g, b = f[good], f[~good]
+    pairs = len(g) * len(b)
     w = np.zeros(f.shape[1])
     for _ in range(12):
-        p = 1 / (1 + np.exp(-np.clip(d @ w, -30, 30)))
-        gradient = d.T @ (p - 1) / pairs + RIDGE * w
-        hessian = (d * (p * (1 - p))[:, None]).T @ d / pairs + RIDGE * np.eye(len(w))
+        p = 1 / (1 + np.exp(-np.clip((g @ w)[:, None] - (b @ w)[None, :], -30, 30)))
+        gradient = (g.T @ (p - 1).sum(1) - b.T @ (p - 1).sum(0)) / pairs + RIDGE * w
+        v = p * (1 - p)
+        cross = g.T @ (v @ b)
+        hessian = ((g * v.sum(1)[:, None]).T @ g + (b * v.sum(0)[:, None]).T @ b - cross - cross.T) / pairs + RIDGE * np.eye(len(w))
         step = np.linalg.solve(hessian, gradient)
         w -= step
         if np.abs(step).max() < 1e-4:
             break
-    raw = f @ w
-    return Model(edges, w, float(np.quantile(raw, 1 - good.mean())))
+    return w
+
+
+def no_model() -> Model:
+    return Model([np.zeros(0)] * len(MEASURES), np.zeros(0), np.log(CUT / (1 - CUT)))  # 0.5 for all
+
+
+def fit(x: np.ndarray, good: np.ndarray) -> Model:
+    """The model of rows at hand: one block."""
+    if good.all() or not good.any():
+        return no_model()
+    counted = {(c, j): np.unique(coarse(x[good == c, j]), return_counts=True) for c in (True, False) for j in range(len(MEASURES))}
+    edges = edges_of(counted)
+    f = binned(x, edges)
+    w = weights_of(f, good)
+    raw = np.unique(np.floor(f @ w / GRID), return_counts=True)
+    return Model(edges, w, float(quantiles(*raw, np.array([1 - good.mean()]))[0] * GRID))
+
+
+def unpacked(x) -> np.ndarray:
+    """Measures of rows whose ``x`` is binary."""
+    return np.frombuffer(b"".join(x), float).reshape(len(x), len(MEASURES))
+
+
+def _counted(rows: DataFrame, columns: str, of) -> DataFrame:
+    """Sums of ``of(quality, measures)``, a record batch of integer columns and n, over all rows."""
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                yield of(b.column("quality").to_numpy(zero_copy_only=False) == 1, unpacked(b.column("x").to_pylist()))
+
+    keys = [c.split()[0] for c in columns.split(", ")]
+    return rows.select("quality", "x").mapInArrow(run, f"{columns}, n long").groupBy(*keys).agg(F.sum("n").alias("n"))
+
+
+def _values(good: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
+    found = [(c, j, *np.unique(coarse(x[good == c, j]), return_counts=True)) for c in (True, False) if (good == c).any() for j in range(len(MEASURES))]
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.concatenate([np.full(len(v), c) for c, _, v, _ in found])), pa.array(np.concatenate([np.full(len(v), j, np.int32) for _, j, v, _ in found])),
+        pa.array(np.concatenate([v for *_, v, _ in found])), pa.array(np.concatenate([n for *_, n in found]).astype(np.int64))], ["good", "measure", "value", "n"])
 
 
 def train(documents: DataFrame, labels: DataFrame) -> Model:
-    """From labels (doc_id, quality 0 or 1) and the texts they name."""
-    # At most SAMPLE_ROWS ids are broadcast, and as many rows of measures come to the driver.
-    sample = labels.filter("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(
-        F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
+    """From labels (doc_id, quality 0 or 1) and the texts they name; all of them."""
+    chosen = labels.filter("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     # An id that names many rows counts once.
-    rows = measured(documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), ["doc_id", "quality"]).groupBy("doc_id", "quality").agg(
-        F.min("x").alias("x")).toArrow()
-    x = np.frombuffer(b"".join(rows["x"].to_pylist()), float).reshape(len(rows), len(MEASURES))
-    order = np.argsort(np.asarray(rows["doc_id"]), kind="stable")  # the fit doesn't depend on the order of tasks
-    return fit(x[order], np.asarray(rows["quality"])[order] == 1)
+    # The labels may be too many to broadcast: measures meet them, not texts.
+    rows = stage(measured(documents.select("doc_id", "text"), ["doc_id"]).join(chosen, "doc_id").groupBy("doc_id", "quality").agg(
+        F.min("x").alias("x")), "quality")
+    sizes = {r["quality"]: r["count"] for r in rows.groupBy("quality").count().collect()}
+    if len(sizes) < 2:
+        return no_model()
+    # Counts per coarse value: their number does not grow with the rows.
+    counts = _counted(rows, "good boolean, measure int, value double", _values).toPandas()
+    edges = edges_of({key: (part["value"].to_numpy(), part["n"].to_numpy()) for key, part in counts.groupby(["good", "measure"])})
+
+    total, (few, rare) = sum(sizes.values()), min((n, q) for q, n in sizes.items())
+    blocks = -(-total // BLOCK)
+    copies = min(blocks, -(-RARE * blocks // few))
+    # Copies of a rare row go to different blocks.
+    shift = F.when(F.col("quality") == rare, F.array(*(F.lit(k * (blocks // copies)) for k in range(copies)))).otherwise(F.array(F.lit(0)))
+    dealt = rows.withColumn("shift", F.explode(shift)).select(
+        F.pmod(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)) + F.col("shift"), F.lit(blocks)).alias("block"), "doc_id", "quality", "x")
+
+    def of_block(key, part):
+        import pandas as pd
+
+        part = part.sort_values("doc_id", kind="stable")  # the fit doesn't depend on the order of tasks
+        good = part["quality"].to_numpy() == 1
+        w = [] if good.all() or not good.any() else [weights_of(binned(unpacked(part["x"]), edges), good).tobytes()]
+        return pd.DataFrame({"block": [key[0]] * len(w), "w": w})
+
+    # One row of weights per block.
+    fitted = dealt.groupBy("block").applyInPandas(of_block, "block long, w binary").orderBy("block").toArrow()
+    w = np.mean([np.frombuffer(v, float) for v in fitted["w"].to_pylist()], axis=0) if len(fitted) else np.zeros(sum(map(len, edges)))
+
+    def cells(good: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
+        cell, n = np.unique(np.floor(binned(x, edges) @ w / GRID).astype(np.int64), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n.astype(np.int64))], ["cell", "n"])
+
+    raw = _counted(rows, "cell long", cells).toPandas()
+    at = quantiles(raw["cell"].to_numpy().astype(float), raw["n"].to_numpy(), np.array([1 - sizes[1] / total]))[0]
+    return Model(edges, w, float(at * GRID))
 
 
 def score(documents: DataFrame, model: Model, extra: list[str]) -> DataFrame:
