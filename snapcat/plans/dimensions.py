@@ -22,6 +22,8 @@ from snapcat.sources.layers import COMMIT, WHOLE, Commit, Layer
 
 #: Snapshot a stored row comes from.
 SEEN = "seen_at"
+#: Bytes of Silver per bucket of a dimension that is built from it; a task sorts a bucket.
+BUCKET_BYTES = 16_000_000
 STAMP = "gold_transformed_at"
 
 
@@ -42,26 +44,36 @@ DIMENSIONS = (
 )
 
 
-def candidate_rows(dimension: Dimension, silver: DataFrame) -> DataFrame:
-    """Newest row of every key with its attributes and the snapshot it comes from; rows without a key are none."""
-    newest = scd1_latest(silver.filter(F.col(dimension.key).isNotNull()), [dimension.key])
+def candidate_rows(dimension: Dimension, silver: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Newest row of every key with its attributes and the snapshot it comes from; rows without a key are none.
+
+    With ``buckets`` the rows are dealt into them by key before the newest is picked, and are not dealt again.
+    """
+    rows = silver.filter(F.col(dimension.key).isNotNull())
+    newest = scd1_latest(rows if buckets is None else rows.repartition(buckets, dimension.key), [dimension.key])
     return dimension.attributes(newest.withColumn(SEEN, F.col(SNAPSHOT)))
 
 
-def merge_dimension(stored: DataFrame, incoming: DataFrame, key: str, snapshot: str, history: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def merge_dimension(
+    stored: DataFrame, incoming: DataFrame, key: str, snapshot: str, history: Callable[[DataFrame], DataFrame] | None = None,
+    buckets: int | None = None,
+) -> DataFrame:
     """``stored`` after applying all rows of ``snapshot`` (``incoming``, one per key).
 
     A row replaces one of the same or an earlier snapshot.  When a snapshot is applied again with fewer rows, keys that
     only it had held as the newest fall back to ``history(keys)``, the candidates of those keys from other snapshots,
-    or go.
+    or go.  ``buckets`` is the number that both sides are dealt into, if they are.
     """
     day = F.to_date(F.lit(snapshot))
     names = stored.columns
     incoming = incoming.select(*names)
     if history is not None:
-        lost = stored.filter(F.col(SEEN) == day).select(key).join(incoming.select(key), key, "left_anti")
-        if not lost.isEmpty():
+        held = stored.filter(F.col(SEEN) == day).select(key)
+        # A snapshot that is new here holds nothing yet: its rows are not met a second time.
+        lost = None if held.isEmpty() else held.join(incoming.select(key), key, "left_anti")
+        if lost is not None and not lost.isEmpty():
             incoming = incoming.unionByName(history(lost).select(*names))
+            incoming = incoming if buckets is None else incoming.repartition(buckets, key)
     old, new = stored.select(key, F.struct(*names).alias("old")), incoming.select(key, F.struct(*names).alias("new"))
     both = old.join(new, key, "full")
     wins = F.col("new").isNotNull() & (F.col("old").isNull() | (F.col(f"old.{SEEN}") == day) | (F.col(f"old.{SEEN}") <= F.col(f"new.{SEEN}")))
@@ -99,7 +111,8 @@ def stored_dimension(layer: Layer, name: str) -> tuple[DataFrame, int]:
 def apply_snapshot(commit: Commit, silver: Layer, dimension: Dimension, snapshot: str, buckets: int) -> int:
     """Add to ``commit`` the dimension with one more snapshot of Silver; its rows.
 
-    ``buckets`` counts only for a dimension that does not exist yet (it is then built from all of Silver).
+    ``buckets`` counts only for a dimension that does not exist yet (it is then built from all of Silver): it gets as
+    many at least, and one per ``BUCKET_BYTES`` of Silver.
     """
     layer = commit.layer
     if layer.has(dimension.name):
@@ -109,10 +122,12 @@ def apply_snapshot(commit: Commit, silver: Layer, dimension: Dimension, snapshot
             others = silver.table(dimension.entity).filter(F.col(SNAPSHOT) != F.to_date(F.lit(snapshot)))
             return candidate_rows(dimension, others.join(keys, dimension.key, "left_semi"))
 
-        incoming = candidate_rows(dimension, silver.table(dimension.entity, snapshot=snapshot))
-        rows = merge_dimension(stored, incoming, dimension.key, snapshot, history)
+        incoming = candidate_rows(dimension, silver.table(dimension.entity, snapshot=snapshot), buckets)
+        rows = merge_dimension(stored, incoming, dimension.key, snapshot, history, buckets)
     else:
-        rows = candidate_rows(dimension, silver.table(dimension.entity)).repartition(buckets, dimension.key)
+        parts = silver.manifest()["tables"][dimension.entity]["parts"].values()
+        buckets = max(buckets, -(-sum(p["bytes"] for p in parts) // BUCKET_BYTES))
+        rows = candidate_rows(dimension, silver.table(dimension.entity), buckets)
     rows = rows.drop(STAMP).withColumn(STAMP, F.current_timestamp())
     folder = commit.folder(dimension.name)
     write_bucketed(rows, f"{layer.root}/{folder}", dimension.key, buckets)
