@@ -60,3 +60,15 @@ def test_buckets_follow_the_size_of_silver(spark, tmp_path, monkeypatch):
     dimensions.apply_snapshot(commit, source, KEPT, D1, 4)
     commit.publish()
     assert dimensions.stored_dimension(gold, "dim_k")[1] in (10, 11) and gold.table("dim_k").count() == 1000
+
+
+def test_landed_lines_are_gzipped_and_measured_as_plain_text(spark, tmp_path):
+    df = spark.createDataFrame([("é" * 10, 1), (None, 2), ("b", None)], "a string, b int")
+    plain, landed = (R.write_raw_lines(df, str(tmp_path / c), c) for c in ("none", R.LANDED))
+    expected = sum(f.stat().st_size for f in (tmp_path / "none").iterdir() if f.name.startswith("part-"))
+    read = spark.read.text
+    found = T.storage_footprint({("e", "raw"): read(landed), ("e", "silver"): read(plain)}, "raw", line_layers=("raw",))
+    assert {(r.entity, r.layer): (r.row_count, r.bytes) for r in found.collect()} == {
+        (e, layer): (3, expected) for e in ("e", "TOTAL") for layer in ("raw", "silver")}
+    layers = registry._layers(open_warehouse(spark, SF_DIR))
+    assert all(f.endswith(".gz") for (_, layer), df in layers.items() if layer == "raw" for f in df.inputFiles())
