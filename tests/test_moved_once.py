@@ -72,3 +72,19 @@ def test_landed_lines_are_gzipped_and_measured_as_plain_text(spark, tmp_path):
         (e, layer): (3, expected) for e in ("e", "TOTAL") for layer in ("raw", "silver")}
     layers = registry._layers(open_warehouse(spark, SF_DIR))
     assert all(f.endswith(".gz") for (_, layer), df in layers.items() if layer == "raw" for f in df.inputFiles())
+
+
+def test_bronze_of_the_published_run_is_written_where_its_rows_are(spark, monkeypatch):
+    w, calls = open_warehouse(spark, SF_DIR), []
+
+    class Written(Exception):
+        pass
+
+    def stop(*_, **__):
+        raise Written
+
+    monkeypatch.setattr(T, "write_snapshot", lambda df, path, *rest, **named: calls.append(named.get("gather", True)))
+    monkeypatch.setattr(T, "scan_snapshot", stop)
+    with pytest.raises(Written):
+        registry_layers.silver_published_run(w)
+    assert calls == [False] * 3
