@@ -15,10 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapcat.functions.metrics import surrogate_key_text
 from snapcat.model import SNAPSHOT
-from snapcat.operators.dedupe import scd1_latest
+from snapcat.operators.dedupe import marked, scd1_latest
 from snapcat.plans import gold
-from snapcat.sources.layers import COMMIT, WHOLE, Commit, Layer
+from snapcat.session import scratch_path
+from snapcat.sources.layers import COMMIT, WHOLE, Commit, Layer, stored_schema
 
 #: Snapshot a stored row comes from.
 SEEN = "seen_at"
@@ -29,18 +31,27 @@ STAMP = "gold_transformed_at"
 
 @dataclass(frozen=True)
 class Dimension:
-    """Name, Silver entity, natural key and attributes (a function of Silver rows)."""
+    """Name, Silver entity, natural key and attributes (a function of Silver rows).
+
+    ``surrogates`` lists the surrogate keys by the name of what they stand for: hashes of a natural key beside them, which do not
+    compress, so they are computed on reading.
+    """
 
     name: str
     entity: str
     key: str
     attributes: Callable[[DataFrame], DataFrame]
+    surrogates: tuple[str, ...] = ()
+
+    @property
+    def derived(self) -> dict[str, str]:
+        return {f"{name}_key": surrogate_key_text(f"{name}_id") for name in self.surrogates}
 
 
 DIMENSIONS = (
-    Dimension("dim_artist", "artists", "artist_id", gold.artist_attributes),
-    Dimension("dim_album", "albums", "album_id", gold.album_attributes),
-    Dimension("dim_track", "tracks", "track_id", gold.track_attributes),
+    Dimension("dim_artist", "artists", "artist_id", gold.artist_attributes, ("artist",)),
+    Dimension("dim_album", "albums", "album_id", gold.album_attributes, ("album", "artist")),
+    Dimension("dim_track", "tracks", "track_id", gold.track_attributes, ("track", "album", "artist")),
 )
 
 
@@ -100,14 +111,29 @@ def read_bucketed(spark: SparkSession, path: str, schema: T.StructType, key: str
 
 
 def stored_dimension(layer: Layer, name: str) -> tuple[DataFrame, int]:
-    """A published dimension and its number of buckets."""
+    """A published dimension as it is stored, and its number of buckets."""
     entry = layer.manifest()["tables"][name]
     properties = entry["properties"]
     path = f"{layer.root}/{entry['parts'][WHOLE]['folder']}"
-    schema = T.StructType.fromJson(entry["schema"])
+    schema = stored_schema(T.StructType.fromJson(entry["schema"]), properties.get("derived", {}))
     return read_bucketed(layer.spark, path, schema, properties["key"], properties["buckets"]), properties["buckets"]
 
 
+def _may_win(rows: DataFrame, stored: DataFrame, key: str, snapshot: str, buckets: int) -> DataFrame:
+    """``rows`` of a snapshot less most of those whose key ``stored`` has from a newer one.
+
+    Of a snapshot that arrives late only keys are dealt into the buckets, and what may win is staged; whatever the filter lets
+    through in vain loses in the merge.
+    """
+    newer = stored.filter(F.col(SEEN) > F.to_date(F.lit(snapshot))).select(key)
+    if newer.isEmpty():
+        return rows
+    unheld = rows.filter(F.col(key).isNotNull()).select(key).repartition(buckets, key).join(newer, key, "left_anti")
+    path = scratch_path(rows.sparkSession, "late")
+    marked(rows, unheld, F.xxhash64(key)).filter("__hit").select(*rows.columns).write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def apply_snapshot(commit: Commit, silver: Layer, dimension: Dimension, snapshot: str, buckets: int) -> int:
     """Add to ``commit`` the dimension with one more snapshot of Silver; its rows.
 
@@ -122,13 +148,16 @@ def apply_snapshot(commit: Commit, silver: Layer, dimension: Dimension, snapshot
             others = silver.table(dimension.entity).filter(F.col(SNAPSHOT) != F.to_date(F.lit(snapshot)))
             return candidate_rows(dimension, others.join(keys, dimension.key, "left_semi"))
 
-        incoming = candidate_rows(dimension, silver.table(dimension.entity, snapshot=snapshot), buckets)
+        arrived = _may_win(silver.table(dimension.entity, snapshot=snapshot), stored, dimension.key, snapshot, buckets)
+        incoming = candidate_rows(dimension, arrived, buckets)
         rows = merge_dimension(stored, incoming, dimension.key, snapshot, history, buckets)
     else:
         parts = silver.manifest()["tables"][dimension.entity]["parts"].values()
         buckets = max(buckets, -(-sum(p["bytes"] for p in parts) // BUCKET_BYTES))
         rows = candidate_rows(dimension, silver.table(dimension.entity), buckets)
-    rows = rows.drop(STAMP).withColumn(STAMP, F.current_timestamp())
+    derived = dimension.derived
+    whole = candidate_rows(dimension, silver.table(dimension.entity)).drop(STAMP).withColumn(STAMP, F.current_timestamp()).schema
+    rows = rows.withColumn(STAMP, F.current_timestamp()).select(*stored_schema(whole, derived).names)
     folder = commit.folder(dimension.name)
     write_bucketed(rows, f"{layer.root}/{folder}", dimension.key, buckets)
-    return commit.adopt(dimension.name, folder, rows.schema, key=dimension.key, buckets=buckets)
+    return commit.adopt(dimension.name, folder, whole, key=dimension.key, buckets=buckets, derived=derived)

@@ -88,3 +88,55 @@ def test_bronze_of_the_published_run_is_written_where_its_rows_are(spark, monkey
     with pytest.raises(Written):
         registry_layers.silver_published_run(w)
     assert calls == [False] * 3
+
+
+def test_a_late_snapshot_deals_keys_and_only_rows_that_may_win(spark, tmp_path, monkeypatch):
+    source, gold, merged = Layer(spark, str(tmp_path / "silver")), Layer(spark, str(tmp_path / "gold")), []
+    merge = dimensions.merge_dimension
+    monkeypatch.setattr(dimensions, "merge_dimension", lambda stored, incoming, *rest: (merged.append(incoming), merge(stored, incoming, *rest))[1])
+    for snapshot, n in ((D1, 10), (D3, 1000), (D2, 1010)):
+        commit = source.begin()
+        commit.replace_snapshots("rows", spark.range(n).select(
+            F.col("id").cast("string").alias("k"), F.lit(1).alias("v"), F.lit(snapshot).cast("date").alias("snapshot_date"),
+            F.lit(None).cast("timestamp").alias("silver_transformed_at")))
+        commit.publish()
+        commit = gold.begin()
+        dimensions.apply_snapshot(commit, source, KEPT, snapshot, 4)
+        commit.publish()
+    assert 10 <= merged[-1].count() < 20
+    assert {(str(r.seen_at), r["count"]) for r in gold.table("dim_k").groupBy("seen_at").count().collect()} == {(D3, 1000), (D2, 10)}
+
+
+def test_surrogate_keys_are_computed_on_reading(spark, tmp_path):
+    source, gold = Layer(spark, str(tmp_path / "silver")), Layer(spark, str(tmp_path / "gold"))
+    kept = dimensions.Dimension("dim_k", "rows", "k_id", lambda rows: rows.select(
+        metrics.surrogate_key(F.col("k_id")).alias("k_key"), F.col("k_id"), "seen_at", F.current_timestamp().alias("gold_transformed_at")), ("k",))
+    for snapshot, keys in ((D1, ("a", "b")), (D2, ("b", "c"))):
+        commit = source.begin()
+        commit.replace_snapshots("rows", spark.createDataFrame([(k, day(snapshot), None) for k in keys], "k_id string, snapshot_date date, silver_transformed_at timestamp"))
+        commit.publish()
+        commit = gold.begin()
+        dimensions.apply_snapshot(commit, source, kept, snapshot, 4)
+        commit.publish()
+    table = gold.table("dim_k")
+    assert table.columns == ["k_key", "k_id", "seen_at", "gold_transformed_at"]
+    assert {r.k_id: r.k_key for r in table.collect()} == {r.k: r.m for r in spark.createDataFrame([("a",), ("b",), ("c",)], "k string").select("k", F.md5("k").alias("m")).collect()}
+    assert "k_key" not in dimensions.stored_dimension(gold, "dim_k")[0].columns
+
+
+def test_adopted_snapshots_are_published_without_a_copy(spark, tmp_path):
+    written, layer = str(tmp_path / "written"), Layer(spark, str(tmp_path / "layer"))
+    rows = spark.createDataFrame([("a", 1, day(D1), None), ("b", 2, day(D2), None), ("c", 3, day(D3), None)], ROWS)
+    T.write_snapshot(rows, written)
+    commit = layer.begin()
+    assert commit.adopt_snapshots("rows", written, rows.schema, [D1, D2, "2030-01-31"]) == {D1: 1, D2: 1}
+    assert not layer.has("rows")
+    commit.publish("job", D1)
+    commit = layer.begin()  # beside rows of its own
+    commit.replace_snapshots("rows", spark.createDataFrame([("z", 9, day(D2), None), ("y", 8, day(D3), None)], ROWS))
+    commit.publish()
+    seen = lambda df: sorted((r.k, r.v, str(r.snapshot_date)) for r in df.collect())
+    assert seen(layer.table("rows")) == [("a", 1, D1), ("y", 8, D3), ("z", 9, D2)]
+    assert seen(layer.table("rows", version=1)) == [("a", 1, D1), ("b", 2, D2)] and seen(layer.table("rows", snapshot=D1)) == [("a", 1, D1)]
+    assert layer.parts("rows", version=1).filter("bytes > 0 AND file_count > 0").count() == 2
+    assert layer.expire(keep=1, older_than_hours=0) == 0 and seen(spark.read.parquet(written)) == [("a", 1, D1), ("b", 2, D2), ("c", 3, D3)]
