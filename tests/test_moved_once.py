@@ -140,3 +140,10 @@ def test_adopted_snapshots_are_published_without_a_copy(spark, tmp_path):
     assert seen(layer.table("rows", version=1)) == [("a", 1, D1), ("b", 2, D2)] and seen(layer.table("rows", snapshot=D1)) == [("a", 1, D1)]
     assert layer.parts("rows", version=1).filter("bytes > 0 AND file_count > 0").count() == 2
     assert layer.expire(keep=1, older_than_hours=0) == 0 and seen(spark.read.parquet(written)) == [("a", 1, D1), ("b", 2, D2), ("c", 3, D3)]
+
+
+def test_a_merge_writes_its_changes_once(spark, monkeypatch):
+    named, path = [], registry_layers.scratch_path
+    monkeypatch.setattr(registry_layers, "scratch_path", lambda spark, name: (named.append(name), path(spark, name))[1])
+    assert registry_layers.interval_scan_artists(open_warehouse(spark, SF_DIR)).count() > 0
+    assert named == ["log-artists"]
