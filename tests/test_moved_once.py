@@ -8,6 +8,7 @@ from support import SF_DIR, day
 
 from snapcat import registry, registry_layers
 from snapcat.functions import metrics
+from snapcat.operators import joins
 from snapcat.plans import dimensions
 from snapcat.sources import raw as R
 from snapcat.sources import tables as T
@@ -147,3 +148,21 @@ def test_a_merge_writes_its_changes_once(spark, monkeypatch):
     monkeypatch.setattr(registry_layers, "scratch_path", lambda spark, name: (named.append(name), path(spark, name))[1])
     assert registry_layers.interval_scan_artists(open_warehouse(spark, SF_DIR)).count() > 0
     assert named == ["log-artists"]
+
+
+def test_orphans_are_found_by_their_keys(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        child = spark.createDataFrame(
+            [("1", "a", day(D1)), ("1", "a", day(D1)), ("2", "b", day(D1)), ("3", "a", day(D2)), ("4", None, day(D1)), ("5", "a", None), ("6", None, None)],
+            "id string, fk string, snapshot_date date")
+        parent = spark.createDataFrame([("a", day(D1)), ("a", day(D1)), ("b", day(D2)), (None, day(D1))], "pk string, snapshot_date date")
+        for within in ([], ["snapshot_date"]):
+            got, plain = (f(child, parent, "fk", "pk", within) for f in (joins.orphans_by_keys, joins.orphans_anti))
+            assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect())) and got.columns == plain.columns
+            assert plan_of(got).index("getbit") > 0
+        many = spark.range(20_000).select(F.col("id").cast("string").alias("id"), (F.col("id") % 100).cast("string").alias("fk"))
+        known = spark.range(99).select(F.col("id").cast("string").alias("pk"))
+        assert joins.orphans_by_keys(many, known, "fk", "pk").count() == 200
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
