@@ -9,7 +9,7 @@ from support import SF_DIR, day
 from snapcat import registry, registry_layers
 from snapcat.functions import metrics
 from snapcat.operators import joins
-from snapcat.plans import dimensions
+from snapcat.plans import dimensions, silver
 from snapcat.sources import raw as R
 from snapcat.sources import tables as T
 from snapcat.sources.layers import Layer
@@ -166,3 +166,30 @@ def test_orphans_are_found_by_their_keys(spark):
         assert joins.orphans_by_keys(many, known, "fk", "pk").count() == 200
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_orphans_are_routed_by_their_keys(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        child = spark.createDataFrame(
+            [("1", "a", day(D1)), ("1", "a", day(D1)), ("2", "b", day(D1)), ("3", "a", day(D2)), ("4", None, day(D1)), ("5", "a", None), ("6", None, None)],
+            "id string, fk string, snapshot_date date")
+        parent = spark.createDataFrame([("a", day(D1)), ("a", day(D1)), ("b", day(D2)), (None, day(D1))], "pk string, snapshot_date date")
+        for within in ([], ["snapshot_date"]):
+            plain = [f(child, parent, "fk", "pk", within) for f in (joins.keep_with_parent_semi, joins.orphans_anti)]
+            for got, want in zip(joins.split_by_keys(child, parent, "fk", "pk", within), plain, strict=True):
+                assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.columns == want.columns
+        kept, orphans = joins.split_by_keys(child, child.withColumnRenamed("fk", "pk"), "fk", "pk")
+        assert (kept.count(), orphans.count()) == (5, 2)  # nothing lacks but NULL
+        artists = spark.range(99).select(F.col("id").cast("string").alias("artist_id"), F.lit(D1).cast("date").alias("snapshot_date"))
+        albums = spark.range(1000).select(
+            F.col("id").cast("string").alias("album_id"), (F.col("id") % 100).cast("string").alias("artist_id"), F.lit(D1).cast("date").alias("snapshot_date"))
+        tracks = spark.range(20_000).select(
+            F.col("id").cast("string").alias("track_id"), (F.col("id") % 1001).cast("string").alias("album_id"), F.lit(D1).cast("date").alias("snapshot_date"))
+        for cascade, gone in ((False, 19), (True, 19 + 200)):
+            routed = silver.route_orphans(artists, albums, tracks, cascade)
+            assert routed.rejected_albums.count() == 10 and routed.albums.count() == 990
+            assert abs(routed.rejected_tracks.count() - gone) <= 1 and routed.tracks.count() + routed.rejected_tracks.count() == 20_000
+            assert "getbit" in plan_of(routed.tracks) and "Semi" not in plan_of(routed.tracks)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
